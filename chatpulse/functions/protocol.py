@@ -20,7 +20,6 @@ def sender(line: Column) -> Column:
 
 def spoken_text(line: Column) -> Column:
     """What follows the first colon after the command; null where there is none."""
-    start = F.instr(line, F.lit(MESSAGE_COMMAND)) + len(MESSAGE_COMMAND)
-    parameters = F.substr(line, start)
-    colon = F.instr(parameters, F.lit(":"))
-    return F.when(colon > 0, strip_whitespace(F.substr(parameters, colon + 1)))
+    after_command = F.instr(line, F.lit(MESSAGE_COMMAND)) + len(MESSAGE_COMMAND)
+    colon = F.position(F.lit(":"), line, after_command)
+    return F.when(colon > 0, strip_whitespace(F.substr(line, colon + 1)))

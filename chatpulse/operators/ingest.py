@@ -39,28 +39,30 @@ def encode_payload(messages: DataFrame, *fields: str) -> DataFrame:
     return messages.select(encoded(*(fields or ("user", "message"))).alias("value"))
 
 
-def _is_corrupt(record: Column) -> Column:
-    # The parser hands back a struct of nulls for broken text, so a null test of
-    # the struct alone would only find null payloads.
-    return record.isNull() | record.getField(CORRUPT).isNotNull()
+def _with_record(payloads: DataFrame) -> DataFrame:
+    # Exploding a one-element array keeps the parse in one place; Catalyst would
+    # repeat a plain parsed column in every filter that looks at it.
+    record = decoded(F.col("value"), CHAT_OR_CORRUPT)
+    return payloads.withColumn("record", F.explode(F.array(record)))
+
+
+def _is_malformed() -> Column:
+    # Broken text decodes to a struct of nulls with the text beside them; null
+    # and blank payloads decode to no struct at all.
+    return F.col("record").isNull() | F.col(f"record.{CORRUPT}").isNotNull()
 
 
 def decode_payload(payloads: DataFrame, drop_malformed: bool = False) -> DataFrame:
     """``user, message, timestamp`` of each payload; a broken one gives nulls."""
     if not drop_malformed:
         return payloads.select(decoded(F.col("value")).alias("record")).select("record.*")
-    return (
-        payloads.select(decoded(F.col("value"), CHAT_OR_CORRUPT).alias("record"))
-        .filter(~_is_corrupt(F.col("record")))
-        .select("record.*")
-        .drop(CORRUPT)
-    )
+    whole = _with_record(payloads).filter(~_is_malformed())
+    return whole.select("record.*").drop(CORRUPT)
 
 
 def flag_malformed(payloads: DataFrame) -> DataFrame:
     """The payloads with an ``is_malformed`` column."""
-    record = decoded(F.col("value"), CHAT_OR_CORRUPT)
-    return payloads.withColumn("is_malformed", _is_corrupt(record))
+    return _with_record(payloads).withColumn("is_malformed", _is_malformed()).drop("record")
 
 
 def quarantine(payloads: DataFrame) -> DataFrame:

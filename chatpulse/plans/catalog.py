@@ -8,13 +8,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from chatpulse import schemas
+from chatpulse.functions.text import has_whole_word
 from chatpulse.operators import activity, ingest, stats, words
 from chatpulse.plans import batch_layer, ingest_layer, speed_layer
 from chatpulse.settings import work_folder
 from chatpulse.sinks.keyed import KeyedTable
 from chatpulse.sinks.logs import read_metrics
 from chatpulse.sources import archive, topics
-from chatpulse.sources.chat import chat_view
+from chatpulse.sources.chat import chat_view, posts, texts
 from chatpulse.streaming import metrics
 from chatpulse.streaming.run import finish
 
@@ -37,15 +38,15 @@ def _with_naive(df: DataFrame, time: str) -> DataFrame:
 
 
 def _flagged(spark: SparkSession, folder: str) -> DataFrame:
-    return activity.flag_toxic(chat_view(spark, folder))
+    return chat_view(spark, folder, is_toxic=has_whole_word(F.col("message")))
 
 
 def _users(spark: SparkSession, folder: str) -> DataFrame:
-    return activity.user_activity(chat_view(spark, folder))
+    return activity.user_activity(posts(spark, folder))
 
 
 def _words(spark: SparkSession, folder: str) -> DataFrame:
-    return words.word_counts(chat_view(spark, folder))
+    return words.word_counts(texts(spark, folder))
 
 
 # --- activity -----------------------------------------------------------------
@@ -53,17 +54,17 @@ def _words(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def total_messages(spark, folder):
-    return stats.total_messages(chat_view(spark, folder))
+    return stats.total_messages(posts(spark, folder))
 
 
 @_query
 def global_activity(spark, folder):
-    return activity.window_activity(chat_view(spark, folder))
+    return activity.window_activity(posts(spark, folder))
 
 
 @_query
 def messages_per_minute(spark, folder):
-    return activity.messages_per_minute(chat_view(spark, folder))
+    return activity.messages_per_minute(posts(spark, folder))
 
 
 @_query
@@ -81,12 +82,13 @@ def top_users(spark, folder):
 
 @_query
 def toxic_flag(spark, folder):
-    return _flagged(spark, folder).select("user", "timestamp", "is_toxic")
+    return _flagged(spark, folder)
 
 
 @_query
 def toxic_messages(spark, folder):
-    return activity.toxic_only(_flagged(spark, folder)).drop("is_toxic")
+    flagged = activity.flag_toxic(chat_view(spark, folder))
+    return activity.toxic_only(flagged).drop("is_toxic")
 
 
 @_query
@@ -114,7 +116,7 @@ def user_counts(spark, folder):
 
 @_query
 def tokens(spark, folder):
-    return words.words(chat_view(spark, folder), "user", "timestamp")
+    return words.words(texts(spark, folder), "doc_id")
 
 
 @_query

@@ -17,15 +17,17 @@ _TOKENS = (
     "string_split(regexp_replace(lower(message), '[^a-zA-Z0-9 ]', '', 'g'), ' ')"
 )
 
+_SPOKEN = "spoken AS (SELECT doc_id, text AS message FROM documents)"
 _USERS = """u AS (
-  SELECT "user", count(*) AS nb_messages FROM chat WHERE "user" IS NOT NULL GROUP BY "user")"""
+  SELECT CAST(user_id AS VARCHAR) AS "user", count(*) AS nb_messages
+  FROM events WHERE user_id IS NOT NULL GROUP BY 1)"""
 _WORDS = f"""w AS (
-  SELECT word, count(*) AS count FROM (SELECT unnest({_TOKENS}) AS word FROM chat)
+  SELECT word, count(*) AS count FROM (SELECT unnest({_TOKENS}) AS word FROM spoken)
   WHERE word <> '' GROUP BY word)"""
 
 
 def _with(body: str, *tables: str) -> str:
-    return "WITH " + ",\n".join((_CHAT, *tables)) + "\n" + body
+    return "WITH " + ",\n".join((_CHAT, _SPOKEN, *tables)) + "\n" + body
 
 
 _WINDOW = """time_bucket(INTERVAL '10 seconds', "timestamp")"""
@@ -92,7 +94,7 @@ ORACLE: dict[str, str] = {
         'FROM chat WHERE "user" IS NOT NULL GROUP BY 1'
     ),
     "tokens": _with(
-        f'SELECT * FROM (SELECT "user", "timestamp", unnest({_TOKENS}) AS word FROM chat) '
+        f'SELECT * FROM (SELECT doc_id, unnest({_TOKENS}) AS word FROM spoken) '
         "WHERE word <> ''"
     ),
     "word_counts": _with("SELECT word, count FROM w", _WORDS),
