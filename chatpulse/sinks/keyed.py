@@ -74,7 +74,7 @@ class KeyedTable:
         """
         record = f"{checkpoint}/generation"
         following = self.last_generation(spark) + 1
-        spark.range(1).select(F.lit(following).cast("bigint").alias("generation")).write.mode(
+        spark.range(0, 1, 1, 1).select(F.lit(following).cast("bigint").alias("generation")).write.mode(
             "ignore"
         ).parquet(record)
         return spark.read.schema("generation bigint").parquet(record).first()[0]

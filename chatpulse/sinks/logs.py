@@ -21,4 +21,4 @@ def append_metrics(rows: DataFrame, path: str, run: int, at: str) -> None:
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     """All runs' metrics, with the run's number."""
     schema = T.StructType([*METRIC_LOG.fields, T.StructField("run", T.LongType())])
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)

@@ -5,7 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import (
+    DataStreamWriter,
+    StreamingQuery,
+    StreamingQueryException,
+)
 
 
 def start(
@@ -38,8 +42,16 @@ def supervise(spark: SparkSession, queries: Sequence[StreamingQuery]) -> None:
     job ends as a whole and the scheduler that started it can restart it.
     """
     try:
-        spark.streams.awaitAnyTermination()
+        while all(query.isActive for query in queries):
+            try:
+                spark.streams.awaitAnyTermination()
+            except StreamingQueryException:
+                # Ours is raised below; the session may run queries of others.
+                pass
+            spark.streams.resetTerminated()
     finally:
         for query in queries:
             query.stop()
-        spark.streams.resetTerminated()
+    for query in queries:
+        if query.exception() is not None:
+            raise query.exception()

@@ -1,0 +1,134 @@
+"""Null rules, ties and invariants of the metrics."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from chatpulse import schemas
+from chatpulse.operators import activity, stats, words
+from helpers import at, chat, counted, rows
+
+MESSAGES = [
+    ("a", "you NOOB", 1),
+    ("a", "hello world", 9),
+    ("b", None, 10),
+    (None, "I hate it", 12),
+    (None, None, 19),
+    ("c", "fine", None),
+]
+
+
+@pytest.fixture
+def flagged(spark):
+    return activity.flag_toxic(chat(spark, *MESSAGES))
+
+
+def test_windows(flagged):
+    assert counted(activity.window_activity(flagged)) == {at(0): 2, at(10): 3}
+    assert counted(activity.toxic_window_activity(flagged)) == {at(0): 1, at(10): 1}
+    assert counted(activity.window_counts(flagged)) == {at(0): (2, 1), at(10): (3, 1)}
+    assert counted(activity.messages_per_minute(flagged)) == {at(0): 5}
+
+
+def test_users_without_name_are_left_out(flagged):
+    assert counted(activity.user_activity(flagged)) == {"a": 2, "b": 1, "c": 1}
+    assert counted(activity.toxic_users(flagged)) == {"a": 1}
+    assert counted(activity.user_counts(flagged)) == {"a": (2, 1), "b": (1, 0), "c": (1, 0)}
+
+
+def test_fused_counts_split_into_the_single_ones(flagged):
+    windows, users = activity.window_counts(flagged), activity.user_counts(flagged)
+    assert rows(activity.total_part(windows)) == rows(activity.window_activity(flagged))
+    assert rows(activity.toxic_part(windows)) == rows(activity.toxic_window_activity(flagged))
+    assert rows(activity.total_part(users)) == rows(activity.user_activity(flagged))
+    assert rows(activity.toxic_part(users)) == rows(activity.toxic_users(flagged))
+
+
+def test_toxic_messages_drop_unknown(flagged):
+    assert activity.toxic_only(flagged).count() == 2
+
+
+def test_total_counts_every_row(flagged):
+    assert stats.total_messages(flagged).first().total_messages == len(MESSAGES)
+
+
+def test_global_stats(spark, flagged):
+    users = activity.user_activity(flagged)
+    assert counted(stats.global_stats(users)) == {
+        "total_messages": 4.0, "average_messages_per_user": 4 / 3,
+    }
+    nobody = users.filter("user = 'x'")
+    assert counted(stats.global_stats(nobody)) == {
+        "total_messages": 0.0, "average_messages_per_user": 0.0,
+    }
+    assert stats.average_messages_per_user(nobody).first()[0] == 0.0
+
+
+def test_words_and_ties(spark):
+    frame = chat(spark, ("a", "b a  c", 1), ("a", "B, a!", 1), ("a", None, 1), ("a", "d", 1))
+    counts = words.word_counts(frame)
+    assert counted(counts) == {"a": 2, "b": 2, "c": 1, "d": 1}
+    assert [tuple(r) for r in words.top_words(counts, 3).collect()] == [
+        ("a", 2), ("b", 2), ("c", 1),
+    ]
+
+
+def test_top_users_breaks_ties_by_name(spark):
+    users = spark.createDataFrame([("z", 5), ("b", 7), ("a", 5)], "user string, nb_messages bigint")
+    assert [r.user for r in activity.top_users(users, 2).collect()] == ["b", "a"]
+
+
+def test_stats_long(spark, flagged):
+    long = stats.stats_long(activity.user_activity(flagged), words.word_counts(flagged))
+    got = {(r.metric, r.key): r.value for r in long.collect()}
+    assert got[("messages_per_user", "a")] == 2
+    assert got[("top_words", "noob")] == 1
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_invariants_on_random_chat(spark, seed):
+    rng = random.Random(seed)
+    vocabulary = ["trash", "hi", "Stupid!", "noobs", "hate-it", "é", ""]
+    messages = [
+        (
+            rng.choice(["hot"] * 6 + ["a", "b", "c", None]),
+            rng.choice([None, " ".join(rng.choices(vocabulary, k=3))]),
+            rng.randrange(100),
+        )
+        for _ in range(300)
+    ]
+    frame = activity.flag_toxic(chat(spark, *messages))
+    windows, users = activity.window_counts(frame), activity.user_counts(frame)
+    total = stats.total_messages(frame).first()[0]
+    by_window = windows.agg(F.sum("total_messages")).first()[0]
+    by_user = users.agg(F.sum("nb_messages")).first()[0]
+    assert total == by_window == by_user + sum(m[0] is None for m in messages)
+    assert users.filter("nb_toxic_messages > nb_messages").count() == 0
+    assert windows.filter("total_toxic_messages > total_messages").count() == 0
+    spread = frame.repartition(1 + 5 * seed, "message")
+    assert rows(activity.user_counts(spread)) == rows(users)
+    assert rows(activity.window_counts(spread)) == rows(windows)
+
+
+def test_hot_user_sends_one_row_per_task(spark):
+    frame = spark.range(0, 30000, 1, 4).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("user")
+    )
+    plan = activity.user_activity(frame)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count(1)" in plan
+    assert counted(activity.user_activity(frame))["hot"] == 10000
+
+
+def test_conform_checks_columns_and_narrows(spark):
+    users = spark.createDataFrame([("a", 2**31)], "user string, nb_messages bigint")
+    table = schemas.USER_ACTIVITY
+    assert table.conform(users).schema["nb_messages"].dataType.simpleString() == "bigint"
+    small = table.narrowed().conform(users.withColumn("nb_messages", F.lit(7).cast("bigint")))
+    assert small.schema["nb_messages"].dataType.simpleString() == "int"
+    with pytest.raises(Exception, match="OVERFLOW"):
+        table.narrowed().conform(users).collect()
+    with pytest.raises(ValueError):
+        table.conform(users.withColumn("more", F.lit(1)))
+    with pytest.raises(ValueError):
+        table.conform(users.drop("nb_messages"))
