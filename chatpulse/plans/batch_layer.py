@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from chatpulse import schemas
 from chatpulse.operators import activity, stats, words
 from chatpulse.settings import job_session
+from chatpulse.sinks.connectors import CASSANDRA, cassandra_options, connector_writer
 from chatpulse.sinks.keyed import KeyedTable, read_snapshot, write_snapshot
 from chatpulse.sinks.logs import append_metrics, append_run
 from chatpulse.sources.archive import convert_archive, read_history
@@ -46,6 +47,22 @@ def write_results(messages: DataFrame, tables: str, run: int, word_rank: int = 1
     result_table(tables, schemas.GLOBAL_STATS).put(stats.global_stats(counted), GENERATION, run)
 
 
+def export_results(
+    spark: SparkSession, tables: str, keyspace: str, form: str = CASSANDRA
+) -> None:
+    """Upserts the result tables into an outside store that declares 32-bit counts."""
+    users = result_table(tables, schemas.TOP_USERS).newest_epoch(spark, GENERATION)
+    totals = result_table(tables, schemas.GLOBAL_STATS).latest(spark)
+    ranking = read_snapshot(spark, f"{tables}/{schemas.TOP_WORDS.name}", schemas.TOP_WORDS)
+    for table, rows in (
+        (schemas.TOP_USERS, users),
+        (schemas.TOP_WORDS, ranking),
+        (schemas.GLOBAL_STATS, totals),
+    ):
+        options = cassandra_options(keyspace, table.name)
+        connector_writer(form, options, table.narrowed())(rows, 0)
+
+
 def next_run(spark: SparkSession, tables: str) -> int:
     stats_table = result_table(tables, schemas.GLOBAL_STATS)
     last = stats_table.last_epoch(spark, GENERATION)
@@ -108,6 +125,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--archive", required=True, help="JSON lines")
     parser.add_argument("--history", required=True, help="Parquet folder to fill")
     parser.add_argument("--tables", required=True, help="folder of the result tables")
+    parser.add_argument("--keyspace", help="also upsert the results into Cassandra tables")
     parser.add_argument("--word-rank", type=int, default=100)
     parser.add_argument("--metric-log", action="store_true")
     parser.add_argument("--preview", action="store_true")
@@ -125,6 +143,8 @@ def main(arguments: list[str] | None = None) -> None:
             spark, given.archive, given.history, given.tables,
             given.word_rank, given.preview,
         )
+        if given.keyspace:
+            export_results(spark, given.tables, given.keyspace)
 
 
 if __name__ == "__main__":

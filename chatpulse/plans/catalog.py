@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from chatpulse import schemas
@@ -37,6 +38,39 @@ def _with_naive(df: DataFrame, time: str) -> DataFrame:
     return df.withColumn(time, _naive(time))
 
 
+def _with_iso_time(messages: DataFrame) -> DataFrame:
+    return messages.withColumn("timestamp", ingest.iso_text(F.col("timestamp")))
+
+
+_DERIVED: dict[tuple[str, str, str], str] = {}
+
+
+def _derived(
+    spark: SparkSession, folder: str, form: str, write: Callable[[str], None]
+) -> str:
+    """Path of the chat in another form, written once per application and folder.
+
+    Several queries start from the same topic or archive; at full size each copy
+    would be as large as the texts. A form is remembered only once its write is
+    through, and written again if somebody cleaned up the shared folder.
+    """
+    key = (spark.sparkContext.applicationId, folder, form)
+    path = _DERIVED.get(key)
+    if path is None or not _is_there(spark, path):
+        path = work_folder(spark, form)
+        write(path)
+        _DERIVED[key] = path
+    return path
+
+
+def _is_there(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.text(path)
+    except AnalysisException:
+        return False
+    return True
+
+
 def _flagged(spark: SparkSession, folder: str) -> DataFrame:
     return chat_view(spark, folder, is_toxic=has_whole_word(F.col("message")))
 
@@ -198,10 +232,12 @@ def payload_quarantine(spark, folder):
 
 
 def _archive(spark: SparkSession, folder: str) -> str:
-    path = work_folder(spark, "archive")
-    chat = chat_view(spark, folder)
-    archive.write_archive(chat.withColumn("timestamp", ingest.iso_text(F.col("timestamp"))), path)
-    return path
+    """Path of the chat as an archive of JSON lines."""
+
+    def write(path: str) -> None:
+        archive.write_archive(_with_iso_time(chat_view(spark, folder)), path)
+
+    return _derived(spark, folder, "archive", write)
 
 
 @_query
@@ -265,12 +301,13 @@ def metric_log(spark, folder):
 
 def _topic(spark: SparkSession, folder: str) -> DataFrame:
     """The chat, published to a topic with its event time and opened as a stream."""
-    path = work_folder(spark, "topic")
-    chat = chat_view(spark, folder)
-    timed = chat.withColumn("timestamp", ingest.iso_text(F.col("timestamp")))
-    payloads = ingest.encode_payload(timed, *schemas.CHAT.names)
-    topics.publish(payloads, topics.file_target(path))
-    return topics.read_files(spark, path)
+
+    def write(path: str) -> None:
+        timed = _with_iso_time(chat_view(spark, folder))
+        payloads = ingest.encode_payload(timed, *schemas.CHAT.names)
+        topics.publish(payloads, topics.file_target(path))
+
+    return topics.read_files(spark, _derived(spark, folder, "topic", write))
 
 
 def _flagged_stream(spark: SparkSession, folder: str) -> DataFrame:

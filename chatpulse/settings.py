@@ -11,8 +11,8 @@ ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 )
 
-# What the jobs ask for; spark-submit --conf wins over none of these, so only
-# settings the results depend on, or that hold at any size, are listed.
+# Only what the results depend on, or what holds at any size: memory, cores and
+# shuffle width are the cluster's business.
 JOB_CONF = {
     # Archive timestamps are naive ISO strings: read and window them in one zone.
     "spark.sql.session.timeZone": "UTC",
@@ -33,6 +33,12 @@ def job_session(app_name: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def configure(spark: SparkSession) -> None:
+    """Gives a session that someone else built the same settings."""
+    for key, value in JOB_CONF.items():
+        spark.conf.set(key, value)
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 

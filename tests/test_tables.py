@@ -158,6 +158,21 @@ def test_batch_job(spark, folder, capfd):
     assert batch_layer.next_run(spark, tables) == 2
 
 
+def test_batch_results_go_to_an_outside_store(spark, folder, monkeypatch):
+    source, history, tables = (f"{folder}/{n}" for n in ("a", "h", "t"))
+    write_archive(spark, source, MESSAGES)
+    batch_layer.run_batch(spark, source, history, tables)
+    monkeypatch.setattr(
+        batch_layer, "cassandra_options", lambda keyspace, table: {"path": f"{folder}/{keyspace}/{table}"}
+    )
+    batch_layer.export_results(spark, tables, "store", form="parquet")
+    stored = spark.read.parquet(f"{folder}/store/top_users")
+    assert counted(stored) == {"a": 2, "b": 1}
+    assert dict(stored.dtypes)["nb_messages"] == "int"
+    assert counted(spark.read.parquet(f"{folder}/store/top_words")) == {"hi": 2, "there": 1}
+    assert spark.read.parquet(f"{folder}/store/global_stats").count() == 2
+
+
 def test_metric_log_job_keeps_null_users(spark, folder):
     source, history, tables = (f"{folder}/{n}" for n in ("a", "h", "t"))
     write_archive(spark, source, MESSAGES)
