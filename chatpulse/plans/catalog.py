@@ -322,7 +322,20 @@ def _stream_window_counts(spark: SparkSession, folder: str) -> DataFrame:
             flagged, tables, f"{tables}-checkpoint", available_now=True
         )
     )
-    return _with_naive(speed_layer.read_window_counts(spark, tables), "window_start")
+    return _with_naive(speed_layer.read_windows(spark, tables), "window_start")
+
+
+@_query
+def stream_messages_per_minute(spark, folder):
+    tables = work_folder(spark, "tables")
+    messages = metrics.stamp(ingest.decode_payload(_topic(spark, folder)), "event")
+    finish(
+        speed_layer.start_minute_table(
+            messages, tables, f"{tables}-checkpoint", available_now=True
+        )
+    )
+    minutes = speed_layer.read_windows(spark, tables, schemas.MINUTE_ACTIVITY)
+    return _with_naive(minutes, "window_start")
 
 
 def _stream_user_counts(spark: SparkSession, folder: str) -> DataFrame:

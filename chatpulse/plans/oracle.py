@@ -35,6 +35,9 @@ _WINDOW = """time_bucket(INTERVAL '10 seconds', "timestamp")"""
 _GLOBAL_ACTIVITY = _with(
     f"SELECT {_WINDOW} AS window_start, count(*) AS total_messages FROM chat GROUP BY 1"
 )
+_PER_MINUTE = _with(
+    """SELECT date_trunc('minute', "timestamp") AS window_start, count(*) AS n FROM chat GROUP BY 1"""
+)
 _TOXIC_ACTIVITY = _with(
     f"SELECT {_WINDOW} AS window_start, count(*) AS total_toxic_messages "
     f"FROM chat WHERE {_TOXIC} GROUP BY 1"
@@ -73,9 +76,7 @@ parsed AS (
 ORACLE: dict[str, str] = {
     "total_messages": _with("SELECT count(*) AS total_messages FROM chat"),
     "global_activity": _GLOBAL_ACTIVITY,
-    "messages_per_minute": _with(
-        """SELECT date_trunc('minute', "timestamp") AS window_start, count(*) AS n FROM chat GROUP BY 1"""
-    ),
+    "messages_per_minute": _PER_MINUTE,
     "user_activity": _USER_ACTIVITY,
     "top_users": _with(
         'SELECT "user", nb_messages FROM u ORDER BY nb_messages DESC, "user" LIMIT 10', _USERS
@@ -134,6 +135,7 @@ UNION ALL SELECT 'global_stats', metric_name, value FROM s""",
         _USERS, _WORDS, f"l AS ({_LONG_ROWS})",
     ),
     "stream_global_activity": _GLOBAL_ACTIVITY,
+    "stream_messages_per_minute": _PER_MINUTE,
     "stream_toxic_activity": _TOXIC_ACTIVITY,
     "stream_user_activity": _USER_ACTIVITY,
     "stream_toxic_users": _TOXIC_USERS,

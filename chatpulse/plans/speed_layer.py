@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from chatpulse import schemas
 from chatpulse.functions.text import TOXIC_WORDS
 from chatpulse.operators import activity
+from chatpulse.operators.ingest import decode_payload
 from chatpulse.settings import job_session
 from chatpulse.sinks.connectors import (
     CASSANDRA,
@@ -67,6 +68,17 @@ def start_user_table(
     )
 
 
+def start_minute_table(
+    messages: DataFrame, tables: str, checkpoints: str, **trigger
+) -> StreamingQuery:
+    """The message rate, per aligned minute."""
+    return _start_keyed(
+        metrics.messages_per_minute(messages),
+        keyed(tables, schemas.MINUTE_ACTIVITY),
+        f"{checkpoints}/minutes", "update", trigger,
+    )
+
+
 def start_tables(
     payloads: DataFrame,
     tables: str,
@@ -101,10 +113,12 @@ def start_ranking_table(
     )
 
 
-def read_window_counts(spark: SparkSession, tables: str) -> DataFrame:
+def read_windows(
+    spark: SparkSession, tables: str, table: schemas.ResultTable = schemas.WINDOW_COUNTS
+) -> DataFrame:
     """Window counts of the newest generation."""
-    table = keyed(tables, schemas.WINDOW_COUNTS)
-    return table.latest(spark, table.last_generation(spark))
+    stored = keyed(tables, table)
+    return stored.latest(spark, stored.last_generation(spark))
 
 
 def read_user_counts(spark: SparkSession, tables: str) -> DataFrame:
@@ -181,6 +195,7 @@ def _arguments(arguments: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--tables", help="folder of the result tables")
     parser.add_argument("--keyspace", help="write to Cassandra tables instead")
     parser.add_argument("--archive", help="folder of JSON lines")
+    parser.add_argument("--show-rate", action="store_true", help="print messages per minute")
     parser.add_argument("--topic-folder", help="folder of Parquet files with a value column")
     parser.add_argument("--max-files-per-trigger", type=int)
     parser.add_argument("--servers", help="Kafka bootstrap servers")
@@ -220,6 +235,13 @@ def main(arguments: list[str] | None = None) -> None:
                 payloads, given.archive, f"{given.checkpoints}/archive", **trigger
             )
         ]
+        if given.show_rate:
+            messages = metrics.stamp(decode_payload(payloads), given.time_source)
+            queries.append(
+                metrics.start_console(
+                    metrics.messages_per_minute(messages), f"{given.checkpoints}/rate", **trigger
+                )
+            )
     elif given.job == "console":
         trigger = trigger if given.available_now or given.every else {}
         queries = start_consoles(payloads, given.checkpoints, **rules, **trigger)

@@ -74,6 +74,7 @@ WINDOW_ACTIVITY = _table("window_activity", "window_start", _TIME, total_message
 TOXIC_WINDOW_ACTIVITY = _table(
     "toxic_window_activity", "window_start", _TIME, total_toxic_messages=_COUNT
 )
+MINUTE_ACTIVITY = _table("minute_activity", "window_start", _TIME, n=_COUNT)
 USER_ACTIVITY = _table("user_activity", "user", _TEXT, nb_messages=_COUNT)
 TOXIC_USERS = _table("toxic_users", "user", _TEXT, nb_toxic_messages=_COUNT)
 TOP_USERS = _table("top_users", "user", _TEXT, nb_messages=_COUNT)
@@ -93,6 +94,7 @@ RESULT_TABLES = {
     for t in (
         WINDOW_ACTIVITY,
         TOXIC_WINDOW_ACTIVITY,
+        MINUTE_ACTIVITY,
         USER_ACTIVITY,
         TOXIC_USERS,
         TOP_USERS,

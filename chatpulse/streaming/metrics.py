@@ -58,6 +58,10 @@ def window_counts(
     return activity.window_counts(flagged.withWatermark("timestamp", watermark), length)
 
 
+def messages_per_minute(messages: DataFrame, watermark: str = WATERMARK) -> DataFrame:
+    return activity.messages_per_minute(messages.withWatermark("timestamp", watermark))
+
+
 def user_counts(flagged: DataFrame) -> DataFrame:
     """Running counts per user; a user never leaves the state."""
     return activity.user_counts(flagged)

@@ -39,7 +39,7 @@ class Topic:
         return queries
 
     def windows(self):
-        return counted(speed_layer.read_window_counts(self.spark, self.tables))
+        return counted(speed_layer.read_windows(self.spark, self.tables))
 
     def users(self):
         return counted(speed_layer.read_user_counts(self.spark, self.tables))
@@ -261,7 +261,7 @@ def test_jobs_run_from_the_command_line(spark, folder, topic):
         ["tables", *common, "--tables", topic.tables, "--time-source", "event", "--words", "naughty,rude"]
     )
     assert topic.users() == {"a": (1, 0), "b": (1, 1)}
-    speed_layer.main(["archive", *common, "--archive", f"{folder}/archive"])
+    speed_layer.main(["archive", *common, "--archive", f"{folder}/archive", "--show-rate"])
     batch_layer.main(
         ["--archive", f"{folder}/archive", "--history", f"{folder}/h", "--tables", f"{folder}/t"]
     )
