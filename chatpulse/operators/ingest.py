@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from chatpulse.functions.payload import decoded, encoded
 from chatpulse.functions.protocol import (
@@ -12,7 +12,7 @@ from chatpulse.functions.protocol import (
     sender,
     spoken_text,
 )
-from chatpulse.schemas import CHAT_OR_CORRUPT, CORRUPT
+from chatpulse.schemas import CHAT, CHAT_OR_CORRUPT, CORRUPT
 
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
@@ -39,10 +39,10 @@ def encode_payload(messages: DataFrame, *fields: str) -> DataFrame:
     return messages.select(encoded(*(fields or ("user", "message"))).alias("value"))
 
 
-def _with_record(payloads: DataFrame) -> DataFrame:
+def _with_record(payloads: DataFrame, schema: T.StructType) -> DataFrame:
     # Exploding a one-element array keeps the parse in one place; Catalyst would
     # repeat a plain parsed column in every filter that looks at it.
-    record = decoded(F.col("value"), CHAT_OR_CORRUPT)
+    record = decoded(F.col("value"), schema)
     return payloads.withColumn("record", F.explode(F.array(record)))
 
 
@@ -55,14 +55,15 @@ def _is_malformed() -> Column:
 def decode_payload(payloads: DataFrame, drop_malformed: bool = False) -> DataFrame:
     """``user, message, timestamp`` of each payload; a broken one gives nulls."""
     if not drop_malformed:
-        return payloads.select(decoded(F.col("value")).alias("record")).select("record.*")
-    whole = _with_record(payloads).filter(~_is_malformed())
+        return _with_record(payloads, CHAT).select("record.*")
+    whole = _with_record(payloads, CHAT_OR_CORRUPT).filter(~_is_malformed())
     return whole.select("record.*").drop(CORRUPT)
 
 
 def flag_malformed(payloads: DataFrame) -> DataFrame:
     """The payloads with an ``is_malformed`` column."""
-    return _with_record(payloads).withColumn("is_malformed", _is_malformed()).drop("record")
+    whole = _with_record(payloads, CHAT_OR_CORRUPT)
+    return whole.withColumn("is_malformed", _is_malformed()).drop("record")
 
 
 def quarantine(payloads: DataFrame) -> DataFrame:

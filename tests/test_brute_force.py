@@ -1,0 +1,78 @@
+"""Text functions against plain Python on random awkward strings."""
+
+import json
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from chatpulse.functions.text import TOXIC_WORDS, ascii_tokens, has_whole_word
+from chatpulse.operators import ingest
+
+PIECES = [
+    *TOXIC_WORDS, "NOOB", "Idiot", "hat", "e", "é", "İ", "ſ", "ß", "Σ", "K", "_", "-", "9", " ",
+    "  ", "\n", "\t", "\r\n", "\x1c", "\x85", " ", "　", "​", "\U0001f600", ":", "!",
+    "PRIVMSG", "PING", '"', "\\", "{", "}", "[", "]", "`", "@", "/", "~", "\x7f", "\x00", "A", "z",
+]
+
+
+def random_strings(seed, n=3000):
+    rng = random.Random(seed)
+    return ["".join(rng.choices(PIECES, k=rng.randrange(9))) for _ in range(n)]
+
+
+def frame_of(spark, strings, name):
+    return spark.createDataFrame(list(enumerate(strings)), f"id bigint, {name} string")
+
+
+def test_toxicity(spark):
+    strings = random_strings(1)
+    word = re.compile(r"\b(" + "|".join(TOXIC_WORDS) + r")\b", re.ASCII | re.IGNORECASE)
+    frame = frame_of(spark, strings, "message")
+    got = dict(frame.select("id", has_whole_word(F.col("message"))).collect())
+    assert got == {i: bool(word.search(s)) for i, s in enumerate(strings)}
+    assert 100 < sum(got.values()) < len(strings) - 100
+
+
+def test_tokens(spark):
+    strings = random_strings(2)
+    frame = frame_of(spark, strings, "message")
+    got = dict(frame.select("id", ascii_tokens(F.col("message"))).collect())
+    kept = set("abcdefghijklmnopqrstuvwxyz0123456789 ")
+    assert got == {
+        i: "".join(c for c in s.lower() if c in kept).split(" ") for i, s in enumerate(strings)
+    }
+
+
+def parsed(line):
+    before, command, after = line.partition("PRIVMSG")
+    _, colon, text = after.partition(":")
+    if command and colon:
+        return before.partition("!")[0][1:], text.strip()
+    return None
+
+
+def test_line_parse(spark):
+    strings = random_strings(3) + [f":{s}!x PRIVMSG #r :{s}" for s in random_strings(4, 1000)]
+    frame = frame_of(spark, strings, "chunk")
+    got = sorted(tuple(r) for r in ingest.parse_chat_lines(ingest.chat_lines(frame)).collect())
+    want = [
+        parsed(line)
+        for chunk in strings
+        if not chunk.startswith("PING")
+        for line in chunk.split("\r\n")
+    ]
+    assert got == sorted(p for p in want if p)
+
+
+def test_payload_round_trip(spark):
+    strings = random_strings(5)
+    frame = frame_of(spark, strings, "message").withColumn("user", F.col("id").cast("string"))
+    payloads = ingest.encode_payload(frame)
+    assert sorted((r["user"], r["message"]) for r in map(json.loads, (
+        bytes(r.value) for r in payloads.collect()
+    ))) == sorted((str(i), s) for i, s in enumerate(strings))
+    back = ingest.decode_payload(payloads, drop_malformed=True)
+    assert sorted((r.user, r.message) for r in back.collect()) == sorted(
+        (str(i), s) for i, s in enumerate(strings)
+    )

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from chatpulse.operators import ingest
+from chatpulse.operators import activity, ingest
 from chatpulse.plans import ingest_layer
 from chatpulse.sources import archive, topics
 from chatpulse.streaming.run import finish
@@ -74,8 +74,14 @@ def test_quarantine(payloads):
 
 
 def test_payload_is_parsed_once_per_row(payloads):
-    plan = ingest.quarantine(payloads)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("from_json") == 1
+    decoded = ingest.decode_payload(payloads)
+    for frame in (
+        ingest.quarantine(payloads),
+        ingest.decode_payload(payloads, drop_malformed=True),
+        activity.user_counts(activity.flag_toxic(decoded)),
+    ):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") == 1
 
 
 def test_encode_is_json_bytes(spark):
