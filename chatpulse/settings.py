@@ -19,6 +19,10 @@ JOB_CONF = {
     # Hot join keys are split and small reduce partitions merged at run time.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast by measured size only. The static estimate comes from file sizes,
+    # and a small file of repeated texts can unpack to any size.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     # Per-user counts never leave the state, so it must not live on the heap.
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",

@@ -36,8 +36,8 @@ def chat_view(spark: SparkSession, folder: str, **from_text: Column) -> DataFram
 
     Named expressions over ``message`` take the place of the message: they are
     computed beside the documents, so the join moves their results and not the
-    texts. The join is a plain left join: adaptive execution may split a hot
-    id, and broadcasts only what is below the session's size threshold.
+    texts. The join is a plain left join, so adaptive execution may split a hot
+    id, or broadcast a side whose measured size is small.
     """
     spoken = texts(spark, folder)
     if from_text:
