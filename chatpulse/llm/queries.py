@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from chatpulse.llm import simhash
+from chatpulse.llm import language_id, packing, secret_scan, simhash, token_counts, winnowing
 from chatpulse.llm.common import documents
 
 
@@ -17,8 +18,55 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _joined(spans: Column) -> Column:
+    """``kind:start:end`` of each span, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(documents(spark, sf_dir).select("doc_id", "text"))
+    spans = F.col("spans")
+
+    def of(*kinds: str) -> Column:
+        return F.filter(spans, lambda s: s["kind"].isin(*kinds))
+
+    base = [rule.kind for rule in secret_scan.BASE_RULES]
+    return found.select(
+        "doc_id",
+        *(F.size(of(kind)).cast("bigint").alias(f"n_{kind}") for kind in base),
+        F.sha2(_joined(of(*base)), 256).alias("base_sha256"),
+        _joined(spans).alias("spans"),
+    )
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(documents(spark, sf_dir))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return token_counts.token_counts(documents(spark, sf_dir), model)
+
+
+def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.edit_survey(documents(spark, sf_dir))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(
+        documents(spark, sf_dir),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
+    "op3_secrets": op3_secrets,
+    "op5_language_id": op5_language_id,
+    "op7_token_counts": op7_token_counts,
+    "op8_winnowing": op8_winnowing,
+    "op9_packing": op9_packing,
 }
 
 ORACLE: dict[str, str] = {}
