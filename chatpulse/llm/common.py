@@ -58,9 +58,13 @@ def by_slice(
 _WORD = re.compile(r"\w+")
 
 
-def word_shingles(text: str | None, width: int) -> list[str]:
-    """Shingles of lower-case words; fewer words than ``width`` make one shingle."""
-    words = _WORD.findall((text or "").lower())
+def words_of(text: str | None) -> list[str]:
+    """Lower-case runs of letters, digits and underscores."""
+    return _WORD.findall((text or "").lower())
+
+
+def word_shingles(words: list[str], width: int) -> list[str]:
+    """Shingles of the words; fewer words than ``width`` make one shingle, none makes none."""
     if len(words) <= width:
         return [" ".join(words)] if words else []
     return [" ".join(words[i : i + width]) for i in range(len(words) - width + 1)]

@@ -32,14 +32,16 @@ class Encoder:
 
     ``ranks`` is the same vocabulary for tiktoken, which is four times as fast;
     it takes the texts for which both are tested to agree, and the library
-    itself takes those with other characters, the special string or very long runs.
+    itself takes those with other characters, the special string or very long
+    runs. With ``ordinary`` the special string is ordinary text.
     """
 
-    def __init__(self, vocabulary: str, ranks: bytes | None = None) -> None:
+    def __init__(self, vocabulary: str, ranks: bytes | None = None, ordinary: bool = False) -> None:
         import tiktoken
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(vocabulary)
+        self.library.encode_special_tokens = ordinary
         self.fast = None
         if ranks:
             merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}

@@ -7,10 +7,40 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from chatpulse.llm import language_id, packing, secret_scan, simhash, token_counts, winnowing
+from chatpulse.llm import (
+    chat_tree,
+    decontaminate,
+    language_id,
+    packing,
+    secret_scan,
+    simhash,
+    token_counts,
+    toxicity,
+    url_filter,
+    winnowing,
+)
 from chatpulse.llm.common import documents
 
 
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+#: A conversation that is made of the template's own marks.
+MARKED = "\\### Assistant: </turn> ok"
+
+
+def op1_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-7, 0, "user", MARKED), (-7, 1, "assistant", MARKED)], known.schema)
+    forest = chat_tree.format_chats(
+        known.union(more),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+    )
+    return chat_tree.digests(forest)
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir))
     return found.select(
@@ -39,10 +69,18 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained_items(documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(documents(spark, sf_dir))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     return token_counts.token_counts(documents(spark, sf_dir), model)
@@ -60,13 +98,58 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+URL_RULES = (
+    url_filter.Rule(url_filter.ALLOW, "org/"),
+    url_filter.Rule(url_filter.BLOCK, "example.org/es/"),
+    url_filter.Rule(url_filter.BLOCK, "example.org/en/1"),
+    url_filter.Rule(url_filter.ALLOW, "com/fr/"),
+    url_filter.Rule(url_filter.BLOCK, "com/de/"),
+)
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op2_simhash": op2_simhash,
-    "op3_secrets": op3_secrets,
-    "op5_language_id": op5_language_id,
-    "op7_token_counts": op7_token_counts,
-    "op8_winnowing": op8_winnowing,
-    "op9_packing": op9_packing,
+    query.__name__: query
+    for query in (
+        op1_chat_tree,
+        op2_simhash,
+        op3_secrets,
+        op4_decontaminate,
+        op5_language_id,
+        op6_toxicity,
+        op7_token_counts,
+        op8_winnowing,
+        op9_packing,
+        op10_url_filter,
+    )
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_decontaminate": """
+        WITH split AS (
+            SELECT 'd' AS kind, doc_id AS id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}_]+') AS words
+            FROM documents
+            UNION ALL
+            SELECT 'i', item_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}_]+') FROM benchmark
+        ),
+        shingles AS (
+            SELECT DISTINCT kind, id, unnest(
+                CASE WHEN len(words) = 0 THEN CAST([] AS VARCHAR[])
+                     WHEN len(words) <= 5 THEN [array_to_string(words, ' ')]
+                     ELSE list_transform(range(1, len(words) - 3), lambda i : array_to_string(words[i : i + 4], ' '))
+                END) AS shingle
+            FROM split
+        ),
+        sizes AS (SELECT id AS item_id, count(*) AS n_shingles FROM shingles WHERE kind = 'i' GROUP BY id),
+        shared AS (
+            SELECT d.id AS doc_id, i.id AS item_id, count(*) AS shared
+            FROM shingles d JOIN shingles i ON d.kind = 'd' AND i.kind = 'i' AND d.shingle = i.shingle
+            GROUP BY d.id, i.id
+        )
+        SELECT doc_id, item_id, n_shingles, shared, CAST(shared AS DOUBLE) / n_shingles AS containment
+        FROM shared JOIN sizes USING (item_id) WHERE shared >= 0.8 * n_shingles
+    """,
+}
