@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from chatpulse.settings import work_folder
@@ -39,22 +37,6 @@ def id_crc(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
 
 
-def by_slice(
-    work: Callable[[pa.RecordBatch], dict[str, list]], schema: pa.Schema
-) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A ``mapInArrow`` function that calls ``work`` on a bounded number of rows."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for begin in range(0, batch.num_rows, SLICE_ROWS):
-                made = work(batch.slice(begin, SLICE_ROWS))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(made[f.name], type=f.type) for f in schema], schema=schema
-                )
-
-    return run
-
-
 _WORD = re.compile(r"\w+")
 
 

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import StructType
 
 from chatpulse.llm.common import column, id_crc
 
@@ -181,15 +182,22 @@ def labelled_sample(
     return samples
 
 
-def language_of(docs: DataFrame, model: LanguageModel, text_col: str = "text", extra: tuple[str, ...] = ()) -> DataFrame:
-    """The columns ``extra`` with ``lang_pred`` and ``score`` of every row.
+def language_of(
+    docs: DataFrame,
+    model: LanguageModel,
+    text_col: str = "text",
+    extra: tuple[str, ...] = (),
+    names: tuple[str, str] = ("lang_pred", "score"),
+) -> DataFrame:
+    """The columns ``extra`` with language and score of every row.
 
     The whole text is parsed. A text that is null or has no letter is ``und``
     with score 0, as is every text if no labelled language was seen; a text in
     letters the model never saw ties and gets the first language by name, score
     0. Repeated rows and other columns pass through; an empty table stays empty.
     """
-    picked = docs.select(*(column(docs, c) for c in extra), column(docs, text_col).alias("__text"))
+    picked = docs.select(*(column(docs, c) for c in dict.fromkeys([*extra, text_col])))
+    place = picked.columns.index(text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -197,13 +205,11 @@ def language_of(docs: DataFrame, model: LanguageModel, text_col: str = "text", e
         for batch in batches:
             for at in range(0, batch.num_rows, LANES):
                 rows = batch.slice(at, LANES)
-                found = known.predict(rows.column(len(extra)).to_pylist())
+                found = known.predict(rows.column(place).to_pylist())
                 made = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
-                yield pa.RecordBatch.from_arrays(
-                    [*rows.columns[: len(extra)], *made], names=[*extra, "lang_pred", "score"]
-                )
+                yield pa.RecordBatch.from_arrays([*rows.columns[: len(extra)], *made], names=[*extra, *names])
 
-    schema = picked.drop("__text").schema.add("lang_pred", "string").add("score", "double")
+    schema = StructType(picked.schema.fields[: len(extra)]).add(names[0], "string").add(names[1], "double")
     return picked.mapInArrow(run, schema)
 
 
@@ -212,8 +218,19 @@ def held_out_third(docs: DataFrame, id_col: str = "doc_id"):
     return F.pmod(id_crc(column(docs, id_col)), F.lit(3)) == 1
 
 
+def learned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
+    """A model of the rows that are not held out."""
+    return train(labelled_sample(docs.filter(~held_out_third(docs, id_col)), id_col, text_col, lang_col))
+
+
 def identify(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Learns from the rows that are not held out and predicts all rows."""
     marked = docs.withColumn("held_out", held_out_third(docs, id_col))
-    model = train(labelled_sample(marked.filter("NOT held_out"), id_col))
-    return language_of(marked, model, extra=(id_col, "held_out"))
+    return language_of(marked, learned(docs, id_col), extra=(id_col, "held_out"))
+
+
+def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows whose language can be told, with all columns: nulls and texts without a letter go."""
+    names = ("__language", "__language_score")
+    told = language_of(docs, learned(docs, id_col, text_col), text_col, tuple(docs.columns), names)
+    return told.filter(F.col(names[0]) != UNDETERMINED).drop(*names)

@@ -98,16 +98,18 @@ def redacted(text: str, spans: Sequence[tuple[str, int, int]], mark: str = "[RED
     return "".join([*parts, text[done:]])
 
 
-def scan(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RULES, redact: bool = False) -> DataFrame:
+def scan(
+    docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RULES, hide: bool = False, name: str = "spans"
+) -> DataFrame:
     """Every row with a column ``spans``: array of ``kind, start, end``.
 
-    Offsets count code points, the end is exclusive. With ``redact`` the text is
-    returned with its secrets replaced. A null or empty text has no spans (and
-    stays as it is); whole texts are scanned, however long; repeated rows and
-    all other columns pass through, but for a column ``spans`` of the input,
-    which is replaced; an empty table stays empty.
+    Offsets count code points of the text as it came, the end is exclusive. With
+    ``hide`` the text is returned with its secrets replaced. A null or empty text
+    has no spans (and stays as it is); whole texts are scanned, however long;
+    repeated rows and all other columns pass through, but for one with the name
+    of the new column, which is replaced; an empty table stays empty.
     """
-    picked = docs.select(*(column(docs, c) for c in docs.columns if c != "spans"))
+    picked = docs.select(*(column(docs, c) for c in docs.columns if c != name))
     place = picked.columns.index(text_col)
     shared = docs.sparkSession.sparkContext.broadcast(Scanner(rules))
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
@@ -120,13 +122,24 @@ def scan(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RULES,
                 texts = rows.column(place).to_pylist()
                 found = [scanner.spans(t) for t in texts]
                 columns = list(rows.columns)
-                if redact:
+                if hide:
                     clean = [redacted(t, s) if s else t for t, s in zip(texts, found)]
                     columns[place] = pa.array(clean, columns[place].type)
                 made = [[{"kind": k, "start": i, "end": j} for k, i, j in s] for s in found]
-                yield pa.RecordBatch.from_arrays(
-                    [*columns, pa.array(made, span)], names=[*rows.schema.names, "spans"]
-                )
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(made, span)], names=[*rows.schema.names, name])
 
-    out = picked.withColumn("spans", F.array().cast("array<struct<kind:string,start:bigint,end:bigint>>")).schema
+    out = picked.withColumn(name, F.array().cast("array<struct<kind:string,start:bigint,end:bigint>>")).schema
     return picked.mapInArrow(run, out)
+
+
+def redact(
+    docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RULES, size_col: str = "n_chars"
+) -> DataFrame:
+    """All rows and columns with the secrets of the text replaced, and its size counted anew where there were any."""
+    name = "__spans"
+    hidden = scan(docs, text_col, rules, hide=True, name=name)
+    if size_col in docs.columns:
+        kind = docs.schema[size_col].dataType
+        size = F.when(F.size(name) > 0, F.length(column(hidden, text_col)).cast(kind)).otherwise(column(hidden, size_col))
+        hidden = hidden.withColumn(size_col, size)
+    return hidden.drop(name)

@@ -7,7 +7,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from chatpulse.llm.common import by_slice, column, frozen
+from chatpulse.llm.common import SLICE_ROWS, column, frozen
 from chatpulse.llm.components import components
 
 SHINGLE_WORDS = 4
@@ -40,19 +40,27 @@ def simhash(text: str | None, width: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(2 * ones > len(begins), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id, fp``: the fingerprint as the signed bigint of the same bits."""
-    id_type = docs.schema[id_col].dataType.simpleString()
+def row_keys(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
+    """Two hashes by which a row with its id and text is known again, nulls included."""
+    doc_id, text = column(docs, id_col), column(docs, text_col)
+    return [F.xxhash64(doc_id, text).alias("__key"), F.xxhash64(text, doc_id).alias("__key2")]
 
-    def work(rows: pa.RecordBatch) -> dict:
-        made = [simhash(text, width) for text in rows.column(1).to_pylist()]
-        return {"doc_id": rows.column(0), "fp": [v - (v >> 63 << 64) for v in made]}
 
-    picked = docs.select(column(docs, id_col).alias("doc_id"), column(docs, text_col).alias("text"))
-    kind = pa.int64() if id_type == "bigint" else pa.string() if id_type == "string" else pa.int32()
-    return picked.mapInArrow(
-        by_slice(work, pa.schema([("doc_id", kind), ("fp", pa.int64())])), f"doc_id {id_type}, fp bigint"
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE_WORDS) -> DataFrame:
+    """``doc_id``, the row's keys and ``fp``, the fingerprint as the signed bigint of the same bits."""
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                rows = batch.slice(at, SLICE_ROWS)
+                made = [simhash(text, width) for text in rows.column(3).to_pylist()]
+                signed = pa.array([v - (v >> 63 << 64) for v in made], pa.int64())
+                yield pa.RecordBatch.from_arrays([*rows.columns[:3], signed], names=[*rows.schema.names[:3], "fp"])
+
+    picked = docs.select(
+        column(docs, id_col).alias("doc_id"), *row_keys(docs, id_col, text_col), column(docs, text_col).alias("text")
     )
+    return picked.mapInArrow(run, picked.drop("text").schema.add("fp", "long"))
 
 
 def _flips(bits: int, most: int) -> list[int]:
@@ -133,6 +141,22 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, dense_slot: int = DENSE
     return found.union(_dense_links(dense, max_bits))
 
 
+def grouped(
+    docs: DataFrame, id_col: str, text_col: str, width: int, max_bits: int, dense_slot: int
+) -> DataFrame:
+    """``doc_id``, keys, ``fp``, ``root`` (one fingerprint a component) and ``component_id`` of every row."""
+    prints = frozen(fingerprints(docs, id_col, text_col, width), "simhash")
+    nodes = frozen(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
+    roots = components(links(nodes.select("fp"), max_bits, dense_slot))
+    rooted = roots.withColumnRenamed("node", "fp").join(nodes, "fp")
+    smallest = rooted.groupBy("root").agg(F.min("first").alias("least"))
+    named = rooted.join(smallest, "root").select("fp", "root", "least")
+    component = nodes.join(named, "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"), F.coalesce("least", "first").alias("component_id")
+    )
+    return prints.join(component, "fp")
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -150,15 +174,27 @@ def near_duplicates(
     gets the smallest id of its component, or null if that has none; other
     columns are ignored; an empty table gives no rows.
     """
-    prints = frozen(fingerprints(docs, id_col, text_col, width), "simhash")
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    nodes = frozen(distinct, "simhash-distinct")
-    roots = components(links(nodes.select("fp"), max_bits, dense_slot))
-    rooted = roots.withColumnRenamed("node", "fp").join(nodes, "fp")
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("least"))
-    named = rooted.join(smallest, "root").select("fp", "least")
-    component = nodes.join(named, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
-    return prints.join(component, "fp").select("doc_id", "fp", "component_id")
+    return grouped(docs, id_col, text_col, width, max_bits, dense_slot).select("doc_id", "fp", "component_id")
+
+
+def keep_one(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    width: int = SHINGLE_WORDS,
+    max_bits: int = MAX_BITS,
+    dense_slot: int = DENSE_SLOT,
+) -> DataFrame:
+    """One row of each component, with all columns: the smallest id, a null one only if there is no other.
+
+    Where an id stands on several rows of a component, one of them stays.
+    """
+    found = grouped(docs, id_col, text_col, width, max_bits, dense_slot)
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "__key", "__key2")).alias("least")
+    kept = found.groupBy("root").agg(least).select("least.__key", "least.__key2")
+    keys = ["__key", "__key2"]
+    rows = docs.select(*(column(docs, c) for c in docs.columns), *row_keys(docs, id_col, text_col))
+    return rows.join(kept, keys, "left_semi").dropDuplicates(keys).drop(*keys)
 
 
 def fingerprint_text(fp: Column) -> Column:
