@@ -154,7 +154,7 @@ class _Nfa:
 
 @dataclass
 class Automaton:
-    """A minimal automaton in transition arrays.
+    """An automaton in transition arrays.
 
     ``steps[state + classes[byte]]`` is the next state; states are multiples of
     the number of byte classes, 0 is the first and those from ``edge`` on
@@ -168,10 +168,11 @@ class Automaton:
     dead: int
 
 
-def compile_patterns(patterns: list[tuple[str, bool]], anywhere: bool) -> Automaton:
+def compile_patterns(patterns: list[tuple[str, bool]], anywhere: bool, minimal: bool = True) -> Automaton:
     """Subset construction and minimisation of all ``(pattern, ignore_case)`` together.
 
-    With ``anywhere`` a match may begin at any byte, else only at the first.
+    With ``anywhere`` a match may begin at any byte, else only at the first. Not
+    minimal, an automaton is in its first state only where no match is under way.
     """
     nfa = _Nfa()
     first = nfa.state()
@@ -205,8 +206,8 @@ def compile_patterns(patterns: list[tuple[str, bool]], anywhere: bool) -> Automa
     table = np.array(rows, np.int64)
     accepted = np.array([sum(bits for end, bits in ends.items() if end in subset) for subset in order])
 
-    labels = np.unique(accepted, return_inverse=True)[1].ravel()
-    while True:
+    labels = np.unique(accepted, return_inverse=True)[1].ravel() if minimal else np.arange(len(table))
+    while minimal:
         finer = np.unique(np.column_stack([labels, labels[table]]), axis=0, return_inverse=True)[1].ravel()
         if finer.max() == labels.max():
             break
@@ -237,9 +238,10 @@ def patterns_in(automaton: Automaton, data: bytes) -> int:
 def matches(floating: Automaton, anchored: Automaton, data: bytes) -> list[tuple[int, int]]:
     """Leftmost-longest matches that don't overlap, of one pattern compiled both ways.
 
-    The floating automaton runs to the first end of a match. Whatever began
-    before it was last in its first state came to nothing, so the match begins
-    after that; the anchored one tells where and how far it goes.
+    The floating automaton, which must not be minimised, runs to the first end
+    of a match. Whatever began before it was last in its first state came to
+    nothing, so the match begins after that; the anchored one tells where and
+    how far it goes.
     """
     kinds, fixed = data.translate(floating.classes), data.translate(anchored.classes)
     found, begin, size = [], 0, len(data)

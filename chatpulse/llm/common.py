@@ -3,15 +3,35 @@
 from __future__ import annotations
 
 import re
+import shutil
+import tempfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+import chatpulse
 from chatpulse.settings import work_folder
 
 #: Rows that one call of an operator's Python function holds at a time.
 SLICE_ROWS = 256
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the tasks, once an application, as ``--py-files`` would.
+
+    A package that came in an archive is there already.
+    """
+    context, root = spark.sparkContext, Path(chatpulse.__file__).resolve().parents[1]
+    if context.applicationId in _SHIPPED or not root.is_dir():
+        return
+    folder = tempfile.mkdtemp(prefix="chatpulse-package-")
+    context.addPyFile(shutil.make_archive(f"{folder}/chatpulse", "zip", root, "chatpulse"))
+    _SHIPPED.add(context.applicationId)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -19,7 +20,7 @@ from chatpulse.llm import (
     url_filter,
     winnowing,
 )
-from chatpulse.llm.common import documents
+from chatpulse.llm.common import documents, ship_package
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -111,8 +112,20 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def _shipped(query: Query) -> Query:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+QUERIES: dict[str, Query] = {
+    query.__name__: _shipped(query)
     for query in (
         op1_chat_tree,
         op2_simhash,

@@ -64,7 +64,7 @@ class Scanner:
         whole = [(r.pattern, r.ignore_case) for r in rules]
         self.combined = compile_patterns(whole, anywhere=True)
         self.single: list[tuple[Automaton, Automaton]] = [
-            (compile_patterns([p], anywhere=True), compile_patterns([p], anywhere=False)) for p in whole
+            (compile_patterns([p], anywhere=True, minimal=False), compile_patterns([p], anywhere=False)) for p in whole
         ]
 
     def spans(self, text: str | None) -> list[tuple[str, int, int]]:

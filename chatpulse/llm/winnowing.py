@@ -135,7 +135,7 @@ def in_descending_order(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = docs.select(column(docs, id_col).cast("bigint").alias("doc_id"), column(docs, text_col).alias("text"))
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = [i / buckets for i in range(1, buckets)]
-    cuts = rows.agg(F.percentile_approx("doc_id", parts, 100 * buckets)).first()[0] or []
+    cuts = rows.agg(F.percentile_approx("doc_id", parts, 100 * buckets)).first()[0] or [0]
     splits = [float("-inf"), *sorted(set(map(float, cuts))), float("inf")]
     cutter = Bucketizer(splits=splits, inputCol="as_double", outputCol="cut", handleInvalid="keep")
 

@@ -1,0 +1,101 @@
+"""Winnowing and the survey of edited texts against plain versions."""
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from chatpulse.llm import winnowing
+
+
+def plain_marks(text, gram, window):
+    if not text:
+        return []
+    gram = min(gram, len(text))
+    grams = [text[i : i + gram] for i in range(len(text) - gram + 1)]
+    hashes = [int(winnowing.gram_hashes(np.array([ord(c) for c in g], np.uint32), gram)[0]) for g in grams]
+    marked = set()
+    for at in range(max(1, len(hashes) - window + 1)):
+        part = hashes[at : at + window]
+        marked.add(at + max(i for i, h in enumerate(part) if h == min(part)))
+    return [(hashes[p], p) for p in sorted(marked)]
+
+
+def marks(text, gram=winnowing.GRAM, window=winnowing.WINDOW):
+    return [(h, p) for h, p in zip(*(part.tolist() for part in winnowing.winnow(text, gram, window)))]
+
+
+@pytest.mark.parametrize("size", [0, 1, 3, 24, 25, 60, 124, 125, 300, 1000])
+@pytest.mark.parametrize("letters", ["a", "ab", "abcdé🙂"])
+def test_marks(size, letters):
+    text = "".join(random.Random(size).choice(letters) for _ in range(size))
+    for gram, window in ((25, 100), (3, 5), (4, 7), (1, 1)):
+        assert marks(text, gram, window) == plain_marks(text, gram, window)
+
+
+def test_segments_join_without_a_seam(monkeypatch):
+    text = "".join(random.Random(1).choice("abc") for _ in range(1000))
+    whole = marks(text, 3, 5)
+    monkeypatch.setattr(winnowing, "SEGMENT", 64)
+    winnowing._powers.cache_clear()
+    assert marks(text, 3, 5) == whole == plain_marks(text, 3, 5)
+    monkeypatch.undo()
+    winnowing._powers.cache_clear()
+
+
+def test_shared_passages_share_a_mark():
+    rng = random.Random(8)
+    draw = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    for _ in range(50):
+        passage = draw(winnowing.GRAM + winnowing.WINDOW - 1)
+        one, two = draw(400) + passage + draw(300), draw(77) + passage + draw(900)
+        assert {h for h, _ in marks(one)} & {h for h, _ in marks(two)}
+
+
+def plain_survey(rows):
+    rows = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] is not None, r[1] or ""))
+    made = []
+    for at, (doc_id, text) in enumerate(rows):
+        text, following = text or "", rows[(at + 1) % len(rows)][1] or ""
+        half = len(text) // 2
+        changed = text[: len(text) - half] + following[:half]
+        own, other, after = ({h for h, _ in plain_marks(t, 25, 100)} for t in (text, changed, following))
+        like = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
+        made.append((doc_id, len(text), hashlib.sha256(changed.encode()).hexdigest(), like(own, other), like(own, after)))
+    return sorted(made, key=repr)
+
+
+def survey(docs):
+    got = winnowing.edit_survey(docs).collect()
+    return sorted(((r.doc_id, r.n_chars, r.edited_sha256, r.near_edited, r.near_next) for r in got), key=repr), got
+
+
+def test_survey(spark):
+    rng = random.Random(3)
+    words = ["alpha", "beta", "gamma", "delta", "é🙂", "zeta"]
+    rows = [(7 * i - 40, " ".join(rng.choice(words) for _ in range(rng.randrange(120)))) for i in range(90)]
+    rows += [(1000, None), (1001, ""), (None, "no id here"), (None, None), (3, rows[3][1]), (3, rows[3][1]), (10**15, "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "1 AS bucket", "true AS ahead")
+    expected = plain_survey(rows)
+    made, got = survey(docs.repartition(5))
+    assert made == expected
+    by_text = {}
+    texts = {i: t for i, t in rows if i is not None}
+    for r in got:
+        if r.doc_id is not None:
+            assert by_text.setdefault(texts[r.doc_id] or "", r.fingerprint) == r.fingerprint
+
+
+@pytest.mark.parametrize("rows", [[(5, "only one document")], [(None, "a"), (None, "b")], [(1, "x"), (2, "yy")]])
+def test_survey_of_few(spark, rows):
+    made, _ = survey(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert made == plain_survey(rows)
+
+
+def test_empty_table_and_array_form(spark):
+    empty = spark.createDataFrame([], "doc_id bigint, text string")
+    assert winnowing.edit_survey(empty).count() == 0
+    docs = spark.createDataFrame([(1, "abc" * 60, "x"), (2, None, None)], "doc_id bigint, text string, marks string")
+    got = {r.doc_id: [tuple(m) for m in r.marks] for r in winnowing.fingerprints(docs).collect()}
+    assert got == {1: marks("abc" * 60), 2: []}
