@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from chatpulse.llm import decontaminate, language_id, packing, secret_scan, simhash
-from chatpulse.llm.common import frozen
+from chatpulse.llm.common import frozen, ship_package
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,6 +52,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table; each is written and read again before the next."""
+    ship_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = frozen(stage(spark, docs, sf_dir), "corpus")
