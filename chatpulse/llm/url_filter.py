@@ -133,7 +133,10 @@ def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> UrlModel:
     Suffix statistics (share of blocked URLs, smoothed, and how many) count all
     labelled URLs, for the commonest suffixes; the trees see a sample of each
     verdict, drawn by a hash of the URL, of which tasks keep that many before
-    the shuffle. With one verdict only, or none, the model gives that one, or allow.
+    the shuffle. Every other row of the sample is shown without its suffix
+    statistics, as a new host would be, or the trees would learn nothing else
+    where suffixes decide. With one verdict only, or none, the model gives that
+    one, or allow.
     """
     seen = {r.verdict: r["count"] for r in labelled.groupBy("verdict").count().collect()}
     if len(seen) < 2:
@@ -154,7 +157,11 @@ def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> UrlModel:
     drawn = Window.partitionBy("verdict").orderBy(F.xxhash64("url"), "url")
     sample = labelled.withColumn("nth", F.row_number().over(drawn)).filter(F.col("nth") <= sample_rows).drop("nth")
     model = UrlModel(suffixes, None)
-    rows = frozen(model.features(sample).select(*_FEATURES, blocked.cast("double").alias("label")).repartition(8), "url-sample")
+    shown = model.features(sample).withColumn("unseen", F.pmod(F.xxhash64("url", "host"), F.lit(2)) == 0)
+    for n in _SUFFIXES:
+        for name, unknown in ((f"block_rate_{n}", 0.5), (f"seen_{n}", 0.0)):
+            shown = shown.withColumn(name, F.when(F.col("unseen"), unknown).otherwise(F.col(name)))
+    rows = frozen(shown.select(*_FEATURES, blocked.cast("double").alias("label")).repartition(8), "url-sample")
     vector = VectorAssembler(inputCols=_FEATURES, outputCol="features")
     boosted = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=_SEED, featuresCol="features", labelCol="label")
     model.trees = boosted.fit(vector.transform(rows).select("features", "label"))
