@@ -195,7 +195,7 @@ def contained_items(
         "item_id",
         F.col("n_shingles").cast("bigint").alias("n_shingles"),
         F.col("shared").cast("bigint").alias("shared"),
-        (F.col("shared") / F.col("n_shingles")).alias("containment"),
+        F.try_divide("shared", "n_shingles").alias("containment"),
     )
 
 

@@ -1,0 +1,97 @@
+"""Containment search against counting all shared shingles."""
+
+import random
+
+import numpy as np
+import pytest
+
+from chatpulse.llm import decontaminate
+from chatpulse.llm.common import word_shingles, words_of
+
+
+def plain(docs, items, least=0.8):
+    wanted = {(i, t): set(word_shingles(words_of(t), 5)) for i, t in items}
+    found = set()
+    for doc_id, text in docs:
+        own = set(word_shingles(words_of(text), 5))
+        for (item, _), shingles in wanted.items():
+            shared = len(own & shingles)
+            if shingles and shared >= least * len(shingles):
+                found.add((doc_id, item, len(shingles), shared, shared / len(shingles)))
+    return found
+
+
+def found(docs, items, **more):
+    return [tuple(r) for r in decontaminate.contained_items(docs, items, **more).collect()]
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    rng = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    draw = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    items = [(i, " ".join(draw(rng.choice([6, 12, 25, 60, 200])))) for i in range(40)]
+    items += [(50, "three words only"), (51, None), (52, ""), (53, items[3][1]), (3, items[3][1])]
+    docs = []
+    for i in range(120):
+        text = draw(rng.choice([30, 300, 4000]))
+        item = rng.choice(items)[1] or ""
+        words = item.split()
+        if i % 4 == 1:
+            text[len(text) // 2 : len(text) // 2] = words
+        elif i % 4 == 2 and len(words) > 20:
+            # One word replaced costs five shingles.
+            words[len(words) // 2] = "changed"
+            text[3:3] = words
+        elif i % 4 == 3 and len(words) > 20:
+            # In two places.
+            text[5:5] = words[: len(words) // 2 + 2]
+            text[-5:-5] = words[len(words) // 2 - 2 :]
+        docs.append((i, " ".join(text)))
+    docs += [(200, "Three WORDS, only!"), (201, "three words only and more"), (202, None), (203, ""), (None, items[0][1])]
+    docs.append((204, items[5][1].upper().replace(" ", ",\n")))
+    docs.append(docs[1])
+    return docs, items
+
+
+@pytest.mark.parametrize("block_items", [10_000, 7])
+def test_search_finds_what_counting_finds(spark, corpus, block_items):
+    docs, items = corpus
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string").selectExpr("*", "1 AS place", "2 AS item_id")
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = found(frame, bench, block_items=block_items)
+    assert set(got) == plain(docs, items) and len(got) == len(plain(docs, items)) + len([g for g in plain([docs[1]], items)])
+    assert {g[0] for g in got if g[1] == 50} == {200}
+
+
+def test_rows_without_items_stay_as_they_are(spark, corpus):
+    docs, items = corpus
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string").selectExpr("*", "'x' AS shared")
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    bad = {g[0] for g in plain(docs, items)}
+    kept = decontaminate.without_items(frame, bench, block_items=11)
+    assert kept.columns == frame.columns
+    assert sorted((r.doc_id for r in kept.collect())) == sorted(i for i, _ in docs if i not in bad)
+
+
+def test_empty_tables(spark, corpus):
+    docs, items = corpus
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    assert found(frame.limit(0), bench) == [] and found(frame, bench.limit(0)) == []
+    assert decontaminate.contained_items(frame, bench.limit(0)).columns == decontaminate.contained_items(frame, bench).columns
+    assert decontaminate.without_items(frame, bench.limit(0)).count() == len(docs)
+    assert decontaminate.without_items(frame.limit(0), bench).count() == 0
+
+
+def test_hashes_tell_shingles_apart():
+    words = [f"w{i % 50}" for i in range(5000)] + ["b", "a", "a", "b", "a", "a", "a", "b", "b"]
+    shingles, hashes = word_shingles(words, 5), decontaminate.shingle_hashes(words)
+    assert len(shingles) == len(hashes)
+    assert len(set(shingles)) == len(np.unique(hashes)) == len(set(zip(shingles, hashes.tolist())))
+
+
+def test_short_texts_hash_as_one_shingle():
+    for words in ([], ["a"], ["a", "b", "c", "d", "e"]):
+        assert len(decontaminate.shingle_hashes(words)) == min(1, len(words))
+    assert decontaminate.shingle_hashes(["a", "b"])[0] != decontaminate.shingle_hashes(["a"])[0]

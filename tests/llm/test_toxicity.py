@@ -1,0 +1,110 @@
+"""The toxicity classifier: counterfactual penalty, held-out accuracy, whole tables."""
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from chatpulse.llm import toxicity
+
+
+def test_swaps_stay_in_their_group():
+    assert toxicity.swapped({"muslim", "said", "women"}) == {"jewish", "said", "men"}
+    assert toxicity.swapped({"plain", "text"}) == {"plain", "text"}
+
+
+def biased_corpus(n=400):
+    """Toxic words mark toxic rows; one identity term stands in most of them, too."""
+    rng = random.Random(1)
+    neutral = [f"word{i}" for i in range(60)]
+    rows = []
+    for i in range(n):
+        words = [rng.choice(neutral) for _ in range(12)]
+        toxic = i % 4 == 0
+        if toxic and rng.random() < 0.6:
+            words.append(rng.choice(["vilename", "vilething"]))
+        if rng.random() < (0.7 if toxic else 0.05):
+            words.append("muslim")
+        rows.append((i, " ".join(words), int(toxic)))
+    return rows
+
+
+def test_penalty_keeps_identity_terms_neutral(spark):
+    rows = biased_corpus()
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id bigint, toxic int")
+    neutral = "word1 word2 my neighbour is muslim word3"
+    plain = toxicity.train(docs, labels, swap_penalty=0.0)
+    fair = toxicity.train(docs, labels, swap_penalty=50.0)
+    gap = lambda m: m.score(neutral) - m.score(neutral.replace("muslim", "jewish"))
+    assert gap(plain) > 0.2 and abs(gap(fair)) < 0.25 * gap(plain)
+    assert fair.score(neutral) < 0.5 < fair.score("word1 vilename word2") and fair.score("word2 viletree") > 0.3
+
+
+def test_fit_follows_a_numeric_gradient():
+    """At the minimum of the stated loss, moving any weight makes it worse."""
+    rows, others = [[0], [0, 1], [1], [2], []], [[0], [0, 2], [2], [2], []]
+    labels = np.array([1, 1, 0, 0, 0], float)
+    weights, bias = toxicity.fit(rows, others, labels, 3, swap_penalty=0.3, ridge=0.05, steps=6000)
+
+    def loss(w, b):
+        margin = lambda r: b + sum(w[i] for i in r)
+        each = np.where(labels > 0, 0.5 / 2, 0.5 / 3)
+        fit = sum(e * np.log1p(np.exp(-(2 * y - 1) * margin(r))) for e, y, r in zip(each, labels, rows))
+        swap = sum((margin(a) - margin(b_)) ** 2 for a, b_ in zip(rows, others)) / len(rows)
+        return fit + 0.05 / 2 * float(np.dot(w, w)) + 0.3 * swap
+
+    best = loss(weights, bias)
+    for i in range(3):
+        for step in (0.05, -0.05):
+            moved = weights.copy()
+            moved[i] += step
+            assert loss(moved, bias) > best - 1e-6
+    assert loss(weights, bias + 0.05) > best - 1e-6 and loss(weights, bias - 0.05) > best - 1e-6
+
+
+def test_without_labels(spark):
+    docs = spark.createDataFrame([(1, "text"), (2, None)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([], "doc_id bigint, toxic int")
+    got = toxicity.judge(docs, labels).collect()
+    assert [(r.score, r.predicted) for r in got] == [(pytest.approx(0.25), 0)] * 2
+
+
+def test_judge_a_table(spark):
+    rows = biased_corpus()
+    data = [(i, t, "s", 7) for i, t, _ in rows] + [(900, None, None, 7), (901, "", "s", 7), (None, rows[0][1], "s", 7), (0, rows[0][1], "s", 7)]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string, score string, label int")
+    labels = spark.createDataFrame(
+        [(i, 1, y) for i, _, y in rows] + [(0, 1, 0), (None, 1, 1), (3, 1, None)], "doc_id bigint, quality int, toxic int"
+    )
+    got = toxicity.judge(docs, labels).collect()
+    assert len(got) == len(data)
+    for r in got:
+        key = "" if r.doc_id is None else str(r.doc_id)
+        assert r.held_out == (zlib.crc32(key.encode()) % 5 == 0)
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5)
+    assert len({r.score for r in got if r.doc_id in (900, 901)}) == 1
+    assert toxicity.judge(docs.limit(0), labels).count() == 0
+
+
+def test_held_out_labels_are_not_read(spark):
+    rows = biased_corpus(200)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id bigint, text string")
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 0
+    truth = [(i, y) for i, _, y in rows]
+    lied = [(i, 1 - y if held(i) else y) for i, _, y in rows]
+    one, two = (
+        {(r.doc_id, r.score) for r in toxicity.judge(docs, spark.createDataFrame(data, "doc_id bigint, toxic int")).collect()}
+        for data in (truth, lied)
+    )
+    assert one == two
+
+
+def test_held_out_accuracy(spark):
+    folder = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    got = toxicity.judge(spark.read.parquet(f"{folder}/documents.parquet"), labels)
+    held = got.filter("held_out").join(labels, "doc_id").toPandas()
+    hit = ((held.predicted == 1) & (held.toxic == 1)).sum()
+    assert hit / held.predicted.sum() > 0.9 and hit / held.toxic.sum() > 0.85
