@@ -8,6 +8,7 @@ from chatpulse.functions.payload import decoded, encoded
 from chatpulse.functions.protocol import (
     KEEPALIVE_COMMAND,
     LINE_BREAK,
+    LINE_PREFIX,
     MESSAGE_COMMAND,
     sender,
     spoken_text,
@@ -17,14 +18,35 @@ from chatpulse.schemas import CHAT, CHAT_OR_CORRUPT, CORRUPT
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
+def _pieces(chunks: DataFrame, chunk: str) -> DataFrame:
+    """``line, is_cut``: what stands between line breaks, and whether a chunk border cut it.
+
+    The last piece has no line break after it, and a first piece that begins
+    like no line of the protocol is the rest of one.
+    """
+    pieces = chunks.select(F.split(F.col(chunk).cast("string"), LINE_BREAK).alias("pieces"))
+    placed = pieces.select(F.size("pieces").alias("n"), F.posexplode("pieces").alias("place", "line"))
+    line = F.col("line")
+    begun = line.startswith(LINE_PREFIX) | line.startswith(KEEPALIVE_COMMAND)
+    is_cut = (F.col("place") == F.col("n") - 1) | ((F.col("place") == 0) & ~begun)
+    return placed.filter(line != "").select("line", is_cut.alias("is_cut"))
+
+
 def chat_lines(chunks: DataFrame, chunk: str = "chunk") -> DataFrame:
-    """One row per message line; a chunk that opens with a keep-alive is skipped."""
-    text = F.col(chunk).cast("string")
-    return (
-        chunks.filter(~text.startswith(KEEPALIVE_COMMAND))
-        .select(F.explode(F.split(text, LINE_BREAK)).alias("line"))
-        .filter(F.col("line").contains(MESSAGE_COMMAND))
-    )
+    """One row per whole message line; keep-alives and other lines are skipped one by one."""
+    line = F.col("line")
+    whole = _pieces(chunks, chunk).filter(~F.col("is_cut")).drop("is_cut")
+    return whole.filter(line.contains(MESSAGE_COMMAND) & ~line.startswith(KEEPALIVE_COMMAND))
+
+
+def cut_lines(chunks: DataFrame, chunk: str = "chunk") -> DataFrame:
+    """The pieces of lines that chunk borders cut, which ``chat_lines`` leaves out.
+
+    A message is only known whole: putting pieces together would need all
+    chunks of a connection in order in one task. A source that splits at line
+    breaks (``lineSep``) makes none.
+    """
+    return _pieces(chunks, chunk).filter("is_cut").drop("is_cut")
 
 
 def parse_chat_lines(lines: DataFrame, line: str = "line") -> DataFrame:

@@ -2,11 +2,15 @@
 
     python -m chatpulse.plans.batch_layer --archive A --history H --tables T
     python -m chatpulse.plans.batch_layer --archive A --history H --tables T --metric-log
+
+With ``--keyspace`` the results also go to an outside store, under the names
+that ``--table-names ours=theirs,...`` gives them.
 """
 
 from __future__ import annotations
 
 import argparse
+from collections.abc import Mapping
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -14,10 +18,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from chatpulse import schemas
 from chatpulse.operators import activity, stats, words
 from chatpulse.settings import job_session
-from chatpulse.sinks.connectors import CASSANDRA, cassandra_options, connector_writer
+from chatpulse.sinks.connectors import CASSANDRA, parse_names, store_writer
 from chatpulse.sinks.keyed import KeyedTable, read_snapshot, write_snapshot
 from chatpulse.sinks.logs import append_metrics, append_run
-from chatpulse.sources.archive import convert_archive, read_history
+from chatpulse.sources.archive import convert_archive, read_history, read_rejected
 
 # Batch runs are the epochs of one generation.
 GENERATION = 1
@@ -43,24 +47,37 @@ def write_results(messages: DataFrame, tables: str, run: int, word_rank: int = 1
     ranking = words.top_words(words.word_counts(known), word_rank)
     write_snapshot(ranking, f"{tables}/{schemas.TOP_WORDS.name}", schemas.TOP_WORDS)
 
-    counted = users.newest_epoch(spark, GENERATION)
+    # This run's own table, which may be empty.
+    counted = users.at(spark, GENERATION, run)
     result_table(tables, schemas.GLOBAL_STATS).put(stats.global_stats(counted), GENERATION, run)
 
 
+def current_users(spark: SparkSession, tables: str) -> DataFrame:
+    """Counts per user of the last run, so that they agree with its statistics.
+
+    ``latest`` of the same table shows what an upsert leaves: users of earlier
+    histories stay.
+    """
+    return result_table(tables, schemas.TOP_USERS).newest_epoch(spark, GENERATION)
+
+
 def export_results(
-    spark: SparkSession, tables: str, keyspace: str, form: str = CASSANDRA
+    spark: SparkSession,
+    tables: str,
+    keyspace: str,
+    form: str = CASSANDRA,
+    names: Mapping[str, str] | None = None,
 ) -> None:
-    """Upserts the result tables into an outside store that declares 32-bit counts."""
-    users = result_table(tables, schemas.TOP_USERS).newest_epoch(spark, GENERATION)
-    totals = result_table(tables, schemas.GLOBAL_STATS).latest(spark)
+    """Upserts the last run's results into an outside store that declares 32-bit counts."""
+    users = current_users(spark, tables)
+    totals = result_table(tables, schemas.GLOBAL_STATS).newest_epoch(spark, GENERATION)
     ranking = read_snapshot(spark, f"{tables}/{schemas.TOP_WORDS.name}", schemas.TOP_WORDS)
     for table, rows in (
         (schemas.TOP_USERS, users),
         (schemas.TOP_WORDS, ranking),
         (schemas.GLOBAL_STATS, totals),
     ):
-        options = cassandra_options(keyspace, table.name)
-        connector_writer(form, options, table.narrowed())(rows, 0)
+        store_writer(form, keyspace, table, names)(rows, 0)
 
 
 def next_run(spark: SparkSession, tables: str) -> int:
@@ -85,8 +102,7 @@ def run_batch(
     write_results(messages, tables, next_run(spark, tables), word_rank)
     if preview:
         messages.filter(F.col("user").isNotNull()).show(5)
-        users = result_table(tables, schemas.TOP_USERS).newest_epoch(spark, GENERATION)
-        activity.top_users(users, 10).show()
+        activity.top_users(current_users(spark, tables), 10).show()
         ranking = read_snapshot(
             spark, f"{tables}/{schemas.TOP_WORDS.name}", schemas.TOP_WORDS
         )
@@ -102,12 +118,15 @@ def run_metric_log(
     run: int,
     at: str,
     preview: bool = False,
+    keep_history: bool = False,
 ) -> None:
     """Messages and long-format metrics of one run, added to their logs.
 
-    An existing history is used as it is. All words are logged, not a top list.
+    The archive is converted anew, so that a run logs what came since the last
+    one; with ``keep_history`` a whole history is used as it is. All words are
+    logged, not a top list.
     """
-    convert_archive(spark, archive, history, only_if_absent=True)
+    convert_archive(spark, archive, history, only_if_absent=keep_history)
     messages = read_history(spark, history)
     append_run(messages, f"{tables}/messages", run)
     rows = stats.stats_long(activity.user_activity(messages), words.word_counts(messages))
@@ -118,6 +137,24 @@ def run_metric_log(
         for metric, rows_shown in (("messages_per_user", 10), ("top_words", 20)):
             one = logged.filter(F.col("metric") == metric)
             activity.rank_by(one, "value", "key").show(rows_shown)
+        per_user = logged.filter("metric = 'messages_per_user'").select(F.col("value").alias("nb_messages"))
+        stats.global_stats(per_user).show(truncate=False)
+
+
+def export_log(
+    spark: SparkSession,
+    tables: str,
+    run: int,
+    keyspace: str,
+    form: str = CASSANDRA,
+    names: Mapping[str, str] | None = None,
+) -> None:
+    """Adds one run's messages and metrics to tables of an outside store."""
+    messages = spark.read.schema(schemas.MESSAGES.schema).parquet(f"{tables}/messages/run={run}")
+    logged = spark.read.schema(schemas.METRIC_LOG).option("basePath", f"{tables}/stats/run={run}")
+    metrics = logged.parquet(f"{tables}/stats/run={run}").select(*schemas.METRIC_LOG.names)
+    for table, rows in ((schemas.MESSAGES, messages), (schemas.METRIC_LOG_TABLE, metrics)):
+        store_writer(form, keyspace, table, names)(rows, 0)
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -125,26 +162,40 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--archive", required=True, help="JSON lines")
     parser.add_argument("--history", required=True, help="Parquet folder to fill")
     parser.add_argument("--tables", required=True, help="folder of the result tables")
-    parser.add_argument("--keyspace", help="also upsert the results into Cassandra tables")
+    parser.add_argument("--keyspace", help="also upsert the results into tables of a store")
+    parser.add_argument("--table-names", help="names there: ours=theirs,...; needs --keyspace")
+    parser.add_argument("--store", default=CASSANDRA, help="data source of the store")
     parser.add_argument("--word-rank", type=int, default=100)
     parser.add_argument("--metric-log", action="store_true")
+    parser.add_argument("--keep-history", action="store_true", help="use a whole history as it is; needs --metric-log")
     parser.add_argument("--preview", action="store_true")
     given = parser.parse_args(arguments)
+    if given.table_names and not given.keyspace:
+        parser.error("--table-names without --keyspace would name nothing")
+    if given.keep_history and not given.metric_log:
+        parser.error("--keep-history goes with --metric-log")
+    store = {"form": given.store, "names": parse_names(given.table_names)}
     spark = job_session("chat batch layer")
     if given.metric_log:
         now = datetime.now(timezone.utc)
+        run = int(now.timestamp())
         run_metric_log(
             spark, given.archive, given.history, given.tables,
-            run=int(now.timestamp()), at=now.strftime("%Y-%m-%d %H:%M:%S"),
-            preview=given.preview,
+            run=run, at=now.strftime("%Y-%m-%d %H:%M:%S"),
+            preview=given.preview, keep_history=given.keep_history,
         )
+        if given.keyspace:
+            export_log(spark, given.tables, run, given.keyspace, **store)
     else:
         run_batch(
             spark, given.archive, given.history, given.tables,
             given.word_rank, given.preview,
         )
         if given.keyspace:
-            export_results(spark, given.tables, given.keyspace)
+            export_results(spark, given.tables, given.keyspace, **store)
+    rejected = read_rejected(spark, given.history).count()
+    if rejected:
+        print(f"{rejected} archive lines were no records; read_rejected shows them")
 
 
 if __name__ == "__main__":

@@ -184,7 +184,7 @@ def stats_long(spark, folder):
 # --- ingest -------------------------------------------------------------------
 
 GREETING = ":chat.host 001 :welcome"
-KEEPALIVE = "PING :chat.host PRIVMSG #room :not a message"
+KEEPALIVE = "PING :chat.host PRIVMSG #room :not a message\r\n"
 
 
 def _chunks(spark: SparkSession, folder: str) -> DataFrame:
@@ -203,6 +203,31 @@ def parse_chat_lines(spark, folder):
     return ingest.parse_chat_lines(ingest.chat_lines(_chunks(spark, folder)))
 
 
+@_query
+def ingest_mixed_chunks(spark, folder):
+    """Messages that follow a keep-alive in one chunk, and lines that a chunk border cuts.
+
+    Users whose name ends in 7 have their line cut after the colon; what was
+    accepted and what was set aside make up all pieces.
+    """
+    head = F.concat(
+        F.lit(KEEPALIVE + ":"), "user", F.lit("!"), "user", F.lit("@chat.host PRIVMSG #room :")
+    )
+    is_cut = F.col("user").endswith("7")
+    chunks = chat_view(spark, folder, message=F.length("message").cast("string")).filter(
+        "user IS NOT NULL AND message IS NOT NULL"
+    )
+    tail = F.concat("message", F.lit("\r\n"))
+    chunks = chunks.select(
+        F.explode(F.when(is_cut, F.array(head, tail)).otherwise(F.array(F.concat(head, tail)))).alias("chunk")
+    )
+    accepted = ingest.parse_chat_lines(ingest.chat_lines(chunks)).withColumn("state", F.lit("accepted"))
+    aside = ingest.cut_lines(chunks).select(
+        F.lit(None).cast("string").alias("user"), F.col("line").alias("message"), F.lit("set aside").alias("state")
+    )
+    return accepted.unionByName(aside)
+
+
 @_query
 def ingest_to_topic(spark, folder):
     path = work_folder(spark, "topic")
@@ -222,13 +247,34 @@ def payload_decode(spark, folder):
 
 
 @_query
-def payload_quarantine(spark, folder):
-    """Payload counts by state, after the JSON of some users was broken."""
+def payload_foreign(spark, folder):
+    """Payloads that another program wrote: blanks, escapes, numbers, nested and unknown fields."""
+    nested = F.concat(
+        F.lit('{ "user": '), "user", F.lit(', "message": {"id": '), "user",
+        F.lit(', "tags": ["a", 1.5, null]}, "room": [true], "timestamp": "\\u0032024-01-01T00:00:00" }'),
+    )
+    escaped = F.concat(
+        F.lit('{"timestamp":null,"message":"tab\\tquote\\"slash\\/ \\u00e9\\ud83d\\ude00 '), "user",
+        F.lit('","user":"'), "user", F.lit('"}'),
+    )
+    known = posts(spark, folder).filter("user IS NOT NULL")
+    payload = F.when(F.col("user").cast("bigint") % 2 == 0, nested).otherwise(escaped)
+    return ingest.decode_payload(known.select(payload.cast("binary").alias("value")))
+
+
+def _partly_broken(spark: SparkSession, folder: str) -> DataFrame:
+    """Payloads of the chat, those of users whose name ends in 7 broken."""
     broken = F.when(F.col("user").endswith("7"), F.lit("x")).otherwise(F.lit(""))
-    payloads = chat_view(spark, folder).select(
+    return chat_view(spark, folder).select(
         F.concat(broken.cast("binary"), ingest.encoded("user", "message")).alias("value")
     )
-    return ingest.flag_malformed(payloads).groupBy("is_malformed").agg(F.count("*").alias("n"))
+
+
+@_query
+def payload_quarantine(spark, folder):
+    """Payload counts by state, after the JSON of some users was broken."""
+    payloads = ingest.flag_malformed(_partly_broken(spark, folder))
+    return payloads.groupBy("is_malformed").agg(F.count("*").alias("n"))
 
 
 def _archive(spark: SparkSession, folder: str) -> str:
@@ -261,12 +307,35 @@ def upsert_latest(spark, folder):
     return table.latest(spark)
 
 
+@_query
+def user_counts_int(spark, folder):
+    """The counts as a store with 32-bit columns gets them."""
+    counts = activity.user_counts(_flagged(spark, folder))
+    return schemas.USER_COUNTS.narrowed().conform(counts)
+
+
+@_query
+def batch_rerun_empty(spark, folder):
+    """Statistics of a full run, and of a run after it over an empty archive."""
+    history, tables = work_folder(spark, "history"), work_folder(spark, "tables")
+    nothing = work_folder(spark, "archive")
+    archive.write_archive(_with_iso_time(chat_view(spark, folder)).limit(0), nothing)
+    shown = []
+    for run, source in enumerate((_archive(spark, folder), nothing)):
+        batch_layer.run_batch(spark, source, history, tables)
+        totals = batch_layer.result_table(tables, schemas.GLOBAL_STATS).newest_epoch(spark, batch_layer.GENERATION)
+        users = batch_layer.current_users(spark, tables)
+        users = users.agg(F.lit("users").alias("metric_name"), F.count("*").cast("double").alias("value"))
+        shown.append(totals.unionByName(users).withColumn("run", F.lit(run)))
+    return reduce(DataFrame.unionByName, shown)
+
+
 @_query
 def batch_job(spark, folder):
     """All result tables of a batch run, one under the other."""
     history, tables = work_folder(spark, "history"), work_folder(spark, "tables")
     batch_layer.run_batch(spark, _archive(spark, folder), history, tables)
-    users = batch_layer.result_table(tables, schemas.TOP_USERS).latest(spark)
+    users = batch_layer.current_users(spark, tables)
     ranking = batch_layer.read_snapshot(
         spark, f"{tables}/{schemas.TOP_WORDS.name}", schemas.TOP_WORDS
     )
@@ -288,10 +357,13 @@ def batch_job(spark, folder):
 
 @_query
 def metric_log(spark, folder):
-    """Long-format metrics of two runs over the same history."""
+    """Long-format metrics of two runs; the archive grows between them."""
     history, tables = work_folder(spark, "history"), work_folder(spark, "tables")
-    source = _archive(spark, folder)
-    for run, at in ((1, "2024-02-01 00:00:00"), (2, "2024-02-02 00:00:00")):
+    source = work_folder(spark, "archive")
+    records = _with_iso_time(chat_view(spark, folder))
+    early = F.coalesce(F.col("user").rlike("[0-4]$"), F.lit(False))
+    for run, at, added in ((1, "2024-02-01 00:00:00", early), (2, "2024-02-02 00:00:00", ~early)):
+        archive.write_archive(records.filter(added), source)
         batch_layer.run_metric_log(spark, source, history, tables, run, at)
     return _with_naive(read_metrics(spark, f"{tables}/stats"), "timestamp")
 
@@ -310,19 +382,67 @@ def _topic(spark: SparkSession, folder: str) -> DataFrame:
     return topics.read_files(spark, _derived(spark, folder, "topic", write))
 
 
+TOPIC_PARTS = 6
+
+
+def _topic_in_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """The chat in several files that each span all of its time, one a trigger."""
+
+    def write(path: str) -> None:
+        part = F.unix_timestamp("timestamp") % TOPIC_PARTS
+        messages = chat_view(spark, folder).filter("timestamp IS NOT NULL").withColumn("part", part)
+        for number in range(TOPIC_PARTS):
+            timed = _with_iso_time(messages.filter(F.col("part") == number))
+            payloads = ingest.encode_payload(timed, *schemas.CHAT.names)
+            # One file is one trigger, so this is a trigger's input and no more.
+            topics.publish(payloads.coalesce(1), topics.file_target(path))
+
+    return topics.read_files(spark, _derived(spark, folder, "parts", write), max_files_per_trigger=1)
+
+
+def derive_inputs(spark: SparkSession, folder: str) -> None:
+    """Writes what the stream and archive queries start from, where it is not there yet."""
+    _archive(spark, folder)
+    _topic(spark, folder)
+    _topic_in_parts(spark, folder)
+
+
 def _flagged_stream(spark: SparkSession, folder: str) -> DataFrame:
     return metrics.flagged_messages(_topic(spark, folder), time_source="event")
 
 
-def _stream_window_counts(spark: SparkSession, folder: str) -> DataFrame:
+def _windows_of(payloads: DataFrame, watermark: str = metrics.WATERMARK) -> DataFrame:
+    spark = payloads.sparkSession
     tables = work_folder(spark, "tables")
-    flagged = _flagged_stream(spark, folder)
+    flagged = metrics.flagged_messages(payloads, time_source="event")
     finish(
         speed_layer.start_window_table(
-            flagged, tables, f"{tables}-checkpoint", available_now=True
+            flagged, tables, f"{tables}-checkpoint", watermark=watermark, available_now=True
         )
     )
-    return _with_naive(speed_layer.read_windows(spark, tables), "window_start")
+    return speed_layer.read_windows(spark, tables, time_source="event")
+
+
+def _stream_window_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return _with_naive(_windows_of(_topic(spark, folder)), "window_start")
+
+
+@_query
+def stream_windows_in_triggers(spark, folder):
+    """Windows over several triggers out of time order, with a watermark as wide as that needs."""
+    counts = _windows_of(_topic_in_parts(spark, folder), watermark="36500 days")
+    return _with_naive(counts, "window_start")
+
+
+@_query
+def stream_late_rows(spark, folder):
+    """How many messages the narrow watermark drops over the same triggers."""
+    counts = _windows_of(_topic_in_parts(spark, folder))
+    everything = stats.total_messages(posts(spark, folder).filter("timestamp IS NOT NULL"))
+    counted = counts.agg(F.sum("total_messages").alias("n_counted"))
+    # One row each.
+    both = everything.crossJoin(F.broadcast(counted))
+    return both.select("n_counted", (F.col("total_messages") - F.col("n_counted")).alias("n_late"))
 
 
 @_query
@@ -334,7 +454,7 @@ def stream_messages_per_minute(spark, folder):
             messages, tables, f"{tables}-checkpoint", available_now=True
         )
     )
-    minutes = speed_layer.read_windows(spark, tables, schemas.MINUTE_ACTIVITY)
+    minutes = speed_layer.read_windows(spark, tables, schemas.MINUTE_ACTIVITY, "event")
     return _with_naive(minutes, "window_start")
 
 
@@ -373,8 +493,8 @@ def _stream_ranking(spark: SparkSession, folder: str, table: schemas.ResultTable
     tables = work_folder(spark, "tables")
     flagged = _flagged_stream(spark, folder)
     finish(
-        speed_layer.start_ranking_table(
-            flagged, table, tables, f"{tables}-checkpoint", available_now=True
+        speed_layer.start_user_table(
+            flagged, tables, f"{tables}-checkpoint", available_now=True
         )
     )
     return speed_layer.read_ranking(spark, tables, table)
@@ -399,3 +519,17 @@ def stream_archive(spark, folder):
         )
     )
     return archive.read_archive(spark, path).drop("timestamp")
+
+
+@_query
+def archive_quarantine(spark, folder):
+    """Payloads by the output that has them: the archive, or beside it what is no message."""
+    topic, path = work_folder(spark, "topic"), work_folder(spark, "archive")
+    topics.publish(_partly_broken(spark, folder), topics.file_target(topic))
+    finish(*speed_layer.start_archives(topics.read_files(spark, topic), path, f"{path}-checkpoint", available_now=True))
+    outputs = {
+        False: archive.read_archive(spark, path),
+        True: spark.read.schema(topics.VALUE).parquet(f"{path}-rejected"),
+    }
+    counted = (rows.agg(F.lit(state).alias("is_rejected"), F.count("*").alias("n")) for state, rows in outputs.items())
+    return reduce(DataFrame.unionByName, counted)

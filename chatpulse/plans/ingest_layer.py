@@ -7,19 +7,33 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from chatpulse.operators.ingest import chat_lines, encode_payload, parse_chat_lines
+from chatpulse.operators.ingest import chat_lines, cut_lines, encode_payload, parse_chat_lines
 from chatpulse.sources.topics import publish, publish_stream
+from chatpulse.streaming.run import start
 
 
 def payloads_from_chunks(chunks: DataFrame, chunk: str = "chunk") -> DataFrame:
     return encode_payload(parse_chat_lines(chat_lines(chunks, chunk)))
 
 
-def ingest(chunks: DataFrame, target: tuple[str, Mapping[str, str]]) -> None:
+def ingest(
+    chunks: DataFrame, target: tuple[str, Mapping[str, str]], set_aside: str | None = None
+) -> None:
+    """Publishes the messages of a batch; pieces of lines go to the folder ``set_aside``."""
     publish(payloads_from_chunks(chunks), target)
+    if set_aside is not None:
+        cut_lines(chunks).write.mode("append").parquet(set_aside)
 
 
 def start_ingest(
     chunks: DataFrame, target: tuple[str, Mapping[str, str]], checkpoint: str, **trigger
 ) -> StreamingQuery:
     return publish_stream(payloads_from_chunks(chunks), target, checkpoint, **trigger)
+
+
+def start_cut_lines(
+    chunks: DataFrame, set_aside: str, checkpoint: str, **trigger
+) -> StreamingQuery:
+    """Keeps the pieces of lines that ``start_ingest`` leaves out."""
+    writer = cut_lines(chunks).writeStream.format("parquet").option("path", set_aside)
+    return start(writer, "append", checkpoint, **trigger)

@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from chatpulse.functions.text import TOXIC_WORDS, WHITESPACE
+# Stated anew, not imported: a wrong entry in the engine must not be wrong here too.
+_TOXIC_WORDS = ("idiot", "noob", "trash", "stupid", "hate")
+# Unicode's White_Space characters and U+001C to U+001F, by code point.
+_SPACES = (
+    *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+    0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
+)
+_WHITESPACE = "".join(map(chr, _SPACES))
 
 _CHAT = """chat AS (
   SELECT CAST(user_id AS VARCHAR) AS "user", text AS message, ts AS "timestamp"
@@ -10,7 +17,7 @@ _CHAT = """chat AS (
 
 # Letter classes instead of (?i): RE2 would also fold non-ASCII letters.
 _ANY_CASE = "|".join(
-    "".join(f"[{c.lower()}{c.upper()}]" for c in word) for word in TOXIC_WORDS
+    "".join(f"[{c.lower()}{c.upper()}]" for c in word) for word in _TOXIC_WORDS
 )
 _TOXIC = rf"regexp_matches(message, '\b({_ANY_CASE})\b')"
 _TOKENS = (
@@ -42,6 +49,10 @@ _TOXIC_ACTIVITY = _with(
     f"SELECT {_WINDOW} AS window_start, count(*) AS total_toxic_messages "
     f"FROM chat WHERE {_TOXIC} GROUP BY 1"
 )
+_WINDOW_COUNTS = _with(
+    f"SELECT {_WINDOW} AS window_start, count(*) AS total_messages, "
+    f"count(*) FILTER (WHERE {_TOXIC}) AS total_toxic_messages FROM chat GROUP BY 1"
+)
 _USER_ACTIVITY = _with('SELECT "user", nb_messages FROM u', _USERS)
 _TOXIC_USERS = _with(
     'SELECT "user", count(*) AS nb_toxic_messages FROM chat '
@@ -70,7 +81,7 @@ part AS (
   FROM line WHERE contains(line, 'PRIVMSG')),
 parsed AS (
   SELECT substr(string_split(prefix, '!')[1], 2) AS "user",
-    trim(substr(rest, strpos(rest, ':') + 1), '{WHITESPACE}') AS message
+    trim(substr(rest, strpos(rest, ':') + 1), '{_WHITESPACE}') AS message
   FROM part WHERE strpos(rest, ':') > 0)"""
 
 ORACLE: dict[str, str] = {
@@ -85,10 +96,7 @@ ORACLE: dict[str, str] = {
     "toxic_messages": _with(f'SELECT "user", message, "timestamp" FROM chat WHERE {_TOXIC}'),
     "toxic_activity": _TOXIC_ACTIVITY,
     "toxic_users": _TOXIC_USERS,
-    "window_counts": _with(
-        f"SELECT {_WINDOW} AS window_start, count(*) AS total_messages, "
-        f"count(*) FILTER (WHERE {_TOXIC}) AS total_toxic_messages FROM chat GROUP BY 1"
-    ),
+    "window_counts": _WINDOW_COUNTS,
     "user_counts": _with(
         'SELECT "user", count(*) AS nb_messages, '
         f"count(*) FILTER (WHERE {_TOXIC}) AS nb_toxic_messages "
@@ -106,6 +114,13 @@ ORACLE: dict[str, str] = {
     "global_stats": _with(_STATS_ROWS, _USERS),
     "stats_long": _with(_LONG_ROWS, _USERS, _WORDS),
     "parse_chat_lines": _with('SELECT "user", message FROM parsed', _PARSED),
+    "ingest_mixed_chunks": _with(
+        """SELECT "user", CAST(length(message) AS VARCHAR) AS message, 'accepted' AS state FROM mixed
+WHERE "user" NOT LIKE '%7'
+UNION ALL SELECT NULL, unnest([':' || "user" || '!' || "user" || '@chat.host PRIVMSG #room :',
+  CAST(length(message) AS VARCHAR)]), 'set aside' FROM mixed WHERE "user" LIKE '%7'""",
+        """mixed AS (SELECT "user", message FROM chat WHERE "user" IS NOT NULL AND message IS NOT NULL)""",
+    ),
     "ingest_to_topic": _with(
         'SELECT "user", message, CAST(NULL AS VARCHAR) AS "timestamp" FROM parsed', _PARSED
     ),
@@ -113,6 +128,12 @@ ORACLE: dict[str, str] = {
     "payload_decode": _with(
         'SELECT "user", message, CAST(NULL AS VARCHAR) AS "timestamp" FROM chat'
     ),
+    "payload_foreign": '''
+        SELECT CAST(user_id AS VARCHAR) AS "user",
+          CASE WHEN user_id % 2 = 0 THEN '{"id":' || user_id || ',"tags":["a",1.5,null]}'
+            ELSE 'tab' || chr(9) || 'quote"slash/ ' || chr(233) || chr(128512) || ' ' || user_id END AS message,
+          CASE WHEN user_id % 2 = 0 THEN '2024-01-01T00:00:00' END AS "timestamp"
+        FROM events WHERE user_id IS NOT NULL''',
     "payload_quarantine": _with(
         """SELECT "user" LIKE '%7' AS is_malformed, count(*) AS n FROM chat GROUP BY 1"""
     ),
@@ -129,10 +150,39 @@ UNION ALL SELECT 'global_stats', metric_name, value FROM s""",
         _USERS, _WORDS, f"t AS ({_TOP_WORDS})", f"s AS ({_STATS_ROWS})",
     ),
     "metric_log": _with(
-        'SELECT l.*, run, run_time AS "timestamp" FROM l, (VALUES '
-        "(1, TIMESTAMP '2024-02-01 00:00:00'), (2, TIMESTAMP '2024-02-02 00:00:00')) "
-        "AS runs(run, run_time)",
-        _USERS, _WORDS, f"l AS ({_LONG_ROWS})",
+        """SELECT "user" AS key, count(*) AS value, 'messages_per_user' AS metric, run, run_time AS "timestamp"
+FROM logged WHERE "user" IS NOT NULL GROUP BY ALL
+UNION ALL SELECT word, count(*), 'top_words', run, run_time FROM said WHERE word <> '' GROUP BY ALL""",
+        """logged AS (SELECT chat.*, run, run_time FROM chat JOIN (VALUES
+  (1, TIMESTAMP '2024-02-01 00:00:00'), (2, TIMESTAMP '2024-02-02 00:00:00')) AS runs(run, run_time)
+  ON run = 2 OR regexp_matches("user", '[0-4]$'))""",
+        f"said AS (SELECT unnest({_TOKENS}) AS word, run, run_time FROM logged)",
+    ),
+    "user_counts_int": _with(
+        'SELECT "user", CAST(count(*) AS INTEGER) AS nb_messages, '
+        f"CAST(count(*) FILTER (WHERE {_TOXIC}) AS INTEGER) AS nb_toxic_messages "
+        'FROM chat WHERE "user" IS NOT NULL GROUP BY 1'
+    ),
+    "batch_rerun_empty": _with(
+        """SELECT metric_name, value, 0 AS run FROM s
+UNION ALL SELECT 'users', CAST(count(*) AS DOUBLE), 0 FROM u
+UNION ALL SELECT unnest(['total_messages', 'average_messages_per_user', 'users']), 0.0, 1""",
+        _USERS, f"s AS ({_STATS_ROWS})",
+    ),
+    "stream_windows_in_triggers": _WINDOW_COUNTS,
+    "stream_late_rows": _with(
+        """SELECT count(*) FILTER (WHERE NOT late) AS n_counted, count(*) FILTER (WHERE late) AS n_late FROM judged""",
+        """parts AS (SELECT CAST(floor(epoch("timestamp")) AS BIGINT) % 6 AS part, "timestamp" AS t
+  FROM chat WHERE "timestamp" IS NOT NULL)""",
+        # A trigger drops what ended before the watermark of the trigger before it,
+        # which knows the files before that one.
+        """marks AS (SELECT part, max(max(t)) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING)
+  - INTERVAL '10 seconds' AS mark FROM parts GROUP BY part)""",
+        """judged AS (SELECT coalesce(time_bucket(INTERVAL '10 seconds', t) + INTERVAL '10 seconds' <= mark, false) AS late
+  FROM parts JOIN marks USING (part))""",
+    ),
+    "archive_quarantine": _with(
+        """SELECT coalesce("user" LIKE '%7', false) AS is_rejected, count(*) AS n FROM chat GROUP BY 1"""
     ),
     "stream_global_activity": _GLOBAL_ACTIVITY,
     "stream_messages_per_minute": _PER_MINUTE,

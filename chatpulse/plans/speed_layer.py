@@ -8,7 +8,7 @@
 from __future__ import annotations
 
 import argparse
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -18,16 +18,11 @@ from chatpulse.functions.text import TOXIC_WORDS
 from chatpulse.operators import activity
 from chatpulse.operators.ingest import decode_payload
 from chatpulse.settings import job_session
-from chatpulse.sinks.connectors import (
-    CASSANDRA,
-    cassandra_options,
-    connector_writer,
-    split_writer,
-)
+from chatpulse.sinks.connectors import CASSANDRA, parse_names, split_writer, store_writer
 from chatpulse.sinks.keyed import KeyedTable
 from chatpulse.sources import topics
 from chatpulse.streaming import metrics
-from chatpulse.streaming.run import finish, supervise
+from chatpulse.streaming.run import finish, late_rows, supervise
 
 
 def keyed(tables: str, table: schemas.ResultTable) -> KeyedTable:
@@ -48,11 +43,12 @@ def start_window_table(
     tables: str,
     checkpoints: str,
     *,
+    window: str = activity.WINDOW_LENGTH,
     watermark: str = metrics.WATERMARK,
     **trigger,
 ) -> StreamingQuery:
     return _start_keyed(
-        metrics.window_counts(flagged, watermark=watermark),
+        metrics.window_counts(flagged, window, watermark),
         keyed(tables, schemas.WINDOW_COUNTS),
         f"{checkpoints}/windows", "update", trigger,
     )
@@ -69,11 +65,16 @@ def start_user_table(
 
 
 def start_minute_table(
-    messages: DataFrame, tables: str, checkpoints: str, **trigger
+    messages: DataFrame,
+    tables: str,
+    checkpoints: str,
+    *,
+    watermark: str = metrics.WATERMARK,
+    **trigger,
 ) -> StreamingQuery:
     """The message rate, per aligned minute."""
     return _start_keyed(
-        metrics.messages_per_minute(messages),
+        metrics.messages_per_minute(messages, watermark=watermark),
         keyed(tables, schemas.MINUTE_ACTIVITY),
         f"{checkpoints}/minutes", "update", trigger,
     )
@@ -86,38 +87,51 @@ def start_tables(
     *,
     words: Sequence[str] = TOXIC_WORDS,
     time_source: str = "processing",
+    window: str = activity.WINDOW_LENGTH,
+    watermark: str = metrics.WATERMARK,
     **trigger,
 ) -> list[StreamingQuery]:
-    """The four metrics from two queries, in two keyed tables."""
+    """The four metrics from two queries, in two keyed tables.
+
+    With event time a third query keeps the messages that have no readable time,
+    and so count for no window, in ``<tables>/untimed``.
+    """
     flagged = metrics.flagged_messages(payloads, words=words, time_source=time_source)
-    return [
-        start_window_table(flagged, tables, checkpoints, **trigger),
+    queries = [
+        start_window_table(flagged, tables, checkpoints, window=window, watermark=watermark, **trigger),
         start_user_table(flagged, tables, checkpoints, **trigger),
     ]
+    if time_source == "event":
+        queries.append(
+            metrics.start_untimed(payloads, untimed_folder(tables), f"{checkpoints}/untimed", **trigger)
+        )
+    return queries
 
 
-RANKINGS = {
-    schemas.USER_ACTIVITY.name: metrics.user_ranking,
-    schemas.TOXIC_USERS.name: metrics.toxic_user_ranking,
-}
+def untimed_folder(tables: str) -> str:
+    return f"{tables}/untimed"
 
 
-def start_ranking_table(
-    flagged: DataFrame, table: schemas.ResultTable, tables: str, checkpoints: str, **trigger
-) -> StreamingQuery:
-    """All users by messages or by toxic messages, the whole ranking at each trigger."""
-    return _start_keyed(
-        RANKINGS[table.name](flagged),
-        keyed(tables, table),
-        f"{checkpoints}/{table.name}", "complete", trigger,
-    )
+RANKED = {
+    schemas.USER_ACTIVITY.name: activity.total_part,
+    schemas.TOXIC_USERS.name: activity.toxic_part,
+}
 
 
 def read_windows(
-    spark: SparkSession, tables: str, table: schemas.ResultTable = schemas.WINDOW_COUNTS
+    spark: SparkSession,
+    tables: str,
+    table: schemas.ResultTable = schemas.WINDOW_COUNTS,
+    time_source: str = "processing",
 ) -> DataFrame:
-    """Window counts of the newest generation."""
+    """Window counts: of the newest generation, or with event time of all of them.
+
+    A rebuilt stream counts old messages in other windows of processing time; its
+    windows of event time are the same, and those it lacks keep their counts.
+    """
     stored = keyed(tables, table)
+    if time_source == "event":
+        return stored.largest(spark)
     return stored.latest(spark, stored.last_generation(spark))
 
 
@@ -128,9 +142,13 @@ def read_user_counts(spark: SparkSession, tables: str) -> DataFrame:
 def read_ranking(
     spark: SparkSession, tables: str, ranked: schemas.ResultTable = schemas.USER_ACTIVITY
 ) -> DataFrame:
-    table = keyed(tables, ranked)
-    ranking = table.newest_epoch(spark, table.last_generation(spark))
-    return activity.rank_by(ranking, ranked.values[0].name, ranked.key.name)
+    """All users by messages or by toxic messages, ranked as they are read.
+
+    The stream writes only the users a trigger changed; a ranking kept by the
+    stream would write all of them each time, and lose its order on the way.
+    """
+    counts = RANKED[ranked.name](read_user_counts(spark, tables))
+    return activity.rank_by(counts, ranked.values[0].name, ranked.key.name)
 
 
 def start_cassandra(
@@ -140,18 +158,21 @@ def start_cassandra(
     *,
     words: Sequence[str] = TOXIC_WORDS,
     time_source: str = "processing",
+    window: str = activity.WINDOW_LENGTH,
+    watermark: str = metrics.WATERMARK,
     form: str = CASSANDRA,
+    names: Mapping[str, str] | None = None,
     **trigger,
 ) -> list[StreamingQuery]:
     """The four metrics in four outside tables with 32-bit counts, two per query."""
 
     def to(table: schemas.ResultTable):
-        return connector_writer(form, cassandra_options(keyspace, table.name), table.narrowed())
+        return store_writer(form, keyspace, table, names)
 
     flagged = metrics.flagged_messages(payloads, words=words, time_source=time_source)
     return [
         metrics.start_to(
-            metrics.window_counts(flagged),
+            metrics.window_counts(flagged, window, watermark),
             split_writer(to(schemas.WINDOW_ACTIVITY), to(schemas.TOXIC_WINDOW_ACTIVITY)),
             f"{checkpoints}/windows", **trigger,
         ),
@@ -169,6 +190,8 @@ def start_consoles(
     *,
     words: Sequence[str] = TOXIC_WORDS,
     time_source: str = "processing",
+    window: str = activity.WINDOW_LENGTH,
+    watermark: str = metrics.WATERMARK,
     **trigger,
 ) -> list[StreamingQuery]:
     """Changed windows, and the two full user rankings, on standard output."""
@@ -176,7 +199,7 @@ def start_consoles(
     trigger = trigger or {"every": "5 seconds"}
     return [
         metrics.start_console(
-            metrics.window_counts(flagged), f"{checkpoints}/windows", **trigger
+            metrics.window_counts(flagged, window, watermark), f"{checkpoints}/windows", **trigger
         ),
         metrics.start_console(
             metrics.user_ranking(flagged), f"{checkpoints}/users", "complete", **trigger
@@ -188,13 +211,27 @@ def start_consoles(
     ]
 
 
+def start_archives(
+    payloads: DataFrame, archive: str, checkpoints: str, rejected: str | None = None, **trigger
+) -> list[StreamingQuery]:
+    """The archive, and beside it the payloads that are no messages."""
+    rejected = rejected or f"{archive.rstrip('/')}-rejected"
+    return [
+        metrics.start_archive(payloads, archive, f"{checkpoints}/archive", **trigger),
+        metrics.start_quarantine(payloads, rejected, f"{checkpoints}/rejected", **trigger),
+    ]
+
+
 def _arguments(arguments: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("job", choices=["tables", "console", "archive"])
     parser.add_argument("--checkpoints", required=True)
     parser.add_argument("--tables", help="folder of the result tables")
-    parser.add_argument("--keyspace", help="write to Cassandra tables instead")
+    parser.add_argument("--keyspace", help="write to tables of a store instead")
+    parser.add_argument("--table-names", help="names there: ours=theirs,...; needs --keyspace")
+    parser.add_argument("--store", default=CASSANDRA, help="data source of the store")
     parser.add_argument("--archive", help="folder of JSON lines")
+    parser.add_argument("--rejected", help="folder of payloads that are no messages")
     parser.add_argument("--show-rate", action="store_true", help="print messages per minute")
     parser.add_argument("--topic-folder", help="folder of Parquet files with a value column")
     parser.add_argument("--max-files-per-trigger", type=int)
@@ -204,6 +241,8 @@ def _arguments(arguments: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--min-partitions", type=int)
     parser.add_argument("--words", help="toxic words, separated by commas")
     parser.add_argument("--time-source", choices=["processing", "event"], default="processing")
+    parser.add_argument("--window", default=activity.WINDOW_LENGTH, help="length of a window")
+    parser.add_argument("--watermark", default=metrics.WATERMARK, help="how late a message may be")
     parser.add_argument("--every", help="trigger interval, such as '5 seconds'")
     parser.add_argument("--available-now", action="store_true")
     given = parser.parse_args(arguments)
@@ -212,6 +251,10 @@ def _arguments(arguments: list[str] | None) -> argparse.Namespace:
     needed = {"tables": given.tables or given.keyspace, "archive": given.archive}
     if not needed.get(given.job, True):
         parser.error(f"{given.job} needs a target")
+    if given.table_names and not given.keyspace:
+        parser.error("--table-names without --keyspace would name nothing")
+    if given.tables and given.keyspace:
+        parser.error("give --tables or --keyspace")
     return given
 
 
@@ -228,18 +271,20 @@ def main(arguments: list[str] | None = None) -> None:
         )
     trigger = {"available_now": True} if given.available_now else {"every": given.every}
     words = given.words.split(",") if given.words else TOXIC_WORDS
-    rules = {"words": words, "time_source": given.time_source}
+    rules = {
+        "words": words, "time_source": given.time_source,
+        "window": given.window, "watermark": given.watermark,
+    }
     if given.job == "archive":
-        queries = [
-            metrics.start_archive(
-                payloads, given.archive, f"{given.checkpoints}/archive", **trigger
-            )
-        ]
+        queries = start_archives(
+            payloads, given.archive, given.checkpoints, given.rejected, **trigger
+        )
         if given.show_rate:
             messages = metrics.stamp(decode_payload(payloads), given.time_source)
             queries.append(
                 metrics.start_console(
-                    metrics.messages_per_minute(messages), f"{given.checkpoints}/rate", **trigger
+                    metrics.messages_per_minute(messages, watermark=given.watermark),
+                    f"{given.checkpoints}/rate", **trigger,
                 )
             )
     elif given.job == "console":
@@ -247,7 +292,8 @@ def main(arguments: list[str] | None = None) -> None:
         queries = start_consoles(payloads, given.checkpoints, **rules, **trigger)
     elif given.keyspace:
         queries = start_cassandra(
-            payloads, given.keyspace, given.checkpoints, **rules, **trigger
+            payloads, given.keyspace, given.checkpoints,
+            form=given.store, names=parse_names(given.table_names), **rules, **trigger,
         )
     else:
         queries = start_tables(payloads, given.tables, given.checkpoints, **rules, **trigger)
@@ -255,6 +301,9 @@ def main(arguments: list[str] | None = None) -> None:
         finish(*queries)
     else:
         supervise(spark, queries)
+    late = sum(map(late_rows, queries))
+    if late:
+        print(f"{late} rows came after the watermark and are in no window; widen --watermark")
 
 
 if __name__ == "__main__":

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # A chat message as published, and as archived (the time is an ISO string).
 PAYLOAD = T.StructType(
@@ -42,16 +42,24 @@ class ResultTable:
     def conform(self, df: DataFrame) -> DataFrame:
         """Columns in declared order and type; a missing or spare column is an error.
 
-        The cast follows ANSI rules: a count beyond a declared ``int`` raises
-        instead of wrapping.
+        A count beyond a declared ``int`` raises instead of wrapping, whatever
+        the session's cast rules are.
         """
         if set(df.columns) != set(self.schema.names):
             raise ValueError(
                 f"{self.name}: expected {self.schema.names}, got {df.columns}"
             )
-        return df.select(
-            *(F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields)
+        return df.select(*(_cast(df, f).alias(f.name) for f in self.schema.fields))
+
+
+def _cast(df: DataFrame, field: T.StructField) -> Column:
+    column = F.col(field.name)
+    if field.dataType == T.IntegerType() and df.schema[field.name].dataType == T.LongType():
+        wide = F.concat(F.lit(f"{field.name} is beyond 32 bits: "), column.cast("string"))
+        column = F.when(column.between(-(2**31), 2**31 - 1), column).when(
+            column.isNotNull(), F.raise_error(wide).cast("bigint")
         )
+    return column.cast(field.dataType)
 
 
 def _table(name: str, key: str, key_type: T.DataType, **values: T.DataType) -> ResultTable:
@@ -89,22 +97,6 @@ USER_COUNTS = _table(
     "user_counts", "user", _TEXT, nb_messages=_COUNT, nb_toxic_messages=_COUNT
 )
 
-RESULT_TABLES = {
-    t.name: t
-    for t in (
-        WINDOW_ACTIVITY,
-        TOXIC_WINDOW_ACTIVITY,
-        MINUTE_ACTIVITY,
-        USER_ACTIVITY,
-        TOXIC_USERS,
-        TOP_USERS,
-        TOP_WORDS,
-        GLOBAL_STATS,
-        WINDOW_COUNTS,
-        USER_COUNTS,
-    )
-}
-
 # Append-only log of metrics from several runs.
 METRIC_LOG = T.StructType(
     [
@@ -114,3 +106,5 @@ METRIC_LOG = T.StructType(
         T.StructField("timestamp", _TIME),
     ]
 )
+METRIC_LOG_TABLE = ResultTable("stats", METRIC_LOG["key"], tuple(METRIC_LOG.fields[1:]))
+MESSAGES = _table("messages", "user", _TEXT, message=_TEXT, timestamp=_TIME)

@@ -19,6 +19,19 @@ def cassandra_options(keyspace: str, table: str) -> dict[str, str]:
     return {"keyspace": keyspace, "table": table}
 
 
+def parse_names(given: str | None) -> dict[str, str]:
+    """``ours=theirs,...`` as a mapping of table names."""
+    return dict(pair.strip().split("=", 1) for pair in given.split(",")) if given else {}
+
+
+def store_writer(
+    form: str, keyspace: str, table: ResultTable, names: Mapping[str, str] | None = None
+) -> BatchWriter:
+    """Upserts into a table of an outside store, which may have another name there."""
+    own = (names or {}).get(table.name, table.name)
+    return connector_writer(form, cassandra_options(keyspace, own), table.narrowed())
+
+
 def connector_writer(
     form: str, options: Mapping[str, str], table: ResultTable, mode: str = "append"
 ) -> BatchWriter:

@@ -4,12 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chatpulse.schemas import CHAT
+from chatpulse.functions.payload import decoded
+from chatpulse.schemas import CHAT, CHAT_OR_CORRUPT, CORRUPT
+from chatpulse.sources.folders import is_complete
+
+
+def _read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Every line but blank ones, parsed once; one that is no JSON object is all null beside its text."""
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    # Exploding a one-element array keeps the parse in one place.
+    parsed = lines.select("value", F.explode(F.array(decoded(F.col("value"), CHAT_OR_CORRUPT))).alias("record"))
+    broken = F.when(F.col("record").isNull(), F.col("value")).otherwise(F.col(f"record.{CORRUPT}"))
+    return parsed.select(*(F.col(f"record.{name}") for name in CHAT.names), broken.alias(CORRUPT))
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """``user, message, timestamp`` as text; a fixed schema saves a pass over the data."""
-    return spark.read.schema(CHAT).json(path)
+    """``user, message, timestamp`` as text; a fixed schema saves a pass over the data.
+
+    A line that is no JSON object is no record; ``convert_archive`` keeps it aside.
+    """
+    return _read_lines(spark, path).filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
 def write_archive(records: DataFrame, path: str) -> None:
@@ -20,13 +34,28 @@ def write_archive(records: DataFrame, path: str) -> None:
 def convert_archive(
     spark: SparkSession, archive: str, history: str, only_if_absent: bool = False
 ) -> None:
-    """Rewrites the archive as Parquet; or leaves a history that is there alone."""
-    mode = "ignore" if only_if_absent else "overwrite"
-    read_archive(spark, archive).write.mode(mode).parquet(history)
+    """Rewrites the archive as Parquet; or leaves a history that is whole alone.
+
+    One pass writes every line: broken ones keep their text in a column of their
+    own, which ``read_rejected`` shows. A history without its success marker is
+    what a run left that did not end, and is written anew.
+    """
+    if only_if_absent and is_complete(spark, history):
+        return
+    _read_lines(spark, archive).write.mode("overwrite").parquet(history)
+
+
+def _read_rows(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(CHAT_OR_CORRUPT).parquet(path)
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
     """The Parquet history with a real timestamp; unreadable times become null."""
-    return spark.read.schema(CHAT).parquet(path).withColumn(
-        "timestamp", F.try_to_timestamp("timestamp")
-    )
+    records = _read_rows(spark, path).filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return records.withColumn("timestamp", F.try_to_timestamp("timestamp"))
+
+
+def read_rejected(spark: SparkSession, path: str) -> DataFrame:
+    """``line``: the archive lines of a history that were no records."""
+    broken = _read_rows(spark, path).filter(F.col(CORRUPT).isNotNull())
+    return broken.select(F.col(CORRUPT).alias("line"))

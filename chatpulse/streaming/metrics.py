@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from chatpulse.functions.text import TOXIC_WORDS
 from chatpulse.operators import activity
-from chatpulse.operators.ingest import decode_payload, stamp_archive_time
+from chatpulse.operators.ingest import decode_payload, quarantine, stamp_archive_time
 from chatpulse.sinks.connectors import BatchWriter
 from chatpulse.streaming.run import start
 
@@ -38,6 +38,11 @@ def stamp(messages: DataFrame, time_source: str) -> DataFrame:
     return messages.withColumn("timestamp", time)
 
 
+def untimed(messages: DataFrame) -> DataFrame:
+    """Messages whose own time is missing or unreadable: they belong to no window of event time."""
+    return messages.filter(F.try_to_timestamp("timestamp").isNull())
+
+
 def flagged_messages(
     payloads: DataFrame,
     *,
@@ -58,7 +63,7 @@ def window_counts(
     return activity.window_counts(flagged.withWatermark("timestamp", watermark), length)
 
 
-def messages_per_minute(messages: DataFrame, watermark: str = WATERMARK) -> DataFrame:
+def messages_per_minute(messages: DataFrame, *, watermark: str = WATERMARK) -> DataFrame:
     return activity.messages_per_minute(messages.withWatermark("timestamp", watermark))
 
 
@@ -97,9 +102,29 @@ def start_archive(
     """Appends decoded messages with their arrival time as JSON lines.
 
     Payloads that do not decode are left out, as a record without sender and text
-    tells nothing. The checkpoint and the file log together keep every message
-    once over restarts.
+    tells nothing; ``start_quarantine`` keeps them. The checkpoint and the file
+    log together keep every message once over restarts.
     """
     records = stamp_archive_time(decode_payload(payloads, drop_malformed=True))
     writer = records.writeStream.format("json").option("ignoreNullFields", "false")
     return start(writer.option("path", folder), "append", checkpoint, **trigger)
+
+
+def start_quarantine(
+    payloads: DataFrame, folder: str, checkpoint: str, **trigger
+) -> StreamingQuery:
+    """Appends the payloads that do not decode, as they came, to a folder topic.
+
+    With ``start_archive`` every payload is in one of the two outputs once.
+    """
+    writer = quarantine(payloads).writeStream.format("parquet").option("path", folder)
+    return start(writer, "append", checkpoint, **trigger)
+
+
+def start_untimed(
+    payloads: DataFrame, folder: str, checkpoint: str, **trigger
+) -> StreamingQuery:
+    """Appends the messages without a readable time, broken payloads among them, as JSON lines."""
+    rows = untimed(decode_payload(payloads))
+    writer = rows.writeStream.format("json").option("ignoreNullFields", "false")
+    return start(writer.option("path", folder), "append", checkpoint, **trigger)

@@ -30,9 +30,26 @@ def start(
 
 
 def finish(*queries: StreamingQuery) -> None:
-    """Waits for available-now queries; a failed one raises its error."""
-    for query in queries:
-        query.awaitTermination()
+    """Waits for available-now queries; if one fails, stops the others and raises its error."""
+    try:
+        for query in queries:
+            query.awaitTermination()
+    finally:
+        for query in queries:
+            query.stop()
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that came after the watermark and were not counted.
+
+    Spark counts them behind the partial aggregate: several messages of one key
+    in one task are one row. 0 says that no message was late.
+    """
+    return sum(
+        state.numRowsDroppedByWatermark
+        for progress in query.recentProgress
+        for state in progress.stateOperators
+    )
 
 
 def supervise(spark: SparkSession, queries: Sequence[StreamingQuery]) -> None:

@@ -54,15 +54,18 @@ def parsed(line):
 
 def test_line_parse(spark):
     strings = random_strings(3) + [f":{s}!x PRIVMSG #r :{s}" for s in random_strings(4, 1000)]
+    strings += [f"{s}\r\n" for s in strings]
     frame = frame_of(spark, strings, "chunk")
     got = sorted(tuple(r) for r in ingest.parse_chat_lines(ingest.chat_lines(frame)).collect())
-    want = [
-        parsed(line)
-        for chunk in strings
-        if not chunk.startswith("PING")
-        for line in chunk.split("\r\n")
-    ]
+    want, cut = [], []
+    for chunk in strings:
+        *lines, last = chunk.split("\r\n")
+        if lines and not lines[0].startswith((":", "PING")):
+            cut.append(lines.pop(0))
+        cut.append(last)
+        want += [parsed(line) for line in lines if not line.startswith("PING")]
     assert got == sorted(p for p in want if p)
+    assert sorted(r.line for r in ingest.cut_lines(frame).collect()) == sorted(c for c in cut if c)
 
 
 def test_payload_round_trip(spark):

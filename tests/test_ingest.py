@@ -1,6 +1,7 @@
 """Golden rows of line parsing and payloads; archive conversion; topics."""
 
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -25,16 +26,34 @@ LINES = {
 
 
 def test_lines(spark):
-    chunk = "\r\n".join([":server 001 :hello", *LINES])
+    chunk = "\r\n".join([":server 001 :hello", *LINES, ""])
     frame = spark.createDataFrame([(chunk.encode(),)], "chunk binary")
     got = rows(ingest.parse_chat_lines(ingest.chat_lines(frame)))
     assert got == sorted((v for v in LINES.values() if v), key=repr)
 
 
-def test_keepalive_chunk_is_skipped_whole(spark):
-    chunk = "PING :x\r\n:bob!b@h PRIVMSG #c :lost"
+def test_only_the_keepalive_line_of_a_chunk_is_skipped(spark):
+    chunk = "PING :x PRIVMSG #c :y\r\n:bob!b@h PRIVMSG #c :kept\r\n"
     frame = spark.createDataFrame([(chunk,), (None,)], "chunk string")
-    assert ingest.chat_lines(frame).count() == 0
+    assert rows(ingest.parse_chat_lines(ingest.chat_lines(frame))) == [("bob", "kept")]
+    assert ingest.cut_lines(frame).count() == 0
+
+
+def test_lines_cut_by_a_chunk_border_are_set_aside(spark):
+    chunks = [":a!a@h PRIVMSG #c :one\r\n:b!b@h PRIVMSG #c :hello wor", "ld\r\n:c!c@h PRIVMSG #c :two\r\n", "PING :h"]
+    frame = spark.createDataFrame([(c,) for c in chunks], "chunk string")
+    assert rows(ingest.parse_chat_lines(ingest.chat_lines(frame))) == [("a", "one"), ("c", "two")]
+    assert rows(ingest.cut_lines(frame)) == [(":b!b@h PRIVMSG #c :hello wor",), ("PING :h",), ("ld",)]
+
+
+def test_ingest_keeps_pieces_in_a_folder(spark, folder):
+    frame = spark.createDataFrame([(":a!a@h PRIVMSG #c :one\r\n:b!b@h PRIV",)], "chunk string")
+    ingest_layer.ingest(frame, topics.file_target(f"{folder}/topic"), f"{folder}/aside")
+    assert rows(spark.read.parquet(f"{folder}/aside")) == [(":b!b@h PRIV",)]
+    frame.write.parquet(f"{folder}/raw")
+    chunks = spark.readStream.schema("chunk string").parquet(f"{folder}/raw")
+    finish(ingest_layer.start_cut_lines(chunks, f"{folder}/pieces", f"{folder}/c", available_now=True))
+    assert rows(spark.read.parquet(f"{folder}/pieces")) == [(":b!b@h PRIV",)]
 
 
 PAYLOADS = [
@@ -130,7 +149,10 @@ def test_broken_archive_line_keeps_the_schema(spark, folder):
     ).write.text(f"{folder}/a")
     read = archive.read_archive(spark, f"{folder}/a")
     assert read.columns == ["user", "message", "timestamp"]
-    assert read.count() == 2
+    assert read.count() == 1
+    archive.convert_archive(spark, f"{folder}/a", f"{folder}/h")
+    assert [r.user for r in archive.read_history(spark, f"{folder}/h").collect()] == ["a"]
+    assert rows(archive.read_rejected(spark, f"{folder}/h")) == [("{broken",)]
 
 
 def test_convert_if_absent_keeps_what_is_there(spark, folder):
@@ -144,6 +166,14 @@ def test_convert_if_absent_keeps_what_is_there(spark, folder):
     assert archive.read_history(spark, f"{folder}/h").count() == 2
 
 
+def test_a_history_without_its_marker_is_written_anew(spark, folder):
+    record = spark.createDataFrame([("a", "x", "t")], "user string, message string, timestamp string")
+    archive.write_archive(record, f"{folder}/a")
+    Path(f"{folder}/h/_temporary/0").mkdir(parents=True)
+    archive.convert_archive(spark, f"{folder}/a", f"{folder}/h", only_if_absent=True)
+    assert archive.read_history(spark, f"{folder}/h").count() == 1
+
+
 def test_kafka_options():
     assert topics.kafka_options("h:1", "room") == {
         "kafka.bootstrap.servers": "h:1",

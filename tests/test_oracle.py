@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from chatpulse.plans.catalog import CATALOG
+from chatpulse.plans.oracle import ORACLE
 
 DATA = "/root/testdata/sf0.01"
 
@@ -32,10 +34,12 @@ def sorted_rows(columns, rows):
 
 
 def test_every_query_has_an_oracle():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert CATALOG.keys() == ORACLE.keys()
+    assert CATALOG.keys() <= contract.queries().keys()
+    assert contract.oracle_sql().keys() <= contract.queries().keys()
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(CATALOG))
 def test_query_equals_oracle(spark, duck, name):
     result = contract.queries()[name](spark, DATA)
     expected = duck.execute(contract.oracle_sql()[name])
@@ -46,6 +50,16 @@ def test_query_equals_oracle(spark, duck, name):
     assert sorted_rows(result.columns, [tuple(r) for r in result.collect()]) == want
 
 
+def test_the_caller_s_session_stays_as_it_is(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        before = dict(spark.conf.getAll)
+        contract.queries()["global_activity"](spark, DATA).count()
+        assert dict(spark.conf.getAll) == before
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_entry_has_rows(spark):
     result = contract.entry(spark)
     assert result.columns == ["window_start", "total_toxic_messages"]

@@ -1,6 +1,7 @@
 """The metric streams over file topics: equal to batch, late rows, restarts, failures."""
 
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,10 +10,11 @@ from pyspark.sql.streaming import StreamingQueryException
 from chatpulse import schemas
 from chatpulse.operators import activity
 from chatpulse.plans import batch_layer, speed_layer
+from chatpulse.sinks import connectors
 from chatpulse.sinks.connectors import connector_writer
 from chatpulse.sources import archive, topics
 from chatpulse.streaming import metrics
-from chatpulse.streaming.run import finish, supervise
+from chatpulse.streaming.run import finish, late_rows, supervise
 from helpers import add_file, at, chat, counted, rows
 
 
@@ -30,16 +32,16 @@ class Topic:
     def stream(self):
         return topics.read_files(self.spark, self.path, max_files_per_trigger=1)
 
-    def run(self, checkpoints="c", time_source="event"):
+    def run(self, checkpoints="c", time_source="event", **more):
         queries = speed_layer.start_tables(
             self.stream(), self.tables, f"{self.root}/{checkpoints}",
-            time_source=time_source, available_now=True,
+            time_source=time_source, available_now=True, **more,
         )
         finish(*queries)
         return queries
 
-    def windows(self):
-        return counted(speed_layer.read_windows(self.spark, self.tables))
+    def windows(self, time_source="event"):
+        return counted(speed_layer.read_windows(self.spark, self.tables, time_source=time_source))
 
     def users(self):
         return counted(speed_layer.read_user_counts(self.spark, self.tables))
@@ -76,7 +78,7 @@ def test_late_rows_are_dropped_one_batch_after_the_watermark(spark, topic):
     topic.add(("a", "x", 60), ("a", "x", 5))
     topic.add(("a", "x", 61))
     topic.add(("a", "x", 1), ("a", "x", 52), ("a", "x", 45))
-    windows, users = topic.run()
+    windows, *_ = topic.run()
     table = speed_layer.keyed(topic.tables, schemas.WINDOW_COUNTS)
     by_epoch = {
         epoch: counted(
@@ -86,7 +88,7 @@ def test_late_rows_are_dropped_one_batch_after_the_watermark(spark, topic):
     }
     assert by_epoch == {0: {at(0): 1, at(60): 1}, 1: {at(60): 2}, 2: {at(50): 1}}
     dropped = [s.numRowsDroppedByWatermark for p in windows.recentProgress for s in p.stateOperators]
-    assert sum(dropped) == 2
+    assert sum(dropped) == late_rows(windows) == 2
     assert topic.users() == {"a": (6, 0)}
 
 
@@ -94,7 +96,7 @@ def test_finished_windows_leave_the_state(topic):
     topic.add(("a", "clean", 5))
     topic.add(("a", "clean", 60))
     topic.add(("a", "clean", 61))
-    windows, users = topic.run()
+    windows, users, _ = topic.run()
     kept = [s.numRowsTotal for p in windows.recentProgress for s in p.stateOperators]
     assert kept[-1] == 1 and max(kept) == 2
     assert users.recentProgress[-1].stateOperators[0].numRowsTotal == 1
@@ -129,23 +131,53 @@ def test_lost_checkpoint_starts_a_generation_that_wins(topic):
     topic.run("first")
     topic.run("second")
     assert topic.users() == {"a": (2, 0)}
-    assert topic.windows() == {at(0): (2, 0)}
+    assert topic.windows() == topic.windows("processing") == {at(0): (2, 0)}
+
+
+def test_windows_of_event_time_outlive_the_topic(topic):
+    topic.add(("a", "x", 5), ("a", "x", 6))
+    topic.add(("a", "idiot", 65))
+    topic.run("first")
+    for part in Path(topic.path).glob("part-*"):
+        part.unlink()
+    topic.add(("a", "idiot", 66), ("b", "x", 130))
+    topic.run("second")
+    assert topic.windows() == {at(0): (2, 0), at(60): (1, 1), at(130): (1, 0)}
+    assert topic.windows("processing") == {at(60): (1, 1), at(130): (1, 0)}
+
+
+def test_a_wider_watermark_counts_rows_out_of_order(spark, topic):
+    messages = random_messages(3, 90)
+    for part in range(3):
+        topic.add(*messages[part::3])
+    windows, *_ = topic.run(watermark="10 minutes", window="20 seconds")
+    flagged = activity.flag_toxic(chat(spark, *messages))
+    assert topic.windows() == counted(activity.window_counts(flagged, "20 seconds"))
+    assert late_rows(windows) == 0
+
+
+def test_messages_without_a_time_are_kept_beside_the_windows(spark, topic):
+    topic.add(("a", "x", 5), ("b", "idiot", None), ("b", "y", None))
+    topic.run()
+    assert topic.windows() == {at(0): (1, 0)} and topic.users() == {"a": (1, 0), "b": (2, 1)}
+    untimed = archive.read_archive(spark, speed_layer.untimed_folder(topic.tables))
+    assert rows(untimed.select("user", "message")) == [("b", "idiot"), ("b", "y")]
 
 
 def test_processing_time_gives_a_trigger_one_window(spark, topic):
     topic.add(("a", "idiot", 5), ("b", "x", 500), (None, None, None))
     topic.run(time_source="processing")
-    (only,) = topic.windows().values()
+    (only,) = topic.windows("processing").values()
     assert only == (3, 1)
 
 
 def test_malformed_payloads_count_for_windows_in_processing_time(spark, folder):
     spark.createDataFrame(
         [(bytearray(b"not json"),), (bytearray(b'{"user":"a","message":"hate"}'),)], "value binary"
-    ).write.parquet(f"{folder}/topic")
+    ).coalesce(1).write.parquet(f"{folder}/topic")
     topic = Topic(spark, folder)
     topic.run(time_source="processing")
-    assert list(topic.windows().values()) == [(2, 1)]
+    assert list(topic.windows("processing").values()) == [(2, 1)]
     assert topic.users() == {"a": (1, 1)}
 
 
@@ -157,16 +189,13 @@ def test_unknown_time_source_is_refused(spark):
 def test_rankings_are_whole_and_sorted(spark, topic):
     topic.add(("a", "hate", 1), ("b", "x", 2), ("b", "x", 3))
     topic.add(("c", "x", 4), ("a", "noob", 5), ("a", "x", 6))
-    flagged = metrics.flagged_messages(topic.stream())
+    topic.run()
+    # A trigger writes the users it changed and no others.
+    assert speed_layer.keyed(topic.tables, schemas.USER_COUNTS).log(spark).count() == 4
     for table, expected in (
         (schemas.USER_ACTIVITY, [("a", 3), ("b", 2), ("c", 1)]),
         (schemas.TOXIC_USERS, [("a", 2)]),
     ):
-        finish(
-            speed_layer.start_ranking_table(
-                flagged, table, topic.tables, f"{topic.root}/c", available_now=True
-            )
-        )
         ranking = speed_layer.read_ranking(spark, topic.tables, table)
         assert [tuple(r) for r in ranking.collect()] == expected
 
@@ -177,11 +206,9 @@ def test_archive_stream_keeps_good_payloads_once(spark, folder, topic):
         "append"
     ).parquet(topic.path)
     for _ in range(2):
-        finish(
-            metrics.start_archive(
-                topic.stream(), f"{folder}/archive", f"{folder}/c", available_now=True
-            )
-        )
+        finish(*speed_layer.start_archives(topic.stream(), f"{folder}/archive", f"{folder}/c", available_now=True))
+    rejected = spark.read.schema(topics.VALUE).parquet(f"{folder}/archive-rejected")
+    assert [bytes(r.value) for r in rejected.collect()] == [b"{broken"]
     records = archive.read_archive(spark, f"{folder}/archive")
     assert rows(records.select("user", "message")) == [("a", "x\ny"), ("b", None)]
     assert records.filter("try_to_timestamp(timestamp) IS NULL").count() == 0
@@ -204,18 +231,18 @@ def test_stream_to_batch_agree(spark, folder, topic):
 def test_outside_store_gets_four_tables(spark, folder, topic, monkeypatch):
     topic.add(("a", "hate", 1), ("b", "x", 12), (None, "x", 13))
     monkeypatch.setattr(
-        speed_layer, "cassandra_options", lambda keyspace, table: {"path": f"{folder}/{keyspace}/{table}"}
+        connectors, "cassandra_options", lambda keyspace, table: {"path": f"{folder}/{keyspace}/{table}"}
     )
     finish(
         *speed_layer.start_cassandra(
             topic.stream(), "store", f"{folder}/c", time_source="event",
-            form="parquet", available_now=True,
+            form="parquet", names={"window_activity": "live_windows"}, available_now=True,
         )
     )
     def table(name):
         return spark.read.parquet(f"{folder}/store/{name}")
 
-    assert counted(table("window_activity")) == {at(0): 1, at(10): 2}
+    assert counted(table("live_windows")) == {at(0): 1, at(10): 2}
     assert counted(table("toxic_window_activity")) == {at(0): 1}
     assert counted(table("user_activity")) == {"a": 1, "b": 1}
     assert counted(table("toxic_users")) == {"a": 1}
@@ -233,6 +260,33 @@ def test_consoles_show_every_metric(folder, topic):
     assert shown == [2, 2, 1]
 
 
+def test_finish_stops_the_rest_and_raises(spark, folder, topic):
+    topic.add(("a", "x", 1))
+
+    def fail(batch, epoch):
+        raise RuntimeError("sink is gone")
+
+    flagged = metrics.flagged_messages(topic.stream())
+    bad = metrics.start_to(metrics.window_counts(flagged), fail, f"{folder}/bad", available_now=True)
+    good = metrics.start_to(
+        metrics.user_counts(flagged), connector_writer("noop", {}, schemas.USER_COUNTS), f"{folder}/good", every="1 second"
+    )
+    with pytest.raises(StreamingQueryException):
+        finish(bad, good)
+    assert not good.isActive and not bad.isActive
+
+
+def test_default_trigger_runs_until_it_is_stopped(folder, topic):
+    topic.add(("a", "x", 1))
+    flagged = metrics.flagged_messages(topic.stream())
+    query = metrics.start_to(
+        metrics.user_counts(flagged), connector_writer("noop", {}, schemas.USER_COUNTS), f"{folder}/c"
+    )
+    query.processAllAvailable()
+    assert query.isActive and query.lastProgress is not None
+    query.stop()
+
+
 def test_supervise_stops_the_rest_and_raises(spark, folder, topic):
     topic.add(("a", "x", 1))
 
@@ -271,3 +325,18 @@ def test_jobs_run_from_the_command_line(spark, folder, topic):
         speed_layer.main(["tables", "--checkpoints", "c", "--tables", "t"])
     with pytest.raises(SystemExit):
         speed_layer.main(["archive", *common])
+    with pytest.raises(SystemExit):
+        speed_layer.main(["tables", *common, "--tables", "t", "--table-names", "a=b"])
+
+
+def test_late_rows_are_told_from_the_command_line(folder, topic, capsys):
+    topic.add(("a", "x", 500))
+    topic.add(("a", "x", 501))
+    topic.add(("a", "x", 1))
+    common = ["--topic-folder", topic.path, "--available-now", "--time-source", "event", "--max-files-per-trigger", "1"]
+    speed_layer.main(["tables", *common, "--checkpoints", f"{folder}/c1", "--tables", f"{folder}/t1"])
+    assert "1 rows came after the watermark" in capsys.readouterr().out
+    speed_layer.main(
+        ["tables", *common, "--checkpoints", f"{folder}/c2", "--tables", f"{folder}/t2", "--watermark", "1 hour"]
+    )
+    assert "watermark" not in capsys.readouterr().out
