@@ -7,7 +7,7 @@ import shutil
 import tempfile
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 import chatpulse
 from chatpulse.settings import work_folder
@@ -57,6 +57,31 @@ def id_crc(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
 
 
+#: Groups that a sample is drawn from; the commonest if there are more.
+MAX_GROUPS = 1_000
+#: How many times the rows wanted pass the first, coarse draw.
+_SPARE = 8
+
+
+def drawn(rows: DataFrame, group: str, by: list[str], limit: int) -> DataFrame:
+    """Up to ``limit`` rows of each group, those with the least hash of ``by``.
+
+    A count by group says which share of its rows to look at, so that about
+    eight times the limit reach the ranking, however many rows and tasks there
+    are and whatever part of them one group has. Null groups are left out.
+    """
+    draw = F.pmod(F.xxhash64(*by), F.lit(1 << 31))
+    known = rows.filter(F.col(group).isNotNull())
+    commonest = known.groupBy(group).count().orderBy(F.desc("count"), group).limit(MAX_GROUPS).collect()
+    if not commonest:
+        return rows.filter("false")
+    cuts = [(F.lit(r[0]), F.lit(min(1 << 31, (1 << 31) * _SPARE * limit // r[1]))) for r in commonest]
+    cut = F.create_map(*(c for pair in cuts for c in pair))
+    nth = F.row_number().over(Window.partitionBy(group).orderBy("__draw", *by))
+    some = known.withColumn("__draw", draw).filter(F.col("__draw") < F.try_element_at(cut, group))
+    return some.withColumn("__nth", nth).filter(F.col("__nth") <= limit).drop("__draw", "__nth")
+
+
 _WORD = re.compile(r"\w+")
 
 

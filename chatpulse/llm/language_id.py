@@ -8,10 +8,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from chatpulse.llm.common import column, id_crc
+from chatpulse.llm.common import column, drawn, id_crc
 
 UNDETERMINED = "und"
 #: Bounds of the labelled sample: texts a language, characters of each, and
@@ -165,19 +165,14 @@ def train(samples: dict[str, list[str]]) -> LanguageModel:
 def labelled_sample(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
 ) -> dict[str, list[str]]:
-    """Up to ``SAMPLE_TEXTS`` text openings of each language, chosen by a hash of the id.
-
-    Every task keeps that many a language before the shuffle, so the sample is
-    bounded wherever the rows lie.
-    """
+    """Up to ``SAMPLE_TEXTS`` text openings of each language, chosen by a hash of the id."""
     rows = docs.select(
         column(docs, lang_col).alias("lang"),
         F.substring(column(docs, text_col), 1, SAMPLE_TEXT_CHARS).alias("text"),
-        F.xxhash64(column(docs, id_col)).alias("draw"),
-    ).filter("lang IS NOT NULL AND text IS NOT NULL")
-    drawn = rows.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("draw", "text")))
+        column(docs, id_col).alias("id"),
+    ).filter("text IS NOT NULL")
     samples: dict[str, list[str]] = {}
-    for row in drawn.filter(F.col("nth") <= SAMPLE_TEXTS).orderBy("lang", "nth").collect():
+    for row in drawn(rows, "lang", ["id", "text"], SAMPLE_TEXTS).orderBy("lang", F.xxhash64("id", "text")).collect():
         samples.setdefault(row.lang, []).append(row.text)
     return samples
 

@@ -154,7 +154,9 @@ def grouped(
     component = nodes.join(named, "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), F.coalesce("least", "first").alias("component_id")
     )
-    return prints.join(component, "fp")
+    # Written, so that the join below is the whole stage and a fingerprint that a
+    # third of all rows have can be split at run time.
+    return prints.join(frozen(component, "simhash-components"), "fp")
 
 
 def near_duplicates(

@@ -10,9 +10,9 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from chatpulse.llm.common import SLICE_ROWS, column, id_crc
+from chatpulse.llm.common import SLICE_ROWS, column, drawn, id_crc
 
 #: Bound of the labelled sample: rows of each label.
 SAMPLE_ROWS = 6_000
@@ -137,12 +137,11 @@ def labelled_sample(labels: DataFrame, id_col: str, label_col: str, rows: int) -
     """``doc_id, label`` of up to ``rows`` documents of each label, drawn by a hash of the id.
 
     A document that is labelled more than once counts as toxic if any label says
-    so; null ids and labels are left out. Tasks keep that many before the shuffle.
+    so; null ids and labels are left out.
     """
     known = labels.select(column(labels, id_col).alias("doc_id"), (column(labels, label_col) > 0).cast("int").alias("label"))
     single = known.dropna().groupBy("doc_id").agg(F.max("label").alias("label"))
-    drawn = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    return single.withColumn("nth", F.row_number().over(drawn)).filter(F.col("nth") <= rows).drop("nth")
+    return drawn(single, "label", ["doc_id"], rows)
 
 
 def train(

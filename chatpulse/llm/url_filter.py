@@ -8,9 +8,9 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from chatpulse.llm.common import column, frozen
+from chatpulse.llm.common import column, drawn, frozen
 
 ALLOW, BLOCK = "allow", "block"
 #: Bounds: rules (they become one expression), labelled URLs of each verdict to
@@ -128,12 +128,11 @@ class UrlModel:
 
 
 def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> UrlModel:
-    """Trees fitted to ``url, host, path, verdict``.
+    """Trees fitted to ``page_id, url, host, path, verdict``.
 
     Suffix statistics (share of blocked URLs, smoothed, and how many) count all
     labelled URLs, for the commonest suffixes; the trees see a sample of each
-    verdict, drawn by a hash of the URL, of which tasks keep that many before
-    the shuffle. Every other row of the sample is shown without its suffix
+    verdict, drawn by a hash of id and URL. Every other row of the sample is shown without its suffix
     statistics, as a new host would be, or the trees would learn nothing else
     where suffixes decide. With one verdict only, or none, the model gives that
     one, or allow.
@@ -154,8 +153,7 @@ def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> UrlModel:
             ),
             "url-suffixes",
         )
-    drawn = Window.partitionBy("verdict").orderBy(F.xxhash64("url"), "url")
-    sample = labelled.withColumn("nth", F.row_number().over(drawn)).filter(F.col("nth") <= sample_rows).drop("nth")
+    sample = drawn(labelled, "verdict", ["page_id", "url"], sample_rows)
     model = UrlModel(suffixes, None)
     shown = model.features(sample).withColumn("unseen", F.pmod(F.xxhash64("url", "host"), F.lit(2)) == 0)
     for n in _SUFFIXES:
@@ -186,6 +184,6 @@ def judge(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id", url_
     and null ids stay, other columns are ignored, an empty table gives no rows.
     """
     ruled = with_rules(pages, rules, id_col, url_col)
-    model = train(ruled.filter(F.col("verdict").isNotNull()).drop("page_id", "rule"))
+    model = train(ruled.filter(F.col("verdict").isNotNull()).drop("rule"))
     judged = model.verdict(ruled)
     return judged.select("page_id", "host", "path", "rule", F.coalesce("verdict", "learned").alias("verdict"))

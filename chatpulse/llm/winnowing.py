@@ -14,8 +14,8 @@ from chatpulse.llm.common import SLICE_ROWS, column
 
 #: Code points of a gram and grams of a window. Two texts that share a passage
 #: of ``GRAM + WINDOW - 1`` code points share a mark.
-GRAM = 25
-WINDOW = 100
+GRAM = 16
+WINDOW = 40
 #: Grams hashed in one go; positions inside a segment fit 24 bits.
 SEGMENT = 1 << 20
 _PLACE_BITS = 24
