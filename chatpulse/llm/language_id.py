@@ -170,10 +170,10 @@ def labelled_sample(
         column(docs, lang_col).alias("lang"),
         F.substring(column(docs, text_col), 1, SAMPLE_TEXT_CHARS).alias("text"),
         column(docs, id_col).alias("id"),
-    ).filter("text IS NOT NULL")
+    )
     samples: dict[str, list[str]] = {}
     for row in drawn(rows, "lang", ["id", "text"], SAMPLE_TEXTS).orderBy("lang", F.xxhash64("id", "text")).collect():
-        samples.setdefault(row.lang, []).append(row.text)
+        samples.setdefault(row.lang, []).append(row.text or "")
     return samples
 
 

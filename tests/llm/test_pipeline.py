@@ -89,6 +89,14 @@ def test_everything_is_packed(stages):
         assert ends <= 2048
 
 
+def test_stages_over_an_empty_table(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.frozen(stage(spark, docs, FOLDER), "test")
+        assert docs.count() == 0
+    assert "sequence_id" in docs.columns
+
+
 def test_run_is_all_stages(spark, stages):
     docs = [r for name, _, rows in stages if name == "documents" for r in rows if (r.doc_id or -1) >= 0]
     got = corpus_pipeline.run(spark, FOLDER)
