@@ -67,7 +67,8 @@ def shared_root(spark: SparkSession) -> str:
     if root:
         return root.rstrip("/")
     master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
+    # local-cluster has executors of its own, like any cluster.
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     application = spark.sparkContext.applicationId
     if application not in _LOCAL_ROOTS:
