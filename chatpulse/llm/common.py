@@ -58,7 +58,7 @@ def id_crc(doc_id: Column) -> Column:
 
 
 #: Groups that a sample is drawn from; the commonest if there are more.
-MAX_GROUPS = 1_000
+MAX_GROUPS = 256
 #: How many times the rows wanted pass the first, coarse draw.
 _SPARE = 8
 
