@@ -20,8 +20,11 @@ SAMPLE_TEXTS = 400
 SAMPLE_TEXT_CHARS = 512
 SAMPLE_CHARS = 40_000
 SAMPLE_CHARS_ALL = 400_000
-#: Letters told apart; rarer ones match nothing.
-LETTERS = 96
+#: Letters of the labelled sample are told apart, all of them: the commonest are
+#: one symbol, the next ``LEADS`` times as many two, and so on. A symbol either
+#: ends a letter or leads to its next symbol, so no letter begins another.
+LETTERS = 64
+LEADS = 32
 #: Normalised characters parsed in one go; a phrase ends at the border.
 BLOCK = 1024
 #: Raw characters normalised in one go.
@@ -31,6 +34,28 @@ LANES = 512
 
 _SPACE, _OTHER, _PAD = 0, 1, 2
 _FIRST_LETTER = 3
+_FIRST_LEAD = _FIRST_LETTER + LETTERS
+_WIDTH = _FIRST_LEAD + LEADS
+#: Symbols of the longest letter, enough for every code point.
+_LONGEST = 4
+_NONE = 255
+
+
+def spellings(letters: int) -> np.ndarray:
+    """The symbols of the space, the unknown letter, the padding and so many letters, a row each."""
+    spelled = np.full((_FIRST_LETTER + letters, _LONGEST), _NONE, np.uint8)
+    spelled[:_FIRST_LETTER, 0] = range(_FIRST_LETTER)
+    first, size = 0, LETTERS
+    for symbols in range(1, _LONGEST + 1):
+        rest = np.arange(min(size, letters - first))
+        rows = spelled[_FIRST_LETTER + first :][: len(rest)]
+        rows[:, symbols - 1] = _FIRST_LETTER + rest % LETTERS
+        rest = rest // LETTERS
+        for at in range(symbols - 1):
+            rows[:, at] = _FIRST_LEAD + rest % LEADS
+            rest = rest // LEADS
+        first, size = first + len(rows), size * LEADS
+    return spelled
 
 
 def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
@@ -72,12 +97,13 @@ class LanguageModel:
 
     languages: list[str]
     alphabet: np.ndarray
+    spelled: np.ndarray
     steps: np.ndarray
     starts: np.ndarray
     phrase_bits: np.ndarray
 
     def normalised(self, text: str) -> list[np.ndarray]:
-        """Codes of lower-case letters, each run of anything else one space, in blocks."""
+        """Symbols of lower-case letters, each run of anything else one space, in blocks of ``BLOCK`` letters."""
         blocks = []
         for at in range(0, len(text), PIECE):
             points = np.frombuffer(text[at : at + PIECE].lower().encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -86,9 +112,16 @@ class LanguageModel:
             keep[1:] = (codes[1:] != _SPACE) | (codes[:-1] != _SPACE)
             codes = codes[keep]
             if len(codes) and codes.max() != _SPACE:
-                blocks += [codes[i : i + BLOCK] for i in range(0, len(codes), BLOCK)]
+                blocks += [self.symbols(codes[i : i + BLOCK]) for i in range(0, len(codes), BLOCK)]
         return blocks
 
+    def symbols(self, codes: np.ndarray) -> np.ndarray:
+        """The codes' symbols, one after another."""
+        if codes.max() < _FIRST_LEAD:
+            return codes.astype(np.uint8)
+        rows = self.spelled[codes]
+        return rows[rows != _NONE]
+
     def phrases(self, blocks: list[np.ndarray]) -> np.ndarray:
         """Phrases of each block (column) in each language (row), parsed side by side."""
         deep = max(map(len, blocks))
@@ -134,18 +167,22 @@ def train(samples: dict[str, list[str]]) -> LanguageModel:
     share = min(SAMPLE_CHARS, SAMPLE_CHARS_ALL // max(1, len(samples)))
     joined = {lang: " ".join(dict.fromkeys(texts)).lower()[:share] for lang, texts in sorted(samples.items())}
     seen = Counter(c for text in joined.values() for c in text if c.isalpha())
-    letters = sorted(sorted(seen), key=lambda c: -seen[c])[:LETTERS]
-    alphabet = np.array([_OTHER if chr(p).isalpha() else _SPACE for p in range(0x110000)], np.uint8)
+    letters = sorted(sorted(seen), key=lambda c: -seen[c])
+    alphabet = np.array([_OTHER if chr(p).isalpha() else _SPACE for p in range(0x110000)], np.int32)
     alphabet[[ord(c) for c in letters]] = range(_FIRST_LETTER, _FIRST_LETTER + len(letters))
-    model = LanguageModel([], alphabet, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-    width = _FIRST_LETTER + len(letters)
+    spelled = spellings(len(letters))
+    model = LanguageModel([], alphabet, spelled, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+    width = _WIDTH if len(letters) > LETTERS else _FIRST_LETTER + len(letters)
+    # An automaton has at most twice as many states as its text has symbols.
+    most = 4 * width * _LONGEST * sum(map(len, joined.values()))
+    kind = np.int32 if most < 2**31 else np.int64
     tables, starts, bits, offset = [], [], [], 0
     for lang, text in joined.items():
         codes = [int(c) for block in model.normalised(text) for c in block]
         if not codes:
             continue
         moves = suffix_automaton(codes)
-        afresh = np.array([offset + width * moves[0].get(c, 0) for c in range(width)], np.int64) * 2 + 1
+        afresh = np.array([2 * (offset + width * moves[0].get(c, 0)) + 1 for c in range(width)], kind)
         table = np.tile(afresh, (len(moves), 1))
         for state, steps in enumerate(moves):
             table[state, _PAD] = 2 * (offset + width * state)
@@ -157,7 +194,7 @@ def train(samples: dict[str, list[str]]) -> LanguageModel:
         bits.append(math.log2(len(codes) + 1))
         offset += table.size
     if tables:
-        model.steps = np.concatenate(tables).astype(np.int32 if 2 * offset < 2**31 else np.int64)
+        model.steps = np.concatenate(tables)
     model.starts, model.phrase_bits = np.array(starts, np.int64), np.array(bits)
     return model
 

@@ -78,6 +78,38 @@ def words(rng, letters, n):
     return " ".join("".join(rng.choice(letters) for _ in range(rng.randrange(2, 7))) for _ in range(n))
 
 
+#: Thirty letters each of several alphabets, which alone are more than one symbol can tell apart.
+ALPHABETS = {"la": 0x61, "el": 0x3B1, "ru": 0x430, "hy": 0x561, "ar": 0x628, "ka": 0x10D0, "am": 0x1200}
+HAN, KANA, HANGUL = ([chr(p + i) for i in range(n)] for p, n in ((0x4E00, 900), (0x3042, 80), (0xAC00, 2400)))
+
+
+def test_large_alphabets_beside_several_small_ones():
+    rng = random.Random(11)
+    letters = {lang: [c for i in range(40) if (c := chr(p + i)).isalpha()][:24] for lang, p in ALPHABETS.items()}
+    # Japanese and the two kinds of Chinese have letters in common.
+    letters |= {"zh": HAN[:600], "yue": HAN[300:], "ja": HAN[:300] + KANA * 4, "ko": HANGUL}
+    model = language_id.train({lang: [words(rng, own, 60) for _ in range(40)] for lang, own in letters.items()})
+    held_out = [(lang, words(rng, own, 40)) for lang, own in letters.items() for _ in range(20)]
+    got = [lang for lang, _ in model.predict([text for _, text in held_out])]
+    for lang in letters:
+        assert sum(g == lang for (own, _), g in zip(held_out, got) if own == lang) >= 19, lang
+
+
+@pytest.mark.parametrize("letters", [0, 1, 64, 65, 3000, 140_000])
+def test_every_letter_is_spelled_in_its_own_way(letters):
+    rows = [tuple(c for c in row if c != language_id._NONE) for row in language_id.spellings(letters).tolist()]
+    assert len(set(rows)) == len(rows) == _FIRST_LETTER + letters
+    assert all(c >= language_id._FIRST_LEAD for row in rows for c in row[:-1])
+    assert all(row[-1] < language_id._FIRST_LEAD and max(row) < language_id._WIDTH for row in rows)
+
+
+def test_unknown_letters_match_no_rare_one():
+    rare = "".join(HAN[:500])
+    model = language_id.train({"a": [rare], "b": ["abc " * 100]})
+    (known,), (unknown,) = model.normalised(HAN[400] * 9), model.normalised(HAN[700] * 9)
+    assert not set(known.tolist()) & set(unknown.tolist())
+
+
 def test_identify_a_table(spark):
     rng = random.Random(4)
     rows = [(i, words(rng, "abcdef" if i % 2 else "uvwxyz", 40), "low" if i % 2 else "high", "s") for i in range(120)]
