@@ -47,6 +47,24 @@ def frozen(rows: DataFrame, purpose: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+#: Measured bytes of a table up to which every task gets all of it.
+BROADCAST_BYTES = 10_000_000
+#: What a row of a broadcast table takes besides its texts.
+_ROW_BYTES = 64
+
+
+def looked_up(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """The rows with the columns of a written table that has each key at most once; null where it has none.
+
+    The table is measured. A small one goes to every task, so no row moves; a
+    larger one is a join of its keys, in which adaptive execution splits those
+    that many rows have.
+    """
+    text = F.coalesce(F.octet_length(F.col(key).cast("string")), F.lit(0))
+    size = table.agg(F.sum(text + _ROW_BYTES)).first()[0] or 0
+    return rows.join(F.broadcast(table) if size <= BROADCAST_BYTES else table, key, "left")
+
+
 def column(rows: DataFrame, name: str) -> Column:
     """A column by its exact name, also if that holds dots or blanks."""
     return rows["`" + name.replace("`", "``") + "`"]

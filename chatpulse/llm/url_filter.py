@@ -10,14 +10,13 @@ from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
-from chatpulse.llm.common import column, drawn, frozen
+from chatpulse.llm.common import column, drawn, frozen, looked_up
 
 ALLOW, BLOCK = "allow", "block"
-#: Bounds: rules (they become one expression), labelled URLs of each verdict to
-#: learn from, and host suffixes with statistics of their own.
+#: Bounds: rules (they become one expression) and labelled URLs of each verdict
+#: to learn from. Every host suffix has statistics of its own.
 MAX_RULES = 500
 SAMPLE_ROWS = 20_000
-MAX_SUFFIXES = 2_000
 TREES = 20
 DEPTH = 4
 _SEED = 7
@@ -113,8 +112,7 @@ class UrlModel:
         """Adds the features to ``url, host, path``."""
         rows = urls.select("*", *lexical(F.col("url"), F.col("host"), F.col("path")))
         for n, table in self.suffixes.items():
-            # At most MAX_SUFFIXES rows.
-            rows = rows.withColumn(f"suffix_{n}", _suffix(F.col("host"), n)).join(F.broadcast(table), f"suffix_{n}", "left")
+            rows = looked_up(rows.withColumn(f"suffix_{n}", _suffix(F.col("host"), n)), table, f"suffix_{n}")
             rows = rows.fillna({f"block_rate_{n}": 0.5, f"seen_{n}": 0.0})
         return rows
 
@@ -131,7 +129,7 @@ def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> UrlModel:
     """Trees fitted to ``page_id, url, host, path, verdict``.
 
     Suffix statistics (share of blocked URLs, smoothed, and how many) count all
-    labelled URLs, for the commonest suffixes; the trees see a sample of each
+    labelled URLs, for every suffix; the trees see a sample of each
     verdict, drawn by a hash of id and URL. Every other row of the sample is shown without its suffix
     statistics, as a new host would be, or the trees would learn nothing else
     where suffixes decide. With one verdict only, or none, the model gives that
@@ -144,9 +142,9 @@ def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> UrlModel:
     suffixes = {}
     for n in _SUFFIXES:
         by = labelled.groupBy(_suffix(F.col("host"), n).alias(f"suffix_{n}"))
-        table = by.agg(F.count(F.lit(1)).alias("n"), F.sum(blocked).alias("bad")).orderBy(F.desc("n"), f"suffix_{n}")
+        table = by.agg(F.count(F.lit(1)).alias("n"), F.sum(blocked).alias("bad"))
         suffixes[n] = frozen(
-            table.limit(MAX_SUFFIXES).select(
+            table.select(
                 f"suffix_{n}",
                 ((F.col("bad") + 1.0) / (F.col("n") + 2.0)).alias(f"block_rate_{n}"),
                 F.log1p("n").alias(f"seen_{n}"),

@@ -1,11 +1,12 @@
 """URL rules against plain string handling; the trees on separable URLs."""
 
 import re
+from math import log1p
 
 import pytest
 from pyspark.sql import functions as F
 
-from chatpulse.llm import url_filter
+from chatpulse.llm import common, url_filter
 from chatpulse.llm.queries import URL_RULES
 
 
@@ -92,3 +93,20 @@ def test_one_verdict_or_none_to_learn_from(spark, rules, verdict):
 def test_too_many_rules(spark):
     with pytest.raises(ValueError):
         url_filter.first_rule([url_filter.Rule("block", f"h{i}/") for i in range(501)], F.lit(""), F.lit(""))
+
+
+@pytest.mark.parametrize("broadcast_bytes", [10_000_000, 0])
+def test_every_suffix_has_statistics(spark, monkeypatch, broadcast_bytes):
+    """Also the rarest of many domains; a large table gives what a small one gives."""
+    monkeypatch.setattr(common, "BROADCAST_BYTES", broadcast_bytes)
+    rows = [(i, f"http://h.d{i % 2500:04}.test/{i}", f"h.d{i % 2500:04}.test", f"/{i}", "block" if i % 2 else "allow") for i in range(5000)]
+    rows += [(5000 + i, "http://hot.test/", "hot.test", "/", "block") for i in range(500)]
+    labelled = spark.createDataFrame(rows, "page_id bigint, url string, host string, path string, verdict string")
+    model = url_filter.train(labelled, sample_rows=200)
+    urls = [(f"http://www.{d}/", f"www.{d}", "/") for d in [*(f"d{i:04}.test" for i in range(2500)), "new.test", "new.new"]] * 2
+    shown = model.features(spark.createDataFrame(urls, "url string, host string, path string"))
+    got = {(r.host, round(r.block_rate_2, 6), round(r.seen_2, 6), r.seen_1 > 0) for r in shown.collect()}
+    rate = {0: round(1 / 4, 6), 1: round(3 / 4, 6)}
+    expected = {(f"www.d{i:04}.test", rate[i % 2], round(log1p(2), 6), True) for i in range(2500)}
+    assert got == expected | {("www.new.test", 0.5, 0.0, True), ("www.new.new", 0.5, 0.0, False)}
+    assert shown.count() == len(urls)
