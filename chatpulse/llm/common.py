@@ -75,8 +75,6 @@ def id_crc(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
 
 
-#: Groups that a sample is drawn from; the commonest if there are more.
-MAX_GROUPS = 256
 #: How many times the rows wanted pass the first, coarse draw.
 _SPARE = 8
 
@@ -86,18 +84,19 @@ def drawn(rows: DataFrame, group: str, by: list[str], limit: int) -> DataFrame:
 
     A count by group says which share of its rows to look at, so that about
     eight times the limit reach the ranking, however many rows and tasks there
-    are and whatever part of them one group has. Null groups are left out.
+    are and whatever part of them one group has. Groups of fewer rows are ranked
+    whole, so the table of shares has a row for the larger ones only. Every group
+    is drawn from, however many there are; null groups are left out.
     """
     draw = F.pmod(F.xxhash64(*by), F.lit(1 << 31))
     known = rows.filter(F.col(group).isNotNull())
-    commonest = known.groupBy(group).count().orderBy(F.desc("count"), group).limit(MAX_GROUPS).collect()
-    if not commonest:
-        return rows.filter("false")
-    cuts = [(F.lit(r[0]), F.lit(min(1 << 31, (1 << 31) * _SPARE * limit // r[1]))) for r in commonest]
-    cut = F.create_map(*(c for pair in cuts for c in pair))
+    counts = known.groupBy(group).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > _SPARE * limit)
+    share = F.expr(f"{(1 << 31) * _SPARE * limit} div n").alias("__cut")
+    cuts = frozen(counts.select(group, share), "sample-shares")
     nth = F.row_number().over(Window.partitionBy(group).orderBy("__draw", *by))
-    some = known.withColumn("__draw", draw).filter(F.col("__draw") < F.try_element_at(cut, group))
-    return some.withColumn("__nth", nth).filter(F.col("__nth") <= limit).drop("__draw", "__nth")
+    some = looked_up(known.withColumn("__draw", draw), cuts, group)
+    some = some.filter(F.col("__cut").isNull() | (F.col("__draw") < F.col("__cut")))
+    return some.withColumn("__nth", nth).filter(F.col("__nth") <= limit).select(*rows.columns)
 
 
 _WORD = re.compile(r"\w+")

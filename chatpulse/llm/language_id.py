@@ -8,18 +8,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import StructType
 
-from chatpulse.llm.common import column, drawn, id_crc
+from chatpulse.llm.common import column, drawn, frozen, id_crc
 
 UNDETERMINED = "und"
 #: Bounds of the labelled sample: texts a language, characters of each, and
-#: characters of all languages together, which bound the automata.
+#: characters of all languages together, which bound the automata. Every language
+#: gets an equal share of these, and ``LEAST_CHARS`` however many there are.
 SAMPLE_TEXTS = 400
 SAMPLE_TEXT_CHARS = 512
 SAMPLE_CHARS = 40_000
 SAMPLE_CHARS_ALL = 400_000
+LEAST_CHARS = 64
 #: Letters of the labelled sample are told apart, all of them: the commonest are
 #: one symbol, the next ``LEADS`` times as many two, and so on. A symbol either
 #: ends a letter or leads to its next symbol, so no letter begins another.
@@ -162,9 +164,14 @@ class LanguageModel:
         return found
 
 
+def chars_each(languages: int) -> int:
+    """Characters of each language's sample."""
+    return max(LEAST_CHARS, min(SAMPLE_CHARS, SAMPLE_CHARS_ALL // max(1, languages)))
+
+
 def train(samples: dict[str, list[str]]) -> LanguageModel:
     """Automata of each language's sample texts, which are cut to the bounds above."""
-    share = min(SAMPLE_CHARS, SAMPLE_CHARS_ALL // max(1, len(samples)))
+    share = chars_each(len(samples))
     joined = {lang: " ".join(dict.fromkeys(texts)).lower()[:share] for lang, texts in sorted(samples.items())}
     seen = Counter(c for text in joined.values() for c in text if c.isalpha())
     letters = sorted(sorted(seen), key=lambda c: -seen[c])
@@ -202,15 +209,27 @@ def train(samples: dict[str, list[str]]) -> LanguageModel:
 def labelled_sample(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
 ) -> dict[str, list[str]]:
-    """Up to ``SAMPLE_TEXTS`` text openings of each language, chosen by a hash of the id."""
+    """Up to ``SAMPLE_TEXTS`` text openings of each language, chosen by a hash of the id.
+
+    Every language with a text is there, and null and empty texts take no place.
+    Of a language's openings come as many as fill its share of the characters.
+    """
     rows = docs.select(
         column(docs, lang_col).alias("lang"),
         F.substring(column(docs, text_col), 1, SAMPLE_TEXT_CHARS).alias("text"),
         column(docs, id_col).alias("id"),
+    ).filter("text <> ''")
+    some = drawn(rows, "lang", ["id", "text"], SAMPLE_TEXTS)
+    openings = frozen(
+        some.groupBy("lang", "text").agg(F.min(F.xxhash64("id", "text")).alias("place")), "language-openings"
     )
+    share = chars_each(openings.select("lang").distinct().count())
+    before = Window.partitionBy("lang").orderBy("place", "text").rowsBetween(Window.unboundedPreceding, -1)
+    filled = F.coalesce(F.sum(F.length("text") + 1).over(before), F.lit(0))
     samples: dict[str, list[str]] = {}
-    for row in drawn(rows, "lang", ["id", "text"], SAMPLE_TEXTS).orderBy("lang", F.xxhash64("id", "text")).collect():
-        samples.setdefault(row.lang, []).append(row.text or "")
+    wanted = openings.withColumn("filled", filled).filter(F.col("filled") < share)
+    for row in wanted.orderBy("lang", "filled").select("lang", F.substring("text", 1, share).alias("text")).collect():
+        samples.setdefault(row.lang, []).append(row.text)
     return samples
 
 

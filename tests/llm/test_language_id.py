@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 import pytest
 
-from chatpulse.llm import language_id
+from chatpulse.llm import common, language_id
 from chatpulse.llm.language_id import _FIRST_LETTER
 
 
@@ -129,6 +129,25 @@ def test_identify_a_table(spark):
     assert language_id.identify(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("broadcast_bytes", [10_000_000, 0])
+def test_every_language_is_drawn_from(spark, monkeypatch, broadcast_bytes):
+    """More labels than any bound on groups, and two that have most rows; null texts take no place."""
+    monkeypatch.setattr(common, "BROADCAST_BYTES", broadcast_bytes)
+    rows = [(i, f"text {i}", f"l{i % 1500:04}") for i in range(3000)]
+    rows += [(3000 + i, f"common {i}", "big" if i % 2 else "huge") for i in range(20_000)]
+    rows += [(23_000 + i, None if i else "sparse text", "sparse") for i in range(6000)]
+    rows += [(40_000 + i, "", "void") for i in range(9)] + [(50_000, "no label", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = language_id.labelled_sample(docs)
+    assert set(got) == {f"l{i:04}" for i in range(1500)} | {"big", "huge", "sparse"}
+    assert got["sparse"] == ["sparse text"]
+    openings = common.drawn(docs.filter("text <> ''"), "lang", ["doc_id", "text"], language_id.SAMPLE_TEXTS)
+    assert {r.lang: r["count"] for r in openings.groupBy("lang").count().collect()}.items() >= {"big": 400, "huge": 400, "l0000": 2}.items()
+    share = language_id.chars_each(len(got))
+    assert all(sum(map(len, got[lang])) + len(got[lang]) >= share for lang in ("big", "huge"))
+    assert sum(len(t) for texts in got.values() for t in texts) < 2 * language_id.SAMPLE_CHARS_ALL
+
+
 def test_held_out_labels_are_not_read(spark):
     """Labels of held-out rows can say anything without a change."""
     rng = random.Random(6)
