@@ -16,8 +16,6 @@ LEAST_CONTAINMENT = 0.8
 #: Hash functions, each a band of its own: a window that holds a share of an
 #: item is a candidate with probability 1 - (1 - share) ** HASHES.
 HASHES = 64
-#: Shingles of the smallest size class; each class is twice the one before.
-SMALLEST_CLASS = 8
 #: Items searched for in one pass over the documents.
 BLOCK_ITEMS = 10_000
 _SEED = 42
@@ -49,8 +47,8 @@ def _common(values: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 
 def size_class(count: int) -> int:
-    """The least class that holds an item of so many shingles."""
-    size = SMALLEST_CLASS
+    """The least class that holds an item of so many shingles; classes are the powers of two from 1."""
+    size = 1
     while size < count:
         size *= 2
     return size
@@ -101,11 +99,11 @@ class ContainmentIndex:
         found: set[int] = set()
         for nth, (mask, factor) in enumerate(zip(self.masks, self.factors)):
             mixed = (own ^ mask) * factor
-            size, least = SMALLEST_CLASS, np.minimum.reduceat(mixed, np.arange(0, len(mixed), SMALLEST_CLASS))
+            size, least = 1, mixed
             for wanted, bands in self.classes.items():
-                while size < wanted:
-                    least = np.minimum.reduceat(least, np.arange(0, len(least), 2))
-                    size *= 2
+                if size < wanted:
+                    least = np.minimum.reduceat(least, np.arange(0, len(least), wanted // size))
+                    size = wanted
                 windows = np.minimum(least[:-1], least[1:]) if len(least) > 1 else least
                 known, band = bands[nth]
                 for value in _common(windows, known).tolist():

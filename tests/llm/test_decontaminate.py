@@ -84,6 +84,17 @@ def test_empty_tables(spark, corpus):
     assert decontaminate.without_items(frame.limit(0), bench).count() == 0
 
 
+@pytest.mark.parametrize("size", [5, 6, 7, 8])
+def test_items_of_few_words_in_long_documents(size):
+    """Each of many, so that a window that rarely shows a small item would miss some."""
+    rng = random.Random(size)
+    items = [[f"i{n}w{at}" for at in range(size)] for n in range(3000)]
+    index = decontaminate.ContainmentIndex([" ".join(words) for words in items])
+    for number, words in enumerate(items):
+        before, after = ([f"d{rng.randrange(10**6)}" for _ in range(rng.randrange(20, 40))] for _ in range(2))
+        assert index.hits(" ".join(before + words + after)) == [(number, size - 4, size - 4)]
+
+
 def test_hashes_tell_shingles_apart():
     words = [f"w{i % 50}" for i in range(5000)] + ["b", "a", "a", "b", "a", "a", "a", "b", "b"]
     shingles, hashes = word_shingles(words, 5), decontaminate.shingle_hashes(words)
