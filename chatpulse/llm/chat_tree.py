@@ -4,19 +4,19 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import StructType
 
 from chatpulse.llm.common import column, frozen
 from chatpulse.llm.packing import Encoder
 
 ASSISTANT = "assistant"
-#: Leaves whose nodes are numbered together when tokens are counted through.
+#: Without effect: tokens are counted through by sorted partitions, no longer by blocks of leaves.
 BLOCK_LEAVES = 4096
 _ESCAPED = re.compile(r"[\\<#]")
 _ESCAPES = re.compile(r"\\(.)", re.S)
@@ -114,30 +114,90 @@ def _numbered(leaves: DataFrame) -> DataFrame:
 
 
 _HASH = 32
+#: Prefix hashes are polynomials of the turns' hashes, so that those of a run of
+#: turns go on from whatever came before the run.
+_PRIME = (1 << 127) - 1
+_BASE = 0x5D3F1C6B9A7E42D80F6B3C915E27A84D % _PRIME
 
 
-def _steps(leaves: DataFrame) -> DataFrame:
-    """``rank, depth, node_id, turn_hash``: the nodes on every path; a node is known by its turns up to there."""
 
-    def run(batches):
+def _prefixes(turns: DataFrame) -> DataFrame:
+    """``conv, conv_id, depth, node_id, parent_id, turn_hash``; a node is known by its turns up to there.
+
+    Turns are range-sorted, so a conversation may span many tasks. Each hashes
+    the runs it sees; what a partition's last run leaves to the next partitions
+    is one row a partition.
+    """
+    spark = turns.sparkSession
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Equal turns are told apart by a number, or all would go to one task.
+    known = frozen(turns.select("conv", "conv_id", "turn", "turn_hash", F.monotonically_increasing_id().alias("row")), "chat-turns")
+    order = ["conv", "turn", "turn_hash", "row"]
+    ordered = known.repartitionByRange(width, *order).sortWithinPartitions(*order).select("conv", "conv_id", "turn_hash")
+
+    def hashed(batches):
+        part, conv, nth, value = TaskContext.get().partitionId(), None, 0, 0
+        for batch in batches:
+            numbers, before, after = [], [], []
+            for own, turn in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+                nth, value = (nth + 1, value) if own == conv else (0, 0)
+                conv = own
+                before.append(f"{value:032x}")
+                value = (value * _BASE + int(turn, 16) + 1) % _PRIME
+                numbers.append(nth)
+                after.append(f"{value:032x}")
+            more = [pa.array([part] * batch.num_rows, pa.int32()), pa.array(numbers, pa.int64()), pa.array(before, pa.string()), pa.array(after, pa.string())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, "part", "nth", "before", "after"])
+
+    schema = StructType([*ordered.schema.fields]).add("part", "integer").add("nth", "long").add("before", "string").add("after", "string")
+    runs = frozen(ordered.mapInArrow(hashed, schema), "chat-runs")
+    # One row a partition: its last run.
+    last = F.max(F.struct("conv", "nth", "after")).alias("last")
+    carried, carry = {}, ("", 0, 0)
+    for row in runs.groupBy("part").agg(last).orderBy("part").collect():
+        conv, nth, after = row["last"]
+        carried[row.part] = carry
+        count, value = carry[1:] if conv == carry[0] else (0, 0)
+        carry = (conv, count + nth + 1, (value * pow(_BASE, nth + 1, _PRIME) + int(after, 16)) % _PRIME)
+    shared = spark.sparkContext.broadcast(carried)
+
+    def joined(batches):
+        carries = shared.value
         for batch in batches:
-            for path, rank in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                turns = [path[i : i + _HASH] for i in range(0, len(path), _HASH)]
-                digest, nodes = hashlib.sha256(), []
-                for turn in turns:
-                    digest.update(turn.encode())
-                    nodes.append(digest.hexdigest()[:_HASH])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([rank] * len(turns), pa.int64()),
-                        pa.array(range(len(turns)), pa.int32()),
-                        pa.array(nodes, pa.string()),
-                        pa.array(turns, pa.string()),
-                    ],
-                    names=["rank", "depth", "node_id", "turn_hash"],
-                )
-
-    return leaves.mapInArrow(run, "rank bigint, depth int, node_id string, turn_hash string")
+            depths, nodes, parents = [], [], []
+            conv_of, _, _, part_of, nth_of, before_of, after_of = (c.to_pylist() for c in batch.columns)
+            for own, part, nth, before, after in zip(conv_of, part_of, nth_of, before_of, after_of):
+                conv, count, value = carries[part]
+                if own == conv and count:
+                    value = value * pow(_BASE, nth, _PRIME) % _PRIME
+                    before = f"{(value + int(before, 16)) % _PRIME:032x}"
+                    after = f"{(value * _BASE + int(after, 16)) % _PRIME:032x}"
+                    nth += count
+                depths.append(nth)
+                nodes.append(after)
+                parents.append(before if nth else None)
+            made = [pa.array(depths, pa.int64()), pa.array(nodes, pa.string()), pa.array(parents, pa.string())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *made], names=[*batch.schema.names[:3], "depth", "node_id", "parent_id"])
+
+    schema = StructType([*ordered.schema.fields]).add("depth", "long").add("node_id", "string").add("parent_id", "string")
+    return frozen(runs.select("conv", "conv_id", "turn_hash", "part", "nth", "before", "after").mapInArrow(joined, schema), "chat-prefixes")
+
+
+def _leaves(steps: DataFrame) -> DataFrame:
+    """``leaf_id, path``: by their paths the leaves stand depth-first.
+
+    A path names the turns after nodes that go on in several ways (or also end).
+    Each such node needs a different conversation as long as the way to it, so n
+    turns in all make paths of at most the root of 2n names.
+    """
+    nodes = steps.groupBy("node_id").agg(F.first("parent_id").alias("parent_id"))
+    ways = nodes.select("parent_id").union(steps.select("leaf_id").distinct()).dropna()
+    branching = ways.groupBy("parent_id").count().filter("count > 1").select("parent_id")
+    named = steps.filter("depth > 0").join(branching, "parent_id", "left_semi").select("leaf_id", "depth", "turn_hash")
+    named = named.union(steps.filter("depth = 0").select("leaf_id", "depth", "turn_hash"))
+    names = F.sort_array(F.collect_list(F.struct("depth", "turn_hash")))
+    path = F.array_join(F.transform(names, lambda t: t["turn_hash"]), "")
+    return frozen(named.groupBy("leaf_id").agg(path.alias("path")), "chat-paths")
 
 
 def _segments(turns: DataFrame, codec: tuple[str | None, bytes | None]) -> DataFrame:
@@ -174,14 +234,25 @@ def _placed(steps: DataFrame, segments: DataFrame) -> DataFrame:
         F.min("rank").alias("owner"), F.min("depth").alias("depth"), F.first("turn_hash").alias("turn_hash")
     )
     sized = nodes.join(segments.select("turn_hash", "length"), "turn_hash")
-    sized = sized.withColumn("block", F.floor(F.col("owner") / BLOCK_LEAVES))
-    inside = Window.partitionBy("block").orderBy("owner", "depth").rowsBetween(Window.unboundedPreceding, -1)
-    earlier = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    # One row for every BLOCK_LEAVES different conversations.
-    blocks = sized.groupBy("block").agg(F.sum("length").alias("size"))
-    blocks = blocks.select("block", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before"))
-    within = sized.withColumn("within", F.coalesce(F.sum("length").over(inside), F.lit(0)))
-    return within.join(blocks, "block").select(
+    width = int(steps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = sized.repartitionByRange(width, "owner", "depth").sortWithinPartitions("owner", "depth")
+
+    def run(batches):
+        part, seen = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            lengths = batch.column(batch.schema.get_field_index("length")).to_numpy()
+            ends = seen + np.cumsum(lengths)
+            seen = int(ends[-1]) if len(ends) else seen
+            parts = pa.array(np.full(batch.num_rows, part), pa.int32())
+            yield pa.RecordBatch.from_arrays([*batch.columns, parts, pa.array(ends - lengths, pa.int64())], names=[*batch.schema.names, "part", "within"])
+
+    schema = StructType([*sized.schema.fields]).add("part", "integer").add("within", "long")
+    table = frozen(ordered.mapInArrow(run, schema), "chat-places")
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = table.groupBy("part").agg(F.sum("length").alias("size"))
+    # One row a partition.
+    before = sums.select("part", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before"))
+    return table.join(F.broadcast(before), "part").select(
         "node_id", "owner", "depth", "turn_hash", "length", (F.col("before") + F.col("within")).alias("place")
     )
 
@@ -189,35 +260,37 @@ def _placed(steps: DataFrame, segments: DataFrame) -> DataFrame:
 def _attending(steps: DataFrame, placed: DataFrame) -> DataFrame:
     """Tree, parent, place, position and attended intervals of every node, from its owner's path."""
     on_path = steps.select("rank", "node_id").join(placed.select("node_id", "owner", "depth", "length", "place"), "node_id")
-    step = F.struct("depth", "node_id", "length", "place", (F.col("owner") == F.col("rank")).alias("own"))
-    by_leaf = on_path.groupBy("rank").agg(F.sort_array(F.collect_list(step)).alias("path"))
+    own = (F.col("owner") == F.col("rank")).alias("own")
+    width = int(steps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by_leaf = on_path.select("rank", "depth", "node_id", "length", "place", own)
+    by_leaf = by_leaf.repartition(width, "rank").sortWithinPartitions("rank", "depth")
     interval = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     kinds = pa.schema(
         [("tree_id", pa.string()), ("node_id", pa.string()), ("parent_id", pa.string()), ("start", pa.int64())]
         + [("position", pa.int64()), ("attends", interval)]
     )
 
-    def rows(path: list[dict]) -> Iterator[tuple]:
-        root, parent, position, attends = path[0], None, 0, []
-        for node in path:
-            start = node["place"] - root["place"]
-            if node["own"]:
-                yield (root["node_id"], node["node_id"], parent, start, position, [{"start": a, "end": b} for a, b in attends])
-            if attends and attends[-1][1] == start:
-                attends[-1] = (attends[-1][0], start + node["length"])
-            elif node["length"]:
-                attends.append((start, start + node["length"]))
-            position += node["length"]
-            parent = node["node_id"]
-
     def run(batches):
+        leaf = None
         for batch in batches:
-            made = [row for path in batch.column(0).to_pylist() for row in rows(path)]
+            made = []
+            for rank, _, node, length, place, own in zip(*(c.to_pylist() for c in batch.columns)):
+                if rank != leaf:
+                    leaf, root, root_place, parent, position, attends = rank, node, place, None, 0, []
+                start = place - root_place
+                if own:
+                    made.append((root, node, parent, start, position, [{"start": a, "end": b} for a, b in attends]))
+                if attends and attends[-1][1] == start:
+                    attends[-1] = (attends[-1][0], start + length)
+                elif length:
+                    attends.append((start, start + length))
+                position += length
+                parent = node
             if made:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*made), kinds)], schema=kinds)
 
     schema = "tree_id string, node_id string, parent_id string, start bigint, position bigint, attends array<struct<start:bigint,end:bigint>>"
-    return by_leaf.select("path").mapInArrow(run, schema)
+    return by_leaf.mapInArrow(run, schema)
 
 
 def turn_hash(role: Column, text: Column) -> Column:
@@ -239,8 +312,8 @@ def format_chats(
     Turns go by number, null first, equal numbers by their content; a null role
     or text counts as empty, rows with a null conversation are one conversation;
     repeated rows are repeated turns; other columns are ignored; an empty table
-    gives empty tables. Of a conversation only hashes, 32 characters a turn, and
-    places are ever held together, never its texts; a turn that many share is
+    gives empty tables. A conversation is never held together: its turns lie in as many
+    tasks as the sort makes of them and stream past one by one; a turn that many share is
     one row after a partial aggregation. The vocabulary is as for packing, but
     special strings in it are ordinary text; without it tokens are code points.
     """
@@ -257,27 +330,24 @@ def format_chats(
         F.coalesce(column(conversations, role_col), F.lit("")).alias("role"),
         F.coalesce(column(conversations, text_col), F.lit("")).alias("text"),
     ).withColumn("turn_hash", turn_hash(F.col("role"), F.col("text")))
-    ordered = F.sort_array(F.collect_list(F.struct("turn", "turn_hash")))
-    paths = frozen(
-        turns.groupBy("conv_id").agg(ordered.alias("turns")).select(
-            "conv_id",
-            F.size("turns").cast("bigint").alias("n_turns"),
-            F.array_join(F.transform("turns", lambda t: t["turn_hash"]), "").alias("path"),
-        ),
-        "chat-paths",
+    conv = F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("-"))
+    prefixes = _prefixes(turns.withColumn("conv", conv))
+    by_conv = prefixes.groupBy("conv", "conv_id").agg(
+        F.count(F.lit(1)).alias("n_turns"), F.max_by("node_id", "depth").alias("leaf_id")
     )
-    leaves = _numbered(paths.select("path").distinct())
-    steps = frozen(_steps(leaves), "chat-steps")
+    members = frozen(by_conv, "chat-members")
+    shown = members.groupBy("leaf_id").agg(F.min("conv").alias("conv"))
+    walks = frozen(prefixes.drop("conv_id").join(shown, "conv").drop("conv"), "chat-walks")
+    leaves = _leaves(walks)
+    ranked = _numbered(leaves.select("path")).join(leaves, "path").select("leaf_id", "rank")
+    steps = frozen(walks.drop("parent_id").join(ranked, "leaf_id"), "chat-steps")
     segments = frozen(_segments(turns, codec), "chat-segments")
     placed = frozen(_placed(steps, segments), "chat-nodes")
     attending = _attending(steps, placed)
     nodes = attending.join(placed.select("node_id", "depth", "turn_hash"), "node_id").join(segments, "turn_hash")
-    last = steps.groupBy("rank").agg(F.max_by("node_id", "depth").alias("leaf_id"))
-    leaf_of = leaves.join(last, "rank").select("path", "leaf_id")
-    members = paths.join(leaf_of, "path").select("conv_id", "n_turns", "leaf_id")
-    on_leaf = steps.join(last, "rank").select("leaf_id", "depth", "node_id")
+    on_leaf = steps.select("leaf_id", "depth", "node_id")
     columns = "tree_id node_id parent_id depth start length position attends ids loss_start loss_end".split()
-    return ChatForest(nodes.select(*columns), on_leaf, members, codec)
+    return ChatForest(nodes.select(*columns), on_leaf, members.drop("conv"), codec)
 
 
 def digests(forest: ChatForest) -> DataFrame:

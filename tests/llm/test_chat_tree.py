@@ -5,8 +5,9 @@ import random
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
-from chatpulse.llm import chat_tree
+from chatpulse.llm import chat_tree, common
 
 FILES = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 MARKED = "\\### Assistant: </turn> ok"
@@ -117,3 +118,36 @@ def test_empty_and_long(spark):
     chats = {1: [("user" if t % 2 else "assistant", f"turn {t}") for t in range(500)], 2: [("user", "long " * 100_000)]}
     got = chat_tree.digests(chat_tree.format_chats(table(spark, chats), *FILES)).collect()
     assert {r.conv_id: tuple(r)[1:] for r in got} == {c: plain_digest(t) for c, t in chats.items()}
+
+
+def test_conversations_of_very_many_turns_are_never_held_together(spark, monkeypatch):
+    """No value that is written grows with a conversation, and its turns lie in many tasks."""
+    longest, parts = {}, {}
+
+    def spied(rows, purpose):
+        made = common.frozen(rows, purpose)
+        texts = [F.max(F.length(name)) for name, kind in made.dtypes if kind == "string"]
+        longest[purpose] = max((v or 0 for v in made.agg(*texts).first()), default=0) if texts else 0
+        parts[purpose] = made.select(F.input_file_name()).distinct().count()
+        return made
+
+    monkeypatch.setattr(chat_tree, "frozen", spied)
+    turn = lambda n, kind="t": ("assistant" if n % 2 else "user", f"{kind}{n % 700}")
+    whole = [turn(n) for n in range(3000)]
+    # Others leave it, end on it, and repeat one of those; one turn is repeated alone.
+    chats = {1: whole[:2000] + [turn(n, "b") for n in range(50)], 2: whole[:2500], 4: [turn(1)] * 900}
+    chats[3] = chats[1]
+    more = [(None, n, r, x) for n, (r, x) in enumerate(whole)]
+    forest = chat_tree.format_chats(table(spark, chats, more).repartition(6))
+    got = {r.conv_id: tuple(r)[1:] for r in chat_tree.digests(forest).collect()}
+    assert got == {c: plain_digest(t) for c, t in [*chats.items(), (None, whole)]}
+    assert max(longest.values()) < 1000, longest
+    assert parts["chat-prefixes"] > 4
+    trees = {}
+    for node in forest.nodes.select("tree_id", "start", "length", "position", "attends").collect():
+        trees.setdefault(node.tree_id, []).append(node)
+        assert node.position == sum(s.end - s.start for s in node.attends) and len(node.attends) <= 2
+    assert sorted(map(len, trees.values())) == [900, 3050]
+    for own in trees.values():
+        own.sort(key=lambda n: n.start)
+        assert all(a.start + a.length == b.start for a, b in zip(own, own[1:])) and own[0].start == 0
