@@ -281,7 +281,10 @@ def identify(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows whose language can be told, with all columns: nulls and texts without a letter go."""
+    """The rows whose text has a letter, with all columns, also if no language was learned; nulls go."""
     names = ("__language", "__language_score")
-    told = language_of(docs, learned(docs, id_col, text_col), text_col, tuple(docs.columns), names)
+    model = learned(docs, id_col, text_col)
+    # A model of one language tells every text with a letter.
+    known = model if model.languages else train({"any": ["a"]})
+    told = language_of(docs, known, text_col, tuple(docs.columns), names)
     return told.filter(F.col(names[0]) != UNDETERMINED).drop(*names)

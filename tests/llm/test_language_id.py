@@ -148,6 +148,12 @@ def test_every_language_is_drawn_from(spark, monkeypatch, broadcast_bytes):
     assert sum(len(t) for texts in got.values() for t in texts) < 2 * language_id.SAMPLE_CHARS_ALL
 
 
+def test_texts_with_letters_are_kept_without_any_label(spark):
+    texts = ["clean text", "日本", None, "", " 12 !?", "é", "x" * 3000]
+    docs = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], "doc_id bigint, text string, lang string")
+    assert sorted(r.doc_id for r in language_id.keep_identified(docs).collect()) == [0, 1, 5, 6]
+
+
 def test_held_out_labels_are_not_read(spark):
     """Labels of held-out rows can say anything without a change."""
     rng = random.Random(6)
