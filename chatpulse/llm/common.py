@@ -53,6 +53,12 @@ BROADCAST_BYTES = 10_000_000
 _ROW_BYTES = 64
 
 
+def measured(table: DataFrame, row_bytes: Column) -> DataFrame:
+    """The written table, marked for every task if its rows take ``BROADCAST_BYTES`` at most as measured."""
+    size = table.agg(F.sum(row_bytes + _ROW_BYTES)).first()[0] or 0
+    return F.broadcast(table) if size <= BROADCAST_BYTES else table
+
+
 def looked_up(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
     """The rows with the columns of a written table that has each key at most once; null where it has none.
 
@@ -61,8 +67,7 @@ def looked_up(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
     that many rows have.
     """
     text = F.coalesce(F.octet_length(F.col(key).cast("string")), F.lit(0))
-    size = table.agg(F.sum(text + _ROW_BYTES)).first()[0] or 0
-    return rows.join(F.broadcast(table) if size <= BROADCAST_BYTES else table, key, "left")
+    return rows.join(measured(table, text), key, "left")
 
 
 def column(rows: DataFrame, name: str) -> Column:

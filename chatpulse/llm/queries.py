@@ -13,11 +13,14 @@ from chatpulse.llm import (
     decontaminate,
     language_id,
     packing,
+    ranked_search,
     secret_scan,
     simhash,
+    spelling,
     token_counts,
     toxicity,
     url_filter,
+    vector_search,
     winnowing,
 )
 from chatpulse.llm.common import documents, ship_package
@@ -112,6 +115,18 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, sf_dir))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -137,6 +152,9 @@ QUERIES: dict[str, Query] = {
         op8_winnowing,
         op9_packing,
         op10_url_filter,
+        op11_spelling,
+        op12_ranked_search,
+        op13_vector_search,
     )
 }
 
@@ -165,4 +183,92 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, item_id, n_shingles, shared, CAST(shared AS DOUBLE) / n_shingles AS containment
         FROM shared JOIN sizes USING (item_id) WHERE shared >= 0.8 * n_shingles
     """,
+    "op11_spelling": """
+        WITH RECURSIVE runs AS (
+            SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS times
+            FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+            GROUP BY ALL
+        ),
+        digits AS (
+            SELECT *, hex(encode(concat(doc_id, ':', run))) AS digits FROM runs WHERE length(run) >= 5
+        ),
+        -- crc32 by half bytes, the lower half of each byte first.
+        sums AS (
+            SELECT *, xor(4294967295, list_reduce(
+                list_transform(range(length(digits)),
+                    lambda i : CAST(strpos('0123456789ABCDEF', digits[CAST(xor(i, 1) AS BIGINT) + 1]) - 1 AS BIGINT)),
+                lambda c, x : xor(c >> 4, [0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948,
+                    3988292384, 4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108][(xor(c, x) & 15) + 1]),
+                4294967295)) AS crc
+            FROM digits
+        ),
+        counted AS (
+            SELECT CASE WHEN crc % 97 = 0 THEN run[1 : crc % length(run)] || run[crc % length(run) + 2 :] ELSE run END AS word,
+                CAST(sum(times) AS BIGINT) AS n
+            FROM sums GROUP BY word
+        ),
+        words AS (SELECT word, n FROM counted WHERE length(word) >= 5 AND n >= 3),
+        shorter AS (
+            SELECT word, n, i, word[1 : i] || word[i + 2 :] AS rest
+            FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)
+        ),
+        near AS (
+            SELECT a.word AS word, b.word AS other, b.n AS other_n
+            FROM shorter a JOIN shorter b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+            UNION SELECT a.word, b.word, b.n FROM shorter a JOIN words b ON a.rest = b.word
+            UNION SELECT b.word, a.word, a.n FROM shorter a JOIN words b ON a.rest = b.word
+        ),
+        best AS (
+            SELECT word, count(*) AS n_near, max(other_n) AS most FROM near GROUP BY word
+        ),
+        firsts AS (
+            SELECT word, n_near, most, min(other) AS other
+            FROM best JOIN near USING (word) WHERE other_n = most GROUP BY ALL
+        ),
+        forms AS (
+            SELECT word, n, CASE WHEN most >= 2 * n THEN other END AS form, CASE WHEN most >= 2 * n THEN most END AS form_n,
+                coalesce(n_near, 0) AS n_near
+            FROM words LEFT JOIN firsts USING (word)
+        ),
+        paths AS (
+            SELECT word, word AS at FROM forms
+            UNION ALL
+            SELECT paths.word, forms.form FROM paths JOIN forms ON paths.at = forms.word WHERE forms.form IS NOT NULL
+        ),
+        roots AS (
+            SELECT paths.word, paths.at AS root FROM paths JOIN forms ON paths.at = forms.word WHERE forms.form IS NULL
+        )
+        SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)
+    """,
+    "op12_ranked_search": """
+        WITH split AS (
+            SELECT 'd' AS kind, doc_id AS id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+            FROM documents
+            UNION ALL
+            SELECT 'i', item_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FROM benchmark
+        ),
+        terms AS (
+            SELECT kind, id, term, count(*) AS tf
+            FROM (SELECT kind, id, unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM split)
+            GROUP BY ALL
+        ),
+        sizes AS (SELECT id, CAST(sum(tf) AS BIGINT) AS size FROM terms WHERE kind = 'd' GROUP BY id),
+        whole AS (SELECT count(*) AS n, CAST(sum(size) AS BIGINT) AS total FROM sizes),
+        weights AS (
+            SELECT term, CAST(floor(1000 * ln((2 * n + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM terms, whole WHERE kind = 'd' GROUP BY term, n
+        ),
+        scores AS (
+            SELECT i.id AS item_id, d.id AS doc_id,
+                CAST(sum(i.tf * w * ((1000000000 * d.tf) // (1000 * d.tf + 12 * (75 + (25 * size * n) // total)))) AS BIGINT) AS score
+            FROM terms i JOIN terms d ON i.kind = 'i' AND d.kind = 'd' AND i.term = d.term
+            JOIN weights ON weights.term = i.term JOIN sizes ON sizes.id = d.id, whole
+            GROUP BY i.id, d.id
+        ),
+        ranked AS (
+            SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+            FROM scores WHERE score > 0
+        )
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+    """,
 }

@@ -1,0 +1,126 @@
+"""Spelling variants against a plain search for words one edit apart."""
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from chatpulse.llm import spelling
+
+RUN = re.compile("[A-Za-zÀ-ÿ]+")
+
+
+def plain_counts(rows, slip_every=97):
+    counts = Counter()
+    for doc_id, text in rows:
+        for run in RUN.findall(text or ""):
+            run = "".join(c.lower() if "A" <= c <= "Z" else c for c in run)
+            crc = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if crc % slip_every == 0:
+                place = crc % len(run)
+                run = run[:place] + run[place + 1 :]
+            counts[run] += 1
+    return {word: n for word, n in counts.items() if len(word) >= 5 and n >= 3}
+
+
+def one_edit_apart(a, b):
+    if a == b or abs(len(a) - len(b)) > 1:
+        return False
+    if len(a) < len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return any(a[:i] + a[i + 1 :] == b for i in range(len(a)))
+
+
+def plain_variants(counts):
+    near = {word: [other for other in counts if one_edit_apart(word, other)] for word in counts}
+    forms = {}
+    for word, others in near.items():
+        best = min(others, key=lambda o: (-counts[o], o), default=None)
+        forms[word] = best if best is not None and counts[best] >= 2 * counts[word] else None
+
+    def root(word):
+        while forms[word] is not None:
+            word = forms[word]
+        return word
+
+    return {w: (forms[w], root(w), counts[w], len(near[w]), counts.get(forms[w])) for w in counts}
+
+
+def frame(spark, counts):
+    return spark.createDataFrame(sorted(counts.items()) or [], "word string, n bigint")
+
+
+def shown(result):
+    return {r.word: (r.form, r.root, r.n, r.n_near, r.form_n) for r in result.collect()}
+
+
+def family(rng, alphabet, size, edits):
+    """Words that a few edits of each other give, so that many are near one another."""
+    words = {"".join(rng.choice(alphabet) for _ in range(rng.randint(5, 9))) for _ in range(size)}
+    for _ in range(edits):
+        word = rng.choice(sorted(words))
+        i = rng.randrange(len(word) + 1)
+        letter = rng.choice(alphabet)
+        words.add(rng.choice([word[:i] + letter + word[i:], word[:i] + word[i + 1 :], word[:i] + letter + word[i + 1 :]]))
+    return {w: rng.choice([3, 3, 4, 6, 8, 50]) for w in words if len(w) >= 5}
+
+
+@pytest.mark.parametrize("dense_chunk", [0, 2, 64])
+@pytest.mark.parametrize("alphabet", ["ab", "abcdéß", "aé÷×ÿÀ"])
+def test_variants_equal_a_plain_search(spark, dense_chunk, alphabet):
+    counts = family(random.Random(len(alphabet) + dense_chunk), alphabet, 60, 240)
+    got = shown(spelling.variants(frame(spark, counts), dense_chunk=dense_chunk))
+    assert got == plain_variants(counts)
+    assert sum(n_near for *_, n_near, _ in got.values()) > 100
+
+
+def test_a_pair_is_reported_once_although_both_chunks_and_several_shifts_find_it(spark):
+    counts = {"aaaaaa": 3, "aaaaaaa": 9, "aaaaab": 3, "baaaaa": 3}
+    pairs = [frozenset((r.a, r.b)) for r in spelling.near_words(frame(spark, counts)).collect()]
+    assert len(pairs) == len(set(pairs)) == 3
+    assert set(pairs) == {frozenset((a, b)) for a in counts for b in counts if one_edit_apart(a, b)}
+
+
+def test_words_of_texts(spark):
+    rng = random.Random(5)
+    words = ["Straße", "straße", "ÉTUDE", "étude", "Number", "numbers", "four", "under-score", "x" * 40]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(60)) + "!") for i in range(120)]
+    rows += [(None, "number number"), (7, None), (8, ""), (9, "12 ,;"), (10, rows[10][1]), (10, rows[10][1])]
+    rows.append((500, "longword " * 30_000))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "'x' AS word", "1 AS n", "'x' AS run")
+    for slip_every in (2, 97):
+        counts = spelling.word_counts(docs, slip_every=slip_every)
+        assert {r.word: r.n for r in counts.collect()} == plain_counts(rows, slip_every)
+    assert shown(spelling.spelling_variants(docs)) == plain_variants(plain_counts(rows))
+
+
+def test_chains_end_at_their_root(spark):
+    counts = {"chain" + "s" * i: 3 * 2**i for i in range(12)}
+    got = shown(spelling.variants(frame(spark, counts)))
+    last = "chain" + "s" * 11
+    assert {word: found[1] for word, found in got.items()} == dict.fromkeys(counts, last)
+    assert got[last][0] is None
+
+
+def test_equal_counts_take_the_first_in_code_point_order(spark):
+    counts = {"abcde": 3, "abcdé": 6, "abcdz": 6, "abcdÿ": 6}
+    assert shown(spelling.variants(frame(spark, counts)))["abcde"] == ("abcdz", "abcdz", 3, 3, 6)
+
+
+def test_a_crowded_chunk_is_linear(spark):
+    """A thousand words that share half of their letters make no thousand times thousand candidates."""
+    rng = random.Random(1)
+    counts = {"abcdef" + "".join(rng.choice("ghijklmnop") for _ in range(6)): 3 for _ in range(1000)}
+    got = shown(spelling.variants(frame(spark, counts), dense_chunk=8))
+    assert got == plain_variants(counts)
+
+
+def test_no_words(spark):
+    assert spelling.variants(frame(spark, {})).collect() == []
+    assert spelling.spelling_variants(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+    with pytest.raises(ValueError):
+        spelling.variants(frame(spark, {}), ratio=1)
