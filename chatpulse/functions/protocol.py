@@ -9,7 +9,6 @@ from chatpulse.functions.text import strip_whitespace
 # Protocol words.
 MESSAGE_COMMAND = "PRIVMSG"
 KEEPALIVE_COMMAND = "PING"
-LINE_PREFIX = ":"
 LINE_BREAK = "\r\n"
 
 

@@ -8,7 +8,6 @@ from chatpulse.functions.payload import decoded, encoded
 from chatpulse.functions.protocol import (
     KEEPALIVE_COMMAND,
     LINE_BREAK,
-    LINE_PREFIX,
     MESSAGE_COMMAND,
     sender,
     spoken_text,
@@ -18,39 +17,71 @@ from chatpulse.schemas import CHAT, CHAT_OR_CORRUPT, CORRUPT
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
-def _pieces(chunks: DataFrame, chunk: str) -> DataFrame:
-    """``line, is_cut``: what stands between line breaks, and whether a chunk border cut it.
+# Kinds of lines and pieces of lines.
+MESSAGE, NO_TEXT, KEEPALIVE, OTHER, CUT = "message", "no text", "keep-alive", "other", "cut"
+#: Outcomes of the kinds: every line has one of them.
+OUTCOMES = {MESSAGE: "accepted", NO_TEXT: "rejected", CUT: "rejected", KEEPALIVE: "other", OTHER: "other"}
 
-    The last piece has no line break after it, and a first piece that begins
-    like no line of the protocol is the rest of one.
+
+def line_kind(line: Column) -> Column:
+    """What a whole line is: a message, one without a text, a keep-alive, or another command."""
+    return (
+        F.when(line.startswith(KEEPALIVE_COMMAND), KEEPALIVE)
+        .when(~line.contains(MESSAGE_COMMAND), OTHER)
+        .when(spoken_text(line).isNull(), NO_TEXT)
+        .otherwise(MESSAGE)
+    )
+
+
+def judged_pieces(chunks: DataFrame, chunk: str = "chunk", begins: str | None = None) -> DataFrame:
+    """``line, kind`` of what stands between line breaks; empty pieces are none.
+
+    The last piece of a chunk has no line break after it, so it is cut. The first
+    one may be the rest of a line whatever it begins with: a text can begin like a
+    command. It is whole only if the chunk is known to begin a line, which the
+    boolean column ``begins`` says; without one no chunk is.
     """
-    pieces = chunks.select(F.split(F.col(chunk).cast("string"), LINE_BREAK).alias("pieces"))
-    placed = pieces.select(F.size("pieces").alias("n"), F.posexplode("pieces").alias("place", "line"))
-    line = F.col("line")
-    begun = line.startswith(LINE_PREFIX) | line.startswith(KEEPALIVE_COMMAND)
-    is_cut = (F.col("place") == F.col("n") - 1) | ((F.col("place") == 0) & ~begun)
-    return placed.filter(line != "").select("line", is_cut.alias("is_cut"))
+    known = F.coalesce(F.col(begins), F.lit(False)) if begins else F.lit(False)
+    pieces = chunks.select(F.split(F.col(chunk).cast("string"), LINE_BREAK).alias("pieces"), known.alias("known"))
+    placed = pieces.select("known", F.size("pieces").alias("n"), F.posexplode("pieces").alias("place", "line"))
+    is_cut = (F.col("place") == F.col("n") - 1) | ((F.col("place") == 0) & ~F.col("known"))
+    kind = F.when(is_cut, CUT).otherwise(line_kind(F.col("line")))
+    return placed.filter(F.col("line") != "").select("line", kind.alias("kind"))
+
+
+def judged_lines(lines: DataFrame, line: str = "line") -> DataFrame:
+    """``line, kind`` of lines that are whole, as a source that splits at line breaks gives them."""
+    whole = lines.select(F.col(line).cast("string").alias("line")).filter(F.col("line") != "")
+    return whole.withColumn("kind", line_kind(F.col("line")))
+
+
+def messages_of(judged: DataFrame) -> DataFrame:
+    """``user, message`` of the judged lines that are messages."""
+    return parse_chat_lines(judged.filter(F.col("kind") == MESSAGE))
+
+
+def set_aside(judged: DataFrame) -> DataFrame:
+    """``line, kind`` of every judged line or piece that is no message: with the messages, all of them."""
+    return judged.filter(F.col("kind") != MESSAGE)
 
 
-def chat_lines(chunks: DataFrame, chunk: str = "chunk") -> DataFrame:
+def chat_lines(chunks: DataFrame, chunk: str = "chunk", begins: str | None = None) -> DataFrame:
     """One row per whole message line; keep-alives and other lines are skipped one by one."""
-    line = F.col("line")
-    whole = _pieces(chunks, chunk).filter(~F.col("is_cut")).drop("is_cut")
-    return whole.filter(line.contains(MESSAGE_COMMAND) & ~line.startswith(KEEPALIVE_COMMAND))
+    return judged_pieces(chunks, chunk, begins).filter(F.col("kind").isin(MESSAGE, NO_TEXT)).drop("kind")
 
 
-def cut_lines(chunks: DataFrame, chunk: str = "chunk") -> DataFrame:
-    """The pieces of lines that chunk borders cut, which ``chat_lines`` leaves out.
+def cut_lines(chunks: DataFrame, chunk: str = "chunk", begins: str | None = None) -> DataFrame:
+    """The pieces of lines that chunk borders cut, or may have cut.
 
     A message is only known whole: putting pieces together would need all
     chunks of a connection in order in one task. A source that splits at line
-    breaks (``lineSep``) makes none.
+    breaks (``sources.raw``) makes none.
     """
-    return _pieces(chunks, chunk).filter("is_cut").drop("is_cut")
+    return judged_pieces(chunks, chunk, begins).filter(F.col("kind") == CUT).drop("kind")
 
 
 def parse_chat_lines(lines: DataFrame, line: str = "line") -> DataFrame:
-    """``user, message`` of each message line; lines without a text are dropped."""
+    """``user, message`` of each message line; lines without a text are left out (``set_aside`` has them)."""
     return lines.select(
         sender(F.col(line)).alias("user"), spoken_text(F.col(line)).alias("message")
     ).filter(F.col("message").isNotNull())

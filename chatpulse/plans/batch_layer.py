@@ -19,7 +19,7 @@ from chatpulse import schemas
 from chatpulse.operators import activity, stats, words
 from chatpulse.settings import job_session
 from chatpulse.sinks.connectors import CASSANDRA, parse_names, store_writer
-from chatpulse.sinks.keyed import KeyedTable, read_snapshot, write_snapshot
+from chatpulse.sinks.keyed import KeyedTable
 from chatpulse.sinks.logs import append_metrics, append_run
 from chatpulse.sources.archive import convert_archive, read_history, read_rejected
 
@@ -35,8 +35,7 @@ def write_results(messages: DataFrame, tables: str, run: int, word_rank: int = 1
     """Counts per user, top words and global stats of a message history.
 
     The counts per user are computed once: the stats read the table just
-    written, which also outlives any executor. Users and stats are upserted;
-    the top words are replaced, as a word that fell out of the list must go.
+    written, which also outlives any executor. Each run writes under its number.
     """
     spark = messages.sparkSession
     known = messages.filter(F.col("user").isNotNull())
@@ -44,8 +43,10 @@ def write_results(messages: DataFrame, tables: str, run: int, word_rank: int = 1
     users = result_table(tables, schemas.TOP_USERS)
     users.put(activity.user_activity(known), GENERATION, run)
 
+    # A run of its own: a word that fell out of the list is not in it, and a run
+    # that dies here leaves the list of the one before.
     ranking = words.top_words(words.word_counts(known), word_rank)
-    write_snapshot(ranking, f"{tables}/{schemas.TOP_WORDS.name}", schemas.TOP_WORDS)
+    result_table(tables, schemas.TOP_WORDS).put(ranking, GENERATION, run)
 
     # This run's own table, which may be empty.
     counted = users.at(spark, GENERATION, run)
@@ -61,6 +62,14 @@ def current_users(spark: SparkSession, tables: str) -> DataFrame:
     return result_table(tables, schemas.TOP_USERS).newest_epoch(spark, GENERATION)
 
 
+def current_words(spark: SparkSession, tables: str) -> DataFrame:
+    """The top words of the last run that was whole."""
+    last = result_table(tables, schemas.GLOBAL_STATS).last_epoch(spark, GENERATION)
+    if last is None:
+        return spark.createDataFrame([], schemas.TOP_WORDS.schema)
+    return result_table(tables, schemas.TOP_WORDS).at(spark, GENERATION, last)
+
+
 def export_results(
     spark: SparkSession,
     tables: str,
@@ -71,7 +80,7 @@ def export_results(
     """Upserts the last run's results into an outside store that declares 32-bit counts."""
     users = current_users(spark, tables)
     totals = result_table(tables, schemas.GLOBAL_STATS).newest_epoch(spark, GENERATION)
-    ranking = read_snapshot(spark, f"{tables}/{schemas.TOP_WORDS.name}", schemas.TOP_WORDS)
+    ranking = current_words(spark, tables)
     for table, rows in (
         (schemas.TOP_USERS, users),
         (schemas.TOP_WORDS, ranking),
@@ -103,10 +112,7 @@ def run_batch(
     if preview:
         messages.filter(F.col("user").isNotNull()).show(5)
         activity.top_users(current_users(spark, tables), 10).show()
-        ranking = read_snapshot(
-            spark, f"{tables}/{schemas.TOP_WORDS.name}", schemas.TOP_WORDS
-        )
-        words.top_words(ranking, 10).show()
+        words.top_words(current_words(spark, tables), 10).show()
         result_table(tables, schemas.GLOBAL_STATS).latest(spark).show(truncate=False)
 
 

@@ -13,12 +13,13 @@ from chatpulse.functions.text import has_whole_word
 from chatpulse.operators import activity, ingest, stats, words
 from chatpulse.plans import batch_layer, ingest_layer, speed_layer
 from chatpulse.settings import work_folder
+from chatpulse.sinks import declared
 from chatpulse.sinks.keyed import KeyedTable
 from chatpulse.sinks.logs import read_metrics
-from chatpulse.sources import archive, topics
+from chatpulse.sources import archive, raw, topics
 from chatpulse.sources.chat import chat_view, posts, texts
-from chatpulse.streaming import metrics
-from chatpulse.streaming.run import finish
+from chatpulse.streaming import late, metrics
+from chatpulse.streaming.run import finish, start
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -207,27 +208,89 @@ def parse_chat_lines(spark, folder):
 def ingest_mixed_chunks(spark, folder):
     """Messages that follow a keep-alive in one chunk, and lines that a chunk border cuts.
 
-    Users whose name ends in 7 have their line cut after the colon; what was
-    accepted and what was set aside make up all pieces.
+    By the last digit of the user: 5, a text that begins with a colon is cut before
+    it; 6, one that begins like a keep-alive; 7, after the colon; 8, inside the line
+    break; 9, the line has no text. What was accepted and what was set aside
+    make up all pieces.
     """
-    head = F.concat(
-        F.lit(KEEPALIVE + ":"), "user", F.lit("!"), "user", F.lit("@chat.host PRIVMSG #room :")
-    )
-    is_cut = F.col("user").endswith("7")
-    chunks = chat_view(spark, folder, message=F.length("message").cast("string")).filter(
+    head = F.concat(F.lit(":"), "user", F.lit("!"), "user", F.lit("@chat.host PRIVMSG #room "))
+    end = F.lit("\r\n")
+    last = F.substring("user", -1, 1)
+    whole = F.concat(F.lit(KEEPALIVE), head, F.lit(":"), "message", end)
+    cut = {
+        "5": (F.concat(F.lit(KEEPALIVE), head), F.concat(F.lit(":"), "message", end, whole)),
+        "6": (F.concat(F.lit(KEEPALIVE), head, F.lit(":")), F.concat(F.lit("PING "), "message", end)),
+        "7": (F.concat(F.lit(KEEPALIVE), head, F.lit(":")), F.concat("message", end)),
+        "8": (F.concat(F.lit(KEEPALIVE), head, F.lit(":"), "message", F.lit("\r")), F.concat(F.lit("\n"), whole)),
+        "9": (F.concat(F.lit(KEEPALIVE), head, "message", end), F.lit("")),
+    }
+    chunks = F.array(F.struct(whole.alias("chunk"), F.lit(True).alias("begins")))
+    for digit, (first, second) in cut.items():
+        pieces = F.array(
+            F.struct(first.alias("chunk"), F.lit(True).alias("begins")),
+            F.struct(second.alias("chunk"), F.lit(False).alias("begins")),
+        )
+        chunks = F.when(last == digit, pieces).otherwise(chunks)
+    known = chat_view(spark, folder, message=F.length("message").cast("string")).filter(
         "user IS NOT NULL AND message IS NOT NULL"
     )
-    tail = F.concat("message", F.lit("\r\n"))
-    chunks = chunks.select(
-        F.explode(F.when(is_cut, F.array(head, tail)).otherwise(F.array(F.concat(head, tail)))).alias("chunk")
-    )
-    accepted = ingest.parse_chat_lines(ingest.chat_lines(chunks)).withColumn("state", F.lit("accepted"))
-    aside = ingest.cut_lines(chunks).select(
-        F.lit(None).cast("string").alias("user"), F.col("line").alias("message"), F.lit("set aside").alias("state")
+    judged = ingest.judged_pieces(known.select(F.inline(chunks)), begins="begins")
+    accepted = ingest.messages_of(judged).withColumn("state", F.lit("accepted"))
+    aside = ingest.set_aside(judged).select(
+        F.lit(None).cast("string").alias("user"), F.col("line").alias("message"), F.col("kind").alias("state")
     )
     return accepted.unionByName(aside)
 
 
+def _raw(spark: SparkSession, folder: str) -> str:
+    """Path of the chat as raw files: a greeting, a keep-alive and a message line each."""
+
+    def write(path: str) -> None:
+        chunks = _chunks(spark, folder).filter("chunk IS NOT NULL")
+        # A chunk's own last break is the one that the writer adds.
+        raw.write_raw(chunks.select(F.regexp_replace("chunk", "\r\n\\z", "")), path)
+
+    return _derived(spark, folder, "raw", write)
+
+
+@_query
+def stream_raw_lines(spark, folder):
+    """Every line of raw files, as a stream reads them: none is cut."""
+    path = work_folder(spark, "lines")
+    judged = ingest.judged_lines(raw.stream_raw(spark, _raw(spark, folder)))
+    finish(start(judged.writeStream.format("parquet").option("path", path), "append", f"{path}-checkpoint", available_now=True))
+    return spark.read.schema("line string, kind string").parquet(path)
+
+
+@_query
+def ingest_rejects(spark, folder):
+    """Lines by outcome, as observed in the triggers, and as the topic and the reject table have them."""
+    text = F.when(F.col("user").endswith("7"), F.lit(" ")).otherwise(F.lit(" :"))
+    line = F.concat(F.lit(":"), "user", F.lit("!"), "user", F.lit("@chat.host PRIVMSG #room"), text, "message")
+    lines = chat_view(spark, folder, message=F.length("message").cast("string")).select(line.alias("line"))
+    path, topic, rejects = (work_folder(spark, what) for what in ("raw", "topic", "rejects"))
+    raw.write_raw(lines.union(lines.select(F.lit(GREETING))).filter("line IS NOT NULL"), path)
+    finish(
+        *ingest_layer.start_lines(
+            raw.stream_raw(spark, path), topics.file_target(topic), rejects, f"{rejects}-checkpoints", available_now=True
+        )
+    )
+    counts = ingest_layer.read_counts(spark, rejects)
+    outcomes = ("accepted", "rejected", "other")
+    observed = counts.agg(*(F.sum(outcome).alias(outcome) for outcome in outcomes), F.sum("lines").alias("lines"))
+    observed = observed.select(
+        F.inline(F.array(*(F.struct(F.lit(o).alias("outcome"), F.col(o).alias("n_observed"), "lines") for o in outcomes)))
+    )
+    kept = ingest_layer.read_rejects(spark, rejects).select(
+        F.create_map(*(F.lit(x) for pair in ingest.OUTCOMES.items() for x in pair))[F.col("kind")].alias("outcome")
+    )
+    sent = spark.read.schema(topics.VALUE).parquet(topic).select(F.lit("accepted").alias("outcome"))
+    stored = kept.union(sent).groupBy("outcome").agg(F.count("*").alias("n_stored"))
+    return observed.join(stored, "outcome", "left").select(
+        "outcome", "n_observed", F.coalesce("n_stored", F.lit(0)).alias("n_stored"), F.col("lines").alias("n_lines")
+    )
+
+
 @_query
 def ingest_to_topic(spark, folder):
     path = work_folder(spark, "topic")
@@ -293,9 +356,51 @@ def archive_roundtrip(spark, folder):
     return _with_naive(archive.read_history(spark, history), "timestamp")
 
 
+@_query
+def archive_incremental(spark, folder):
+    """Lines that each of three conversions read, and the history after it; the archive grows in between."""
+    source, history = work_folder(spark, "archive"), work_folder(spark, "history")
+    records = _with_iso_time(chat_view(spark, folder, message=F.length("message").cast("string")))
+    early = F.coalesce(F.col("user").rlike("[0-4]$"), F.lit(False))
+    runs = []
+    for run, added in enumerate((early, ~early, None)):
+        if added is not None:
+            archive.write_archive(records.filter(added), source)
+        conversion = archive.start_conversion(spark, source, history, f"{history}-checkpoint")
+        finish(conversion)
+        read = sum(progress.numInputRows for progress in conversion.recentProgress)
+        # Read now: the history grows.
+        runs.append((run, read, archive.read_history(spark, history).count()))
+    return spark.createDataFrame(runs, "run int, n_read bigint, n_history bigint")
+
+
 # --- tables -------------------------------------------------------------------
 
 
+@_query
+def declared_tables(spark, folder):
+    """Users and windows in tables declared by name, replaced once, and read by name."""
+    location = work_folder(spark, "declared")
+    database = "chat_" + location.rsplit("-", 1)[1]
+    users = _users(spark, folder)
+    windows = activity.window_activity(posts(spark, folder).filter("timestamp IS NOT NULL"))
+    parts = []
+    for table, rows in ((schemas.USER_ACTIVITY, users), (schemas.WINDOW_ACTIVITY, windows)):
+        for content in (rows.limit(0), rows):
+            declared.declare(spark, database, table, location)
+            declared.replace(spark, database, table, content)
+        stored = declared.read(spark, database, table)
+        parts.append(
+            stored.select(
+                F.lit(table.name).alias("table_name"),
+                F.date_format(table.key.name, "yyyy-MM-dd HH:mm:ss").alias("key")
+                if table is schemas.WINDOW_ACTIVITY else F.col(table.key.name).alias("key"),
+                F.col(table.values[0].name).alias("n"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
 @_query
 def upsert_latest(spark, folder):
     """Counts, then a second write that replaces the rows of the busier users."""
@@ -336,9 +441,7 @@ def batch_job(spark, folder):
     history, tables = work_folder(spark, "history"), work_folder(spark, "tables")
     batch_layer.run_batch(spark, _archive(spark, folder), history, tables)
     users = batch_layer.current_users(spark, tables)
-    ranking = batch_layer.read_snapshot(
-        spark, f"{tables}/{schemas.TOP_WORDS.name}", schemas.TOP_WORDS
-    )
+    ranking = batch_layer.current_words(spark, tables)
     totals = batch_layer.result_table(tables, schemas.GLOBAL_STATS).latest(spark)
     parts = [
         df.select(
@@ -383,6 +486,8 @@ def _topic(spark: SparkSession, folder: str) -> DataFrame:
 
 
 TOPIC_PARTS = 6
+#: Files of a part, so that its tasks share it; a trigger reads as many.
+PART_FILES = 4
 
 
 def _topic_in_parts(spark: SparkSession, folder: str) -> DataFrame:
@@ -394,10 +499,10 @@ def _topic_in_parts(spark: SparkSession, folder: str) -> DataFrame:
         for number in range(TOPIC_PARTS):
             timed = _with_iso_time(messages.filter(F.col("part") == number))
             payloads = ingest.encode_payload(timed, *schemas.CHAT.names)
-            # One file is one trigger, so this is a trigger's input and no more.
-            topics.publish(payloads.coalesce(1), topics.file_target(path))
+            topics.publish(payloads.repartition(PART_FILES), topics.file_target(path))
 
-    return topics.read_files(spark, _derived(spark, folder, "parts", write), max_files_per_trigger=1)
+    path = _derived(spark, folder, "parts", write)
+    return topics.read_files(spark, path, max_files_per_trigger=PART_FILES)
 
 
 def derive_inputs(spark: SparkSession, folder: str) -> None:
@@ -445,6 +550,77 @@ def stream_late_rows(spark, folder):
     return both.select("n_counted", (F.col("total_messages") - F.col("n_counted")).alias("n_late"))
 
 
+@_query
+def stream_late_messages(spark, folder):
+    """Late messages themselves, and the counts of the windows: together, all that was published."""
+    path = work_folder(spark, "split")
+    flagged = metrics.flagged_messages(_topic_in_parts(spark, folder), time_source="event")
+    finish(late.start_split(flagged, path, f"{path}-checkpoint", available_now=True))
+    came_late = late.read_late(spark, path).select(
+        F.lit("late").alias("state"), "user", _naive("timestamp"), F.lit(1).cast("bigint").alias("n"),
+        F.coalesce("is_toxic", F.lit(False)).cast("bigint").alias("n_toxic"),
+    )
+    counted = late.read_counted(spark, path).select(
+        F.lit("counted").alias("state"), F.lit(None).cast("string").alias("user"),
+        _naive("window_start").alias("timestamp"), F.col("total_messages").alias("n"),
+        F.col("total_toxic_messages").alias("n_toxic"),
+    )
+    return came_late.unionByName(counted)
+
+
+@_query
+def stream_restart(spark, folder):
+    """Counts per user of a query that was stopped, went on, and found its topic grown."""
+    topic, tables = work_folder(spark, "topic"), work_folder(spark, "tables")
+    messages = _with_iso_time(chat_view(spark, folder))
+    early = F.coalesce(F.col("user").rlike("[0-4]$"), F.lit(False))
+
+    def publish(rows: DataFrame) -> None:
+        payloads = ingest.encode_payload(rows, *schemas.CHAT.names)
+        topics.publish(payloads.repartition(PART_FILES), topics.file_target(topic))
+
+    def start_again(**trigger):
+        payloads = topics.read_files(spark, topic, max_files_per_trigger=1)
+        flagged = metrics.flagged_messages(payloads, time_source="event")
+        return speed_layer.start_user_table(flagged, tables, f"{tables}-checkpoint", **trigger)
+
+    publish(messages.filter(early))
+    stopped = start_again(every="0 seconds")
+    try:
+        # One trigger is through, or two, and others may be at work.
+        while stopped.isActive and not stopped.recentProgress:
+            stopped.awaitTermination(1)
+    finally:
+        stopped.stop()
+    if stopped.exception() is not None:
+        raise stopped.exception()
+    finish(start_again(available_now=True))
+    publish(messages.filter(~early))
+    finish(start_again(available_now=True))
+    return speed_layer.read_user_counts(spark, tables)
+
+
+@_query
+def stream_state_rows(spark, folder):
+    """The windows that a stream still holds once all is read and the watermark has moved."""
+    tables = work_folder(spark, "tables")
+    flagged = metrics.flagged_messages(_topic_in_parts(spark, folder), time_source="event")
+    finish(
+        speed_layer.start_window_table(flagged, tables, f"{tables}-checkpoint", watermark="10 days", available_now=True)
+    )
+    held = speed_layer.state_rows(spark, f"{tables}-checkpoint").drop("window_end")
+    return _with_naive(held, "window_start")
+
+
+@_query
+def stream_complete_ranking(spark, folder):
+    """All users by messages, as the last of several triggers wrote them in complete mode."""
+    tables = work_folder(spark, "tables")
+    flagged = metrics.flagged_messages(_topic_in_parts(spark, folder), time_source="event")
+    finish(speed_layer.start_ranking_table(flagged, tables, f"{tables}-checkpoint", available_now=True))
+    return speed_layer.read_ranking_table(spark, tables)
+
+
 @_query
 def stream_messages_per_minute(spark, folder):
     tables = work_folder(spark, "tables")

@@ -67,11 +67,12 @@ SELECT word, count, 'top_words' FROM w"""
 _TOP_WORDS = "SELECT word, count FROM w ORDER BY count DESC, word LIMIT 100"
 
 # The chunks the ingest queries build, and the parse of their lines.
-_PARSED = f"""chunk AS (
+_CHUNK = """chunk AS (
   SELECT unnest(['PING :chat.host PRIVMSG #room :not a message',
     ':chat.host 001 :welcome' || chr(13) || chr(10) || ':' || "user" || '!' || "user"
     || '@chat.host PRIVMSG #room : ' || message || ' ' || chr(13) || chr(10)]) AS chunk
-  FROM chat),
+  FROM chat)"""
+_PARSED = f"""{_CHUNK},
 line AS (
   SELECT unnest(string_split(chunk, chr(13) || chr(10))) AS line
   FROM chunk WHERE NOT starts_with(chunk, 'PING')),
@@ -84,6 +85,28 @@ parsed AS (
     trim(substr(rest, strpos(rest, ':') + 1), '{_WHITESPACE}') AS message
   FROM part WHERE strpos(rest, ':') > 0)"""
 
+_USER_COUNTS = _with(
+    'SELECT "user", count(*) AS nb_messages, '
+    f"count(*) FILTER (WHERE {_TOXIC}) AS nb_toxic_messages "
+    'FROM chat WHERE "user" IS NOT NULL GROUP BY 1'
+)
+
+
+def _judged(watermark: str) -> tuple[str, ...]:
+    """The messages of a topic in six parts, one a trigger, and whether they come too late."""
+    return (
+        f"""parts AS (SELECT CAST(floor(epoch("timestamp")) AS BIGINT) % 6 AS part, "user", "timestamp",
+    coalesce({_TOXIC}, false) AS toxic
+  FROM chat WHERE "timestamp" IS NOT NULL)""",
+        # A trigger drops what ended before the watermark of the trigger before it,
+        # which knows the files before that one.
+        f"""marks AS (SELECT part, max(max("timestamp")) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING)
+  - INTERVAL '{watermark}' AS mark FROM parts GROUP BY part)""",
+        f"""judged AS (SELECT parts.*, coalesce({_WINDOW} + INTERVAL '10 seconds' <= mark, false) AS late
+  FROM parts JOIN marks USING (part))""",
+    )
+
+
 ORACLE: dict[str, str] = {
     "total_messages": _with("SELECT count(*) AS total_messages FROM chat"),
     "global_activity": _GLOBAL_ACTIVITY,
@@ -97,11 +120,7 @@ ORACLE: dict[str, str] = {
     "toxic_activity": _TOXIC_ACTIVITY,
     "toxic_users": _TOXIC_USERS,
     "window_counts": _WINDOW_COUNTS,
-    "user_counts": _with(
-        'SELECT "user", count(*) AS nb_messages, '
-        f"count(*) FILTER (WHERE {_TOXIC}) AS nb_toxic_messages "
-        'FROM chat WHERE "user" IS NOT NULL GROUP BY 1'
-    ),
+    "user_counts": _USER_COUNTS,
     "tokens": _with(
         f'SELECT * FROM (SELECT doc_id, unnest({_TOKENS}) AS word FROM spoken) '
         "WHERE word <> ''"
@@ -115,11 +134,31 @@ ORACLE: dict[str, str] = {
     "stats_long": _with(_LONG_ROWS, _USERS, _WORDS),
     "parse_chat_lines": _with('SELECT "user", message FROM parsed', _PARSED),
     "ingest_mixed_chunks": _with(
-        """SELECT "user", CAST(length(message) AS VARCHAR) AS message, 'accepted' AS state FROM mixed
-WHERE "user" NOT LIKE '%7'
-UNION ALL SELECT NULL, unnest([':' || "user" || '!' || "user" || '@chat.host PRIVMSG #room :',
-  CAST(length(message) AS VARCHAR)]), 'set aside' FROM mixed WHERE "user" LIKE '%7'""",
-        """mixed AS (SELECT "user", message FROM chat WHERE "user" IS NOT NULL AND message IS NOT NULL)""",
+        """SELECT "user", n AS message, 'accepted' AS state FROM mixed WHERE last IN ('5', '8') OR last < '5'
+UNION ALL SELECT NULL, 'PING :chat.host PRIVMSG #room :not a message', 'keep-alive' FROM mixed
+UNION ALL SELECT NULL, 'PING :chat.host PRIVMSG #room :not a message', 'keep-alive' FROM mixed WHERE last = '5'
+UNION ALL SELECT NULL, unnest([head, ':' || n]), 'cut' FROM mixed WHERE last = '5'
+UNION ALL SELECT NULL, unnest([head || ':', 'PING ' || n]), 'cut' FROM mixed WHERE last = '6'
+UNION ALL SELECT NULL, unnest([head || ':', n]), 'cut' FROM mixed WHERE last = '7'
+UNION ALL SELECT NULL, unnest([head || ':' || n || chr(13), chr(10) || 'PING :chat.host PRIVMSG #room :not a message']), 'cut'
+FROM mixed WHERE last = '8'
+UNION ALL SELECT NULL, head || n, 'no text' FROM mixed WHERE last = '9'""",
+        """mixed AS (SELECT "user", right("user", 1) AS last, CAST(length(message) AS VARCHAR) AS n,
+  ':' || "user" || '!' || "user" || '@chat.host PRIVMSG #room ' AS head
+  FROM chat WHERE "user" IS NOT NULL AND message IS NOT NULL)""",
+    ),
+    "stream_raw_lines": _with(
+        """SELECT line, CASE WHEN starts_with(line, 'PING') THEN 'keep-alive' WHEN NOT contains(line, 'PRIVMSG') THEN 'other'
+  WHEN strpos(substr(line, strpos(line, 'PRIVMSG') + 7), ':') = 0 THEN 'no text' ELSE 'message' END AS kind
+FROM lines WHERE line <> ''""",
+        _CHUNK,
+        "lines AS (SELECT unnest(string_split(chunk, chr(13) || chr(10))) AS line FROM chunk)",
+    ),
+    "ingest_rejects": _with(
+        """SELECT outcome, n AS n_observed, n AS n_stored, CAST(sum(n) OVER () AS BIGINT) AS n_lines FROM (
+  SELECT 'accepted' AS outcome, count(*) FILTER (WHERE message IS NOT NULL AND "user" NOT LIKE '%7') AS n FROM chat
+  UNION ALL SELECT 'rejected', count(*) FILTER (WHERE message IS NOT NULL AND "user" LIKE '%7') FROM chat
+  UNION ALL SELECT 'other', count(*) FROM chat)"""
     ),
     "ingest_to_topic": _with(
         'SELECT "user", message, CAST(NULL AS VARCHAR) AS "timestamp" FROM parsed', _PARSED
@@ -172,14 +211,35 @@ UNION ALL SELECT unnest(['total_messages', 'average_messages_per_user', 'users']
     "stream_windows_in_triggers": _WINDOW_COUNTS,
     "stream_late_rows": _with(
         """SELECT count(*) FILTER (WHERE NOT late) AS n_counted, count(*) FILTER (WHERE late) AS n_late FROM judged""",
-        """parts AS (SELECT CAST(floor(epoch("timestamp")) AS BIGINT) % 6 AS part, "timestamp" AS t
-  FROM chat WHERE "timestamp" IS NOT NULL)""",
-        # A trigger drops what ended before the watermark of the trigger before it,
-        # which knows the files before that one.
-        """marks AS (SELECT part, max(max(t)) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING)
-  - INTERVAL '10 seconds' AS mark FROM parts GROUP BY part)""",
-        """judged AS (SELECT coalesce(time_bucket(INTERVAL '10 seconds', t) + INTERVAL '10 seconds' <= mark, false) AS late
-  FROM parts JOIN marks USING (part))""",
+        *_judged("10 seconds"),
+    ),
+    "stream_late_messages": _with(
+        f"""SELECT 'late' AS state, "user", "timestamp", CAST(1 AS BIGINT) AS n, CAST(toxic AS BIGINT) AS n_toxic FROM judged WHERE late
+UNION ALL SELECT 'counted', NULL, {_WINDOW}, count(*), count(*) FILTER (WHERE toxic) FROM judged WHERE NOT late GROUP BY 3""",
+        *_judged("10 seconds"),
+    ),
+    "stream_restart": _USER_COUNTS,
+    # After the last trigger the windows that ended before its watermark are gone.
+    "stream_state_rows": _with(
+        f"""SELECT window_start, total_messages, total_toxic_messages FROM (
+  SELECT {_WINDOW} AS window_start, count(*) AS total_messages, count(*) FILTER (WHERE toxic) AS total_toxic_messages
+  FROM judged WHERE NOT late GROUP BY 1)
+WHERE window_start + INTERVAL '10 seconds' > (SELECT max("timestamp") - INTERVAL '10 days' FROM judged)""",
+        *_judged("10 days"),
+    ),
+    "stream_complete_ranking": _with(
+        """SELECT "user", count(*) AS nb_messages FROM chat WHERE "user" IS NOT NULL AND "timestamp" IS NOT NULL GROUP BY 1"""
+    ),
+    "archive_incremental": _with(
+        """SELECT 0 AS run, early AS n_read, early AS n_history FROM n UNION ALL SELECT 1, n - early, n FROM n
+UNION ALL SELECT 2, 0, n FROM n""",
+        """n AS (SELECT count(*) AS n, count(*) FILTER (WHERE regexp_matches("user", '[0-4]$')) AS early FROM chat)""",
+    ),
+    "declared_tables": _with(
+        f"""SELECT 'user_activity' AS table_name, "user" AS key, nb_messages AS n FROM u
+UNION ALL SELECT 'window_activity', strftime({_WINDOW}, '%Y-%m-%d %H:%M:%S'), count(*) FROM chat WHERE "timestamp" IS NOT NULL
+GROUP BY 2""",
+        _USERS,
     ),
     "archive_quarantine": _with(
         """SELECT coalesce("user" LIKE '%7', false) AS is_rejected, count(*) AS n FROM chat GROUP BY 1"""

@@ -10,7 +10,7 @@ from __future__ import annotations
 import argparse
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from chatpulse import schemas
@@ -108,6 +108,48 @@ def start_tables(
     return queries
 
 
+def start_ranking_table(
+    flagged: DataFrame,
+    tables: str,
+    checkpoints: str,
+    ranked: schemas.ResultTable = schemas.USER_ACTIVITY,
+    **trigger,
+) -> StreamingQuery:
+    """The whole ranking after every trigger, in complete mode.
+
+    Each trigger writes all users, so this is for dashboards of bounded rooms;
+    ``read_ranking`` gives the same from the users that a trigger changed.
+    """
+    metric = metrics.toxic_user_ranking if ranked is schemas.TOXIC_USERS else metrics.user_ranking
+    return _start_keyed(
+        metric(flagged), keyed(f"{tables}/ranking", ranked), f"{checkpoints}/ranking-{ranked.name}", "complete", trigger
+    )
+
+
+def read_ranking_table(
+    spark: SparkSession, tables: str, ranked: schemas.ResultTable = schemas.USER_ACTIVITY
+) -> DataFrame:
+    """The last trigger's ranking, best first."""
+    stored = keyed(f"{tables}/ranking", ranked)
+    rows = stored.newest_epoch(spark, stored.last_generation(spark))
+    return activity.rank_by(rows, ranked.values[0].name, ranked.key.name)
+
+
+def state_rows(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """``window_start, window_end`` and the counts of the windows still held by a window query.
+
+    Reads the state as of the last trigger, from the checkpoint of a query that
+    ``start_window_table`` started, be it stopped or running.
+    """
+    state = spark.read.format("statestore").load(f"{checkpoint}/windows")
+    # The state's own names repeat; its fields stand in the order of the counts.
+    counts = T.StructType([T.StructField(f.name, T.LongType()) for f in schemas.WINDOW_COUNTS.values])
+    window = F.col("key").cast("struct<window:struct<start:timestamp,end:timestamp>>")["window"]
+    return state.select(
+        window["start"].alias("window_start"), window["end"].alias("window_end"), F.col("value").cast(counts).alias("value")
+    ).select("window_start", "window_end", "value.*")
+
+
 def untimed_folder(tables: str) -> str:
     return f"{tables}/untimed"
 
@@ -245,6 +287,7 @@ def _arguments(arguments: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--watermark", default=metrics.WATERMARK, help="how late a message may be")
     parser.add_argument("--every", help="trigger interval, such as '5 seconds'")
     parser.add_argument("--available-now", action="store_true")
+    parser.add_argument("--stall-seconds", type=float, help="end if a query reports nothing for so long")
     given = parser.parse_args(arguments)
     if bool(given.topic_folder) == bool(given.servers and given.topic):
         parser.error("give --topic-folder, or --servers and --topic")
@@ -300,7 +343,7 @@ def main(arguments: list[str] | None = None) -> None:
     if given.available_now:
         finish(*queries)
     else:
-        supervise(spark, queries)
+        supervise(spark, queries, given.stall_seconds)
     late = sum(map(late_rows, queries))
     if late:
         print(f"{late} rows came after the watermark and are in no window; widen --watermark")

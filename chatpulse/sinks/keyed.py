@@ -173,12 +173,3 @@ class KeyedTable:
             for old in done[:-1]:
                 folders.remove(spark, f"{self.path}/folded={old[0]}-{old[1]}")
         return generation, epoch
-
-
-def write_snapshot(rows: DataFrame, path: str, table: ResultTable) -> None:
-    """Replaces the whole table, so keys that dropped out of a top list disappear."""
-    table.conform(rows).write.mode("overwrite").parquet(path)
-
-
-def read_snapshot(spark: SparkSession, path: str, table: ResultTable) -> DataFrame:
-    return spark.read.schema(table.schema).parquet(path)

@@ -11,6 +11,8 @@ from pyspark.sql.streaming import (
     StreamingQueryException,
 )
 
+from chatpulse.streaming.watch import Seen, StalledQuery, Watch
+
 
 def start(
     writer: DataStreamWriter,
@@ -52,23 +54,40 @@ def late_rows(query: StreamingQuery) -> int:
     )
 
 
-def supervise(spark: SparkSession, queries: Sequence[StreamingQuery]) -> None:
+def supervise(
+    spark: SparkSession,
+    queries: Sequence[StreamingQuery],
+    stall_seconds: float | None = None,
+) -> Watch:
     """Waits until any query ends, stops the rest, and raises if one failed.
 
     A speed layer with one dead query would go on showing stale numbers, so the
-    job ends as a whole and the scheduler that started it can restart it.
+    job ends as a whole and the scheduler that started it can restart it. So it does
+    if a query is silent for ``stall_seconds``, which must be longer than a trigger
+    may take. Returns what the queries reported.
     """
-    try:
-        while all(query.isActive for query in queries):
-            try:
-                spark.streams.awaitAnyTermination()
-            except StreamingQueryException:
-                # Ours is raised below; the session may run queries of others.
-                pass
-            spark.streams.resetTerminated()
-    finally:
-        for query in queries:
-            query.stop()
+    own = {str(query.runId) for query in queries}
+    with Watch().attach(spark) as watch:
+        stalled: list[Seen] = []
+        watch.expect(queries)
+        try:
+            while all(query.isActive for query in queries) and not stalled:
+                try:
+                    if stall_seconds is None:
+                        spark.streams.awaitAnyTermination()
+                    else:
+                        spark.streams.awaitAnyTermination(max(1, int(stall_seconds / 2)))
+                        stalled = [s for run, s in watch.stalled(stall_seconds).items() if run in own]
+                except StreamingQueryException:
+                    # Ours is raised below; the session may run queries of others.
+                    pass
+                spark.streams.resetTerminated()
+        finally:
+            for query in queries:
+                query.stop()
     for query in queries:
         if query.exception() is not None:
             raise query.exception()
+    if stalled:
+        raise StalledQuery(f"no report for {stall_seconds} s: {', '.join(s.name for s in stalled)}")
+    return watch

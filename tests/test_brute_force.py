@@ -56,16 +56,22 @@ def test_line_parse(spark):
     strings = random_strings(3) + [f":{s}!x PRIVMSG #r :{s}" for s in random_strings(4, 1000)]
     strings += [f"{s}\r\n" for s in strings]
     frame = frame_of(spark, strings, "chunk")
-    got = sorted(tuple(r) for r in ingest.parse_chat_lines(ingest.chat_lines(frame)).collect())
+    # Every other chunk is known to begin a line; the first piece of the rest is cut.
+    frame = frame.withColumn("begins", F.col("id") % 2 == 0)
+    judged = ingest.judged_pieces(frame, begins="begins").cache()
+    got = sorted(tuple(r) for r in ingest.messages_of(judged).collect())
     want, cut = [], []
-    for chunk in strings:
+    for at, chunk in enumerate(strings):
         *lines, last = chunk.split("\r\n")
-        if lines and not lines[0].startswith((":", "PING")):
+        if lines and at % 2:
             cut.append(lines.pop(0))
         cut.append(last)
         want += [parsed(line) for line in lines if not line.startswith("PING")]
     assert got == sorted(p for p in want if p)
-    assert sorted(r.line for r in ingest.cut_lines(frame).collect()) == sorted(c for c in cut if c)
+    aside = ingest.set_aside(judged)
+    assert sorted(r.line for r in aside.filter("kind = 'cut'").collect()) == sorted(c for c in cut if c)
+    pieces = sum(1 for chunk in strings for piece in chunk.split("\r\n") if piece)
+    assert len(got) + aside.count() == judged.count() == pieces
 
 
 def test_payload_round_trip(spark):

@@ -1,6 +1,8 @@
 """The metric streams over file topics: equal to batch, late rows, restarts, failures."""
 
 import random
+import threading
+import time
 from pathlib import Path
 
 import pytest
@@ -13,8 +15,9 @@ from chatpulse.plans import batch_layer, speed_layer
 from chatpulse.sinks import connectors
 from chatpulse.sinks.connectors import connector_writer
 from chatpulse.sources import archive, topics
-from chatpulse.streaming import metrics
+from chatpulse.streaming import late, metrics
 from chatpulse.streaming.run import finish, late_rows, supervise
+from chatpulse.streaming.watch import StalledQuery, Watch
 from helpers import add_file, at, chat, counted, rows
 
 
@@ -340,3 +343,157 @@ def test_late_rows_are_told_from_the_command_line(folder, topic, capsys):
         ["tables", *common, "--checkpoints", f"{folder}/c2", "--tables", f"{folder}/t2", "--watermark", "1 hour"]
     )
     assert "watermark" not in capsys.readouterr().out
+
+
+def test_late_messages_are_kept_and_the_rest_counted_as_the_state_counts_them(spark, topic):
+    """Triggers out of time order: windows as of the stateful query, and every late message as a row."""
+    rng = random.Random(4)
+    messages = [(rng.choice("abc"), rng.choice(["x", "idiot", None]), rng.randrange(300)) for _ in range(240)]
+    messages += [("a", "same", 5)] * 4 + [("b", "never", None)]
+    rng.shuffle(messages)
+    for start in range(0, len(messages), 35):
+        topic.add(*messages[start : start + 35])
+    topic.run()
+    path = f"{topic.root}/split"
+    flagged = metrics.flagged_messages(topic.stream(), time_source="event")
+    finish(late.start_split(flagged, path, f"{path}-c", available_now=True))
+    counts = late.read_counted(spark, path)
+    assert counted(counts) == topic.windows()
+    came_late = late.read_late(spark, path)
+    total = counts.agg(F.sum("total_messages")).first()[0]
+    assert came_late.count() > 20
+    assert total + came_late.count() == len(messages) - 1
+    # The counted and the late together are all that was published.
+    every = counted(activity.window_counts(activity.flag_toxic(chat(spark, *messages).filter("timestamp IS NOT NULL"))))
+    again = counted(
+        activity.window_counts(came_late).unionByName(counts)
+        .groupBy("window_start").agg(F.sum("total_messages"), F.sum("total_toxic_messages"))
+    )
+    assert again == every
+
+
+def test_a_split_trigger_that_runs_again_replaces_what_it_wrote(spark, topic):
+    topic.add(("a", "x", 60))
+    topic.add(("a", "x", 90))
+    topic.add(("a", "late", 5), ("b", "x", 95))
+    path = f"{topic.root}/split"
+
+    def run():
+        flagged = metrics.flagged_messages(topic.stream(), time_source="event")
+        finish(late.start_split(flagged, path, f"{path}-c", available_now=True))
+
+    run()
+    before = counted(late.read_counted(spark, path)), rows(late.read_late(spark, path).drop("timestamp"))
+    assert before[1] == [("a", "late", False, 2)]
+    for commit in Path(f"{path}-c/commits").glob("*2*"):
+        commit.unlink()
+    run()
+    assert (counted(late.read_counted(spark, path)), rows(late.read_late(spark, path).drop("timestamp"))) == before
+
+
+def test_state_rows_are_the_windows_that_are_held(spark, topic):
+    topic.add(("a", "idiot", 5), ("a", "x", 6))
+    topic.add(("a", "x", 60), ("b", "x", 61))
+    topic.add(("a", "x", 75))
+    topic.run()
+    held = speed_layer.state_rows(spark, f"{topic.root}/c")
+    assert held.columns == ["window_start", "window_end", "total_messages", "total_toxic_messages"]
+    assert counted(held.drop("window_end")) == {at(60): (2, 0), at(70): (1, 0)}
+    assert counted(held.select("window_start", F.col("window_end").cast("string"))) == {at(60): at(70), at(70): at(80)}
+
+
+def test_complete_mode_keeps_the_last_trigger_s_ranking(spark, topic):
+    topic.add(("a", "idiot", 5), ("a", "x", 6), ("b", "x", 7))
+    topic.add(("b", "idiot", 8), ("b", "noob", 9), ("c", "x", 1))
+    flagged = metrics.flagged_messages(topic.stream(), time_source="event")
+    for ranked in (schemas.USER_ACTIVITY, schemas.TOXIC_USERS):
+        finish(speed_layer.start_ranking_table(flagged, topic.tables, f"{topic.root}/r", ranked, available_now=True))
+    shown = [tuple(r) for r in speed_layer.read_ranking_table(spark, topic.tables).collect()]
+    assert shown == [("b", 3), ("a", 2), ("c", 1)]
+    toxic = speed_layer.read_ranking_table(spark, topic.tables, schemas.TOXIC_USERS).collect()
+    assert [tuple(r) for r in toxic] == [("b", 2), ("a", 1)]
+    stored = speed_layer.keyed(f"{topic.tables}/ranking", schemas.USER_ACTIVITY)
+    # Every trigger wrote all users it knew of; their order is that of reading.
+    written = [rows(stored.at(spark, 1, epoch)) for epoch in (0, 1)]
+    assert written == [[("a", 2), ("b", 1)], sorted(shown)]
+
+
+def test_conversion_reads_new_archive_files_only(spark, folder):
+    source, history = f"{folder}/archive", f"{folder}/history"
+
+    def add(*messages, extra=()):
+        frame = chat(spark, *messages)
+        archive.write_archive(frame.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss")), source)
+        if extra:
+            spark.createDataFrame([(x,) for x in extra], "value string").write.mode("append").text(source)
+
+    def convert():
+        query = archive.start_conversion(spark, source, history, f"{folder}/c")
+        finish(query)
+        return sum(p.numInputRows for p in query.recentProgress)
+
+    add(("a", "x", 1), ("b", None, 2), extra=["no json", " "])
+    assert convert() == 4
+    add(("c", "y", 3))
+    assert convert() == 1
+    assert convert() == 0
+    assert sorted(r.user for r in archive.read_history(spark, history).collect()) == ["a", "b", "c"]
+    assert rows(archive.read_rejected(spark, history)) == [("no json",)]
+    # As the conversion of all of it at once.
+    archive.convert_archive(spark, source, f"{folder}/whole")
+    assert rows(archive.read_history(spark, history)) == rows(archive.read_history(spark, f"{folder}/whole"))
+
+
+def test_watch_tells_progress_silence_and_failure(spark, topic):
+    topic.add(("a", "idiot", 60), ("a", "x", 61))
+    topic.add(("b", "x", 62))
+    now = [0.0]
+    with Watch(clock=lambda: now[0]).attach(spark) as watch:
+        good = metrics.start_console(
+            metrics.window_counts(metrics.flagged_messages(topic.stream(), time_source="event")),
+            f"{topic.root}/good", available_now=True,
+        )
+        finish(good)
+
+        def fails(batch, epoch):
+            raise RuntimeError("no space left")
+
+        bad = metrics.start_to(topic.stream(), fails, f"{topic.root}/bad", "append", available_now=True)
+        with pytest.raises(StreamingQueryException):
+            finish(bad)
+        wait = threading.Event()
+        held = metrics.start_to(topic.stream(), lambda batch, epoch: wait.wait(60), f"{topic.root}/held", "append", available_now=True)
+        try:
+            until(lambda: str(held.runId) in watch.seen() and len(watch.failures()) == 1)
+            seen = watch.seen()[str(good.runId)]
+            until(lambda: watch.seen()[str(good.runId)].is_over)
+            assert (seen.rows, seen.triggers >= 2, seen.failure) == (3, True, None)
+            assert "no space left" in watch.failures()[0].failure
+            assert watch.stalled(5) == {}
+            now[0] = 10.0
+            assert set(watch.stalled(5)) == {str(held.runId)}
+        finally:
+            wait.set()
+            held.stop()
+        assert watch.report().count("\n") == 2
+
+
+def until(holds, seconds=30):
+    end = time.monotonic() + seconds
+    while not holds():
+        assert time.monotonic() < end
+        time.sleep(0.05)
+
+
+def test_supervise_ends_a_job_of_which_a_query_hangs(spark, topic):
+    topic.add(("a", "x", 1))
+    wait = threading.Event()
+    held = metrics.start_to(topic.stream(), lambda batch, epoch: wait.wait(60), f"{topic.root}/held", "append")
+    idle = metrics.start_to(topic.stream(), lambda batch, epoch: None, f"{topic.root}/idle", "append")
+    try:
+        with pytest.raises(StalledQuery, match=str(held.id)):
+            threading.Timer(12, wait.set).start()
+            supervise(spark, [held, idle], stall_seconds=4)
+    finally:
+        wait.set()
+    assert not held.isActive and not idle.isActive

@@ -2,6 +2,8 @@
 
 from pathlib import Path
 
+import uuid
+
 import pytest
 
 from chatpulse import schemas
@@ -9,7 +11,8 @@ from chatpulse.operators.ingest import iso_text
 from chatpulse.plans import batch_layer
 from chatpulse.sinks import connectors
 from chatpulse.sinks.connectors import cassandra_options, connector_writer, split_writer
-from chatpulse.sinks.keyed import KeyedTable, read_snapshot, write_snapshot
+from chatpulse.sinks import declared
+from chatpulse.sinks.keyed import KeyedTable
 from chatpulse.sinks.logs import append_metrics, read_metrics
 from chatpulse.settings import remove_work_folders, shared_root, work_folder
 from chatpulse.sources import archive
@@ -128,11 +131,66 @@ def test_view_is_a_hash_aggregate(spark, table):
     assert "HashAggregate" in plan and "SortAggregate" not in plan
 
 
-def test_snapshot_drops_keys_that_left(spark, folder):
-    for words in ([("a", 2), ("b", 1)], [("c", 5)]):
-        frame = spark.createDataFrame(words, "word string, count bigint")
-        write_snapshot(frame, f"{folder}/w", schemas.TOP_WORDS)
-    assert counted(read_snapshot(spark, f"{folder}/w", schemas.TOP_WORDS)) == {"c": 5}
+def test_top_words_are_those_of_the_last_whole_run(spark, folder):
+    """Words that left the list are gone; a run that dies on its way leaves the list of the one before."""
+    tables = f"{folder}/tables"
+    assert batch_layer.current_words(spark, tables).collect() == []
+    for run, text in enumerate(("a a b", "c c c")):
+        batch_layer.write_results(chat(spark, ("u", text, 1)), tables, run)
+        assert counted(batch_layer.current_words(spark, tables)) == [{"a": 2, "b": 1}, {"c": 3}][run]
+    batch_layer.result_table(tables, schemas.TOP_WORDS).put(
+        spark.createDataFrame([("d", 9)], schemas.TOP_WORDS.schema), batch_layer.GENERATION, 2
+    )
+    assert counted(batch_layer.current_words(spark, tables)) == {"c": 3}
+
+
+@pytest.fixture
+def database(spark):
+    name = f"chat_{uuid.uuid4().hex}"
+    yield name
+    spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
+def test_declared_tables_are_created_once_and_read_by_name(spark, folder, database):
+    for _ in range(2):
+        declared.declare(spark, database, schemas.USER_ACTIVITY, folder)
+        declared.replace(spark, database, schemas.USER_ACTIVITY, users(spark, a=1, b=2))
+    assert counted(spark.table(f"{database}.user_activity")) == {"a": 1, "b": 2}
+    declared.replace(spark, database, schemas.USER_ACTIVITY, users(spark, c=3))
+    assert counted(declared.read(spark, database, schemas.USER_ACTIVITY)) == {"c": 3}
+    assert declared.read(spark, database, schemas.USER_ACTIVITY).schema == schemas.USER_ACTIVITY.schema
+
+
+def test_a_table_of_another_form_is_refused(spark, folder, database):
+    declared.declare(spark, database, schemas.USER_ACTIVITY.narrowed(), folder)
+    for use in (
+        lambda: declared.declare(spark, database, schemas.USER_ACTIVITY, folder),
+        lambda: declared.replace(spark, database, schemas.USER_ACTIVITY, users(spark, a=1)),
+    ):
+        with pytest.raises(declared.WrongTable):
+            use()
+    spark.sql(f"CREATE TABLE {database}.toxic_users (user string, nb_toxic_messages bigint) USING parquet LOCATION '{folder}/x'")
+    with pytest.raises(declared.WrongTable):
+        declared.declare(spark, database, schemas.TOXIC_USERS)
+
+
+@pytest.mark.parametrize("data", [[("a", 1), ("a", 2)], [(None, 1)]])
+def test_a_declared_key_stands_once(spark, folder, database, data):
+    declared.declare(spark, database, schemas.USER_ACTIVITY, folder)
+    with pytest.raises(ValueError, match="key"):
+        declared.replace(spark, database, schemas.USER_ACTIVITY, spark.createDataFrame(data, schemas.USER_ACTIVITY.schema))
+    assert declared.read(spark, database, schemas.USER_ACTIVITY).count() == 0
+
+
+def test_declarations_for_an_outside_store():
+    text = declared.store_declarations("chat", [schemas.WINDOW_ACTIVITY, schemas.GLOBAL_STATS], replication=3)
+    assert text.startswith("CREATE KEYSPACE IF NOT EXISTS chat WITH replication = {'class': 'SimpleStrategy', 'replication_factor': 3};")
+    assert """CREATE TABLE IF NOT EXISTS chat.window_activity (
+  "window_start" timestamp,
+  "total_messages" int,
+  PRIMARY KEY ("window_start")
+);""" in text
+    assert '"value" double' in text and text.count(";") == 3
 
 
 def test_metric_log_appends_runs_and_repeats_safely(spark, folder):
@@ -186,8 +244,7 @@ def test_batch_job(spark, folder, capfd):
     write_archive(spark, source, [("c", "hi you", 9)])
     batch_layer.run_batch(spark, source, history, tables, word_rank=2, preview=True)
     assert counted(batch_layer.current_users(spark, tables)) == {"a": 2, "b": 1, "c": 1}
-    top = read_snapshot(spark, f"{tables}/top_words", schemas.TOP_WORDS)
-    assert counted(top) == {"hi": 3, "there": 1}
+    assert counted(batch_layer.current_words(spark, tables)) == {"hi": 3, "there": 1}
     totals = batch_layer.result_table(tables, schemas.GLOBAL_STATS)
     assert counted(totals.latest(spark)) == {
         "total_messages": 4.0, "average_messages_per_user": 4 / 3,
