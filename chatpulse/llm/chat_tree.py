@@ -16,11 +16,13 @@ from chatpulse.llm.common import column, frozen
 from chatpulse.llm.packing import Encoder
 
 ASSISTANT = "assistant"
-#: Without effect: tokens are counted through by sorted partitions, no longer by blocks of leaves.
-BLOCK_LEAVES = 4096
+#: Tokens of a stretch of a tree's sequence, by which intervals find the nodes they touch.
+STRETCH = 256
+#: Turns' heads that a task remembers the tokens of.
+_HEADS = 1000
 _ESCAPED = re.compile(r"[\\<#]")
 _ESCAPES = re.compile(r"\\(.)", re.S)
-_TURN = re.compile(r"### ((?:[^\\\n]|\\.)*)\n((?:[^\\<]|\\.)*)</turn>\n", re.S)
+_TURN = re.compile(r"### ([^\\\n]*(?:\\.[^\\\n]*)*)\n([^\\<]*(?:\\.[^\\<]*)*)</turn>\n", re.S)
 
 
 def escaped(text: str) -> str:
@@ -63,7 +65,12 @@ class Codec:
     def decode(self, ids: list[int]) -> str:
         if self.encoder is None:
             return "".join(map(chr, ids))
-        return self.encoder.fast.decode_bytes(ids).decode("utf-8")
+        return self.decode_bytes(ids).decode("utf-8")
+
+    def decode_bytes(self, ids: list[int]) -> bytes:
+        if self.encoder is None:
+            return self.decode(ids).encode("utf-8", "surrogatepass")
+        return self.encoder.fast.decode_bytes(ids)
 
 
 @dataclass(frozen=True)
@@ -206,12 +213,18 @@ def _segments(turns: DataFrame, codec: tuple[str | None, bytes | None]) -> DataF
     shared = turns.sparkSession.sparkContext.broadcast(codec)
 
     def run(batches):
-        own = None
+        own, marks = None, {}
         for batch in batches:
             own = own or Codec(*shared.value)
             columns: tuple[list, ...] = ([], [], [], [])
             for role, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                head, body, end = map(own.encode, turn_parts(role, text))
+                parts = turn_parts(role, text)
+                for mark in (parts[0], parts[2]):
+                    if mark not in marks:
+                        if len(marks) >= _HEADS:
+                            marks.clear()
+                        marks[mark] = own.encode(mark)
+                head, body, end = marks.get(parts[0]) or own.encode(parts[0]), own.encode(parts[1]), marks[parts[2]]
                 seen = len(body) if role == ASSISTANT else 0
                 for values, value in zip(columns, (head + body + end, len(head) + len(body) + len(end), len(head), len(head) + seen)):
                     values.append(value)
@@ -344,25 +357,63 @@ def format_chats(
     segments = frozen(_segments(turns, codec), "chat-segments")
     placed = frozen(_placed(steps, segments), "chat-nodes")
     attending = _attending(steps, placed)
+    # Ids last: nothing before moves more than a row of numbers a node.
     nodes = attending.join(placed.select("node_id", "depth", "turn_hash"), "node_id").join(segments, "turn_hash")
     on_leaf = steps.select("leaf_id", "depth", "node_id")
     columns = "tree_id node_id parent_id depth start length position attends ids loss_start loss_end".split()
-    return ChatForest(nodes.select(*columns), on_leaf, members.drop("conv"), codec)
+    return ChatForest(frozen(nodes.select(*columns), "chat-forest"), on_leaf, members.drop("conv"), codec)
+
+
+def _stretches(begin: Column, end: Column) -> Column:
+    return F.sequence(F.floor(begin / STRETCH), F.floor((end - 1) / STRETCH))
+
+
+def attended(forest: ChatForest) -> DataFrame:
+    """``leaf_id, place, node_id, begin, end``: the tokens that the last token of each conversation sees.
+
+    Those are the ones of its leaf's intervals and of the leaf up to its end. ``place`` is
+    their place in the tree's sequence, ``begin`` to ``end`` theirs in the node that
+    has them. Intervals and nodes meet by the stretches of the sequence that both
+    touch, so neither a tree nor a conversation is one group.
+    """
+    node = forest.nodes.select("tree_id", "node_id", "start", "length", "attends")
+    leaves = forest.members.select(F.col("leaf_id").alias("node_id")).distinct()
+    own = F.array(F.struct("start", (F.col("start") + F.col("length")).alias("end")))
+    seen = node.join(leaves, "node_id").select(
+        "tree_id", F.col("node_id").alias("leaf_id"), F.explode(F.concat("attends", own)).alias("s")
+    )
+    seen = seen.select("tree_id", "leaf_id", F.col("s.start").alias("from"), F.col("s.end").alias("to"))
+    seen = seen.filter(F.col("from") < F.col("to")).withColumn("stretch", F.explode(_stretches(F.col("from"), F.col("to"))))
+    there = node.select("tree_id", "node_id", "start", (F.col("start") + F.col("length")).alias("stop"))
+    there = there.withColumn("stretch", F.explode(_stretches(F.col("start"), F.col("stop"))))
+    met = seen.join(there, ["tree_id", "stretch"])
+    place, stop = F.greatest("from", "start"), F.least("to", "stop")
+    # What meets in several stretches counts in the first.
+    met = met.filter((place < stop) & (F.col("stretch") == F.floor(place / STRETCH)))
+    return met.select(
+        "leaf_id", place.alias("place"), "node_id", (place - F.col("start")).alias("begin"), (stop - F.col("start")).alias("end")
+    )
 
 
 def digests(forest: ChatForest) -> DataFrame:
-    """What the forest's tokens say of every conversation, read back from them.
+    """What the forest's tokens say of every conversation, read back through its attention intervals.
 
     ``conv_id, n_turns, turns_sha256, loss_chars, loss_sha256,
-    formatted_chars``. Each different conversation is read once: its nodes stream
-    past in order, are decoded, parsed and unescaped, and only digests are held.
+    formatted_chars``. Each different conversation is read once: the tokens that
+    its last one attends to stream past in the order of their places, are decoded,
+    parsed and unescaped, and only digests are held.
     """
     spark = forest.nodes.sparkSession
     shared = spark.sparkContext.broadcast(forest.codec)
     node = forest.nodes.select("node_id", "ids", "loss_start", "loss_end")
-    rows = forest.paths.join(node, "node_id").select("leaf_id", "depth", "ids", "loss_start", "loss_end")
+    whole = (F.col("begin") == 0) & (F.col("end") == F.size("ids"))
+    size = (F.col("end") - F.col("begin")).cast("int")
+    ids = F.when(whole, F.col("ids")).otherwise(F.slice("ids", (F.col("begin") + 1).cast("int"), size))
+    masked = (F.greatest(F.col(edge) - F.col("begin"), F.lit(0)) for edge in ("loss_start", "loss_end"))
+    rows = attended(forest).join(node, "node_id").select("leaf_id", "place", ids.alias("ids"), *masked)
+    rows = rows.toDF("leaf_id", "place", "ids", "loss_start", "loss_end")
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartition(width, "leaf_id").sortWithinPartitions("leaf_id", "depth")
+    ordered = rows.repartition(width, "leaf_id").sortWithinPartitions("leaf_id", "place")
     names = ["leaf_id", "turns_read", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
 
     def run(batches):
@@ -379,14 +430,17 @@ def digests(forest: ChatForest) -> DataFrame:
                     if leaf is not None:
                         ended.append((leaf, count, turns.hexdigest(), seen, loss.hexdigest(), size))
                     leaf, count, seen, size, turns, loss = own, 0, 0, 0, hashlib.sha256(), hashlib.sha256()
-                formatted = codec.decode(ids)
+                # The mask's borders are token borders, so the parts make up the whole.
+                before, inside, after = map(codec.decode_bytes, (ids[:begin], ids[begin:end], ids[end:]))
+                formatted = (before + inside + after).decode("utf-8", "surrogatepass")
                 size += len(formatted)
                 for role, text in read_turns(formatted):
                     count += 1
                     turns.update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
-                masked = unescaped(codec.decode(ids[begin:end]))
-                seen += len(masked)
-                loss.update(masked.encode("utf-8", "surrogatepass"))
+                if inside:
+                    masked = unescaped(inside.decode("utf-8", "surrogatepass"))
+                    seen += len(masked)
+                    loss.update(masked.encode("utf-8", "surrogatepass"))
             if ended:
                 yield made(ended)
         if leaf is not None:

@@ -85,23 +85,27 @@ _SPARE = 8
 
 
 def drawn(rows: DataFrame, group: str, by: list[str], limit: int) -> DataFrame:
-    """Up to ``limit`` rows of each group, those with the least hash of ``by``.
-
-    A count by group says which share of its rows to look at, so that about
-    eight times the limit reach the ranking, however many rows and tasks there
-    are and whatever part of them one group has. Groups of fewer rows are ranked
-    whole, so the table of shares has a row for the larger ones only. Every group
-    is drawn from, however many there are; null groups are left out.
+    """Up to ``limit`` different rows of each group, those with the least hash of ``by``.
+
+    Rows that are equal in ``by`` are one row, so the sample of a table is that of the
+    table with every row repeated. The number of different rows of a group, as a
+    sketch counts them, says which share of the hashes to look at: about eight times
+    the limit reach the ranking, hashes alone, whatever part of the rows one group or
+    one repeated row has. Every group is drawn from, however many there are; null
+    groups are left out.
     """
-    draw = F.pmod(F.xxhash64(*by), F.lit(1 << 31))
-    known = rows.filter(F.col(group).isNotNull())
-    counts = known.groupBy(group).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > _SPARE * limit)
-    share = F.expr(f"{(1 << 31) * _SPARE * limit} div n").alias("__cut")
+    known = rows.filter(F.col(group).isNotNull()).withColumn("__draw", F.xxhash64(*by))
+    counts = known.groupBy(group).agg(F.approx_count_distinct("__draw").alias("n")).filter(F.col("n") > _SPARE * limit)
+    # The share of all 64-bit hashes, counted from the least.
+    share = (F.lit(float(_SPARE * limit)) / F.col("n") * 2.0**64 - 2.0**63).cast("bigint").alias("__cut")
     cuts = frozen(counts.select(group, share), "sample-shares")
-    nth = F.row_number().over(Window.partitionBy(group).orderBy("__draw", *by))
-    some = looked_up(known.withColumn("__draw", draw), cuts, group)
-    some = some.filter(F.col("__cut").isNull() | (F.col("__draw") < F.col("__cut")))
-    return some.withColumn("__nth", nth).filter(F.col("__nth") <= limit).select(*rows.columns)
+    some = looked_up(known.select(group, "__draw"), cuts, group)
+    some = some.filter(F.col("__cut").isNull() | (F.col("__draw") < F.col("__cut"))).select(group, "__draw").distinct()
+    nth = F.row_number().over(Window.partitionBy(group).orderBy("__draw"))
+    some = frozen(some.withColumn("__nth", nth).filter(F.col("__nth") <= limit).drop("__nth"), "sample-draws")
+    name = F.coalesce(F.octet_length(F.col(group).cast("string")), F.lit(0))
+    chosen = known.join(measured(some, name + 8), [group, "__draw"], "left_semi")
+    return chosen.dropDuplicates([group, "__draw"]).select(*rows.columns)
 
 
 _WORD = re.compile(r"\w+")

@@ -154,7 +154,8 @@ def contained_items(
     held by nothing, null ones too. The items are the stated query set: they go
     to the tasks in blocks, each a pass over the documents, which are not
     shuffled. Null ids and repeated documents stay, repeated items count once,
-    other columns are ignored, empty tables give no rows.
+    other columns are ignored, empty tables give no rows. A very long text is read
+    whole, in windows.
     """
     picked = docs.select(column(docs, id_col).alias("doc_id"), column(docs, text_col).alias("text"))
     schema = picked.drop("text").schema.add("place", "integer").add("n_shingles", "long").add("shared", "long")

@@ -14,11 +14,12 @@ from pyspark.sql.types import StructType
 from chatpulse.llm.common import column, drawn, frozen, id_crc
 
 UNDETERMINED = "und"
-#: Bounds of the labelled sample: texts a language, characters of each, and
-#: characters of all languages together, which bound the automata. Every language
-#: gets an equal share of these, and ``LEAST_CHARS`` however many there are.
+#: Bounds of the labelled sample: texts a language, and characters of a language
+#: and of all together, which bound the automata. Every language gets an equal
+#: share of these, and ``LEAST_CHARS`` however many there are. Sampled texts are
+#: divided into passages of so many characters, any of which may be learned from.
 SAMPLE_TEXTS = 400
-SAMPLE_TEXT_CHARS = 512
+PASSAGE_CHARS = 512
 SAMPLE_CHARS = 40_000
 SAMPLE_CHARS_ALL = 400_000
 LEAST_CHARS = 64
@@ -41,6 +42,8 @@ _WIDTH = _FIRST_LEAD + LEADS
 #: Symbols of the longest letter, enough for every code point.
 _LONGEST = 4
 _NONE = 255
+#: Places at which a row is tried before the ones passed are left alone.
+_TRIES = 64
 
 
 def spellings(letters: int) -> np.ndarray:
@@ -89,21 +92,102 @@ def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
     return moves
 
 
+class Rows:
+    """Sparse rows of many automata, laid over one another.
+
+    ``target[base[state] + code]`` is the next state where ``owner`` of that place is
+    the state; a row's places are shared with others where neither needs them.
+    """
+
+    def __init__(self) -> None:
+        self.used = bytearray()
+        self.base: list[np.ndarray] = []
+        self.owner = np.full(0, -1, np.int32)
+        self.target = np.zeros(0, np.int32)
+        self.states = 0
+        #: The first place that may be free.
+        self.free = 0
+
+    def _grown(self, size: int) -> None:
+        if size > len(self.used):
+            more = max(size, 2 * len(self.used)) - len(self.used)
+            self.used.extend(bytes(more))
+            self.owner = np.append(self.owner, np.full(more, -1, np.int32))
+            self.target = np.append(self.target, np.zeros(more, np.int32))
+
+    def add(self, moves: list[dict[int, int]]) -> int:
+        """Lays an automaton's rows; the number of its first state."""
+        first, base = self.states, np.zeros(len(moves), np.int32)
+        self.states += len(moves)
+        lone = []
+        for state in sorted(range(len(moves)), key=lambda s: -len(moves[s])):
+            steps = moves[state]
+            if len(steps) < 2:
+                lone += [(state, code, target) for code, target in steps.items()]
+                continue
+            codes = sorted(steps)
+            at, tries = self.free, 0
+            while True:
+                self._grown(at + 1)
+                # The last place is never used, so one is found.
+                at = self.used.find(0, at)
+                self._grown(at + 2 * _WIDTH)
+                place = at - codes[0]
+                if place >= 0 and not any(self.used[place + c] for c in codes[1:]):
+                    break
+                # Crowded: what is free there is left to rows of one step.
+                tries, at = tries + 1, at + 1
+                if tries == _TRIES:
+                    self.free = max(self.free, at - _TRIES // 2)
+            base[state] = place
+            for code in codes:
+                self.used[place + code] = 1
+                self.owner[place + code] = first + state
+                self.target[place + code] = first + steps[code]
+        if lone:
+            states, codes, targets = np.array(lone, np.int64).T
+            taken = np.frombuffer(bytes(self.used), np.uint8)
+            places = np.flatnonzero(taken[_WIDTH:] == 0)[: len(lone)] + _WIDTH
+            if len(places) < len(lone):
+                begin = max(_WIDTH, len(taken))
+                places = np.append(places, np.arange(begin, begin + len(lone) - len(places)))
+                self._grown(int(places[-1]) + 1)
+            np.frombuffer(self.used, np.uint8)[places] = 1
+            base[states] = places - codes
+            self.owner[places], self.target[places] = first + states, first + targets
+        self.base.append(base)
+        return first
+
+    def laid(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``base, owner, target``, the last two a row wider than their last place."""
+        end = self.used.rfind(1) + 1 + _WIDTH
+        self._grown(end)
+        base = np.concatenate(self.base) if self.base else np.zeros(0, np.int32)
+        return base, self.owner[:end].copy(), self.target[:end].copy()
+
+
 @dataclass
 class LanguageModel:
-    """Automata of all languages in one array.
+    """Automata of all languages, their rows laid over one another (``Rows``).
 
-    ``steps[place + code]`` holds the next place doubled, plus one if the phrase
-    so far could not be prolonged by the character.
+    ``afresh[language, code]`` is the state after a character that begins a phrase.
     """
 
     languages: list[str]
     alphabet: np.ndarray
     spelled: np.ndarray
-    steps: np.ndarray
+    base: np.ndarray
+    owner: np.ndarray
+    target: np.ndarray
     starts: np.ndarray
+    afresh: np.ndarray
     phrase_bits: np.ndarray
 
+    @property
+    def nbytes(self) -> int:
+        """Bytes of the tables, which every worker has."""
+        return sum(value.nbytes for value in vars(self).values() if isinstance(value, np.ndarray))
+
     def normalised(self, text: str) -> list[np.ndarray]:
         """Symbols of lower-case letters, each run of anything else one space, in blocks of ``BLOCK`` letters."""
         blocks = []
@@ -126,17 +210,25 @@ class LanguageModel:
 
     def phrases(self, blocks: list[np.ndarray]) -> np.ndarray:
         """Phrases of each block (column) in each language (row), parsed side by side."""
-        deep = max(map(len, blocks))
+        # The longest first: those that go on are always the first lanes.
+        order = sorted(range(len(blocks)), key=lambda lane: -len(blocks[lane]))
+        sizes = np.array([len(blocks[lane]) for lane in order])
+        deep = int(sizes[0])
         codes = np.full((deep, len(blocks)), _PAD, np.int64)
-        for lane, block in enumerate(blocks):
-            codes[: len(block), lane] = block
-        places = np.repeat(self.starts[:, None], len(blocks), axis=1)
-        ended = np.ones_like(places)
-        for row in codes:
-            steps = self.steps[places + row]
-            ended += steps & 1
-            places = steps >> 1
-        return ended
+        for lane, block in enumerate(order):
+            codes[: len(blocks[block]), lane] = blocks[block]
+        going = np.searchsorted(-sizes, -np.arange(deep), side="left")
+        states = np.repeat(self.starts[:, None], len(blocks), axis=1)
+        ended = np.ones_like(states)
+        for row, lanes in zip(codes, going.tolist()):
+            at, code = states[:, :lanes], row[:lanes]
+            place = self.base[at] + code
+            ends = self.owner[place] != at
+            ended[:, :lanes] += ends
+            states[:, :lanes] = np.where(ends, self.afresh[:, code], self.target[place])
+        back = np.empty_like(ended)
+        back[:, order] = ended
+        return back
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """The language that needs the fewest phrase bits, and by what part fewer than the next."""
@@ -178,56 +270,52 @@ def train(samples: dict[str, list[str]]) -> LanguageModel:
     alphabet = np.array([_OTHER if chr(p).isalpha() else _SPACE for p in range(0x110000)], np.int32)
     alphabet[[ord(c) for c in letters]] = range(_FIRST_LETTER, _FIRST_LETTER + len(letters))
     spelled = spellings(len(letters))
-    model = LanguageModel([], alphabet, spelled, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-    width = _WIDTH if len(letters) > LETTERS else _FIRST_LETTER + len(letters)
-    # An automaton has at most twice as many states as its text has symbols.
-    most = 4 * width * _LONGEST * sum(map(len, joined.values()))
-    kind = np.int32 if most < 2**31 else np.int64
-    tables, starts, bits, offset = [], [], [], 0
+    none = np.zeros(0, np.int32)
+    model = LanguageModel([], alphabet, spelled, none, none, none, none, np.zeros((0, _WIDTH), np.int32), np.zeros(0))
+    rows, starts, afresh, bits = Rows(), [], [], []
     for lang, text in joined.items():
         codes = [int(c) for block in model.normalised(text) for c in block]
         if not codes:
             continue
         moves = suffix_automaton(codes)
-        afresh = np.array([2 * (offset + width * moves[0].get(c, 0)) + 1 for c in range(width)], kind)
-        table = np.tile(afresh, (len(moves), 1))
-        for state, steps in enumerate(moves):
-            table[state, _PAD] = 2 * (offset + width * state)
-            for code, target in steps.items():
-                table[state, code] = 2 * (offset + width * target)
+        first = rows.add(moves)
         model.languages.append(lang)
-        tables.append(table.ravel())
-        starts.append(offset)
+        starts.append(first)
+        # A character that the language never had begins a phrase that nothing prolongs.
+        afresh.append([first + moves[0].get(code, 0) for code in range(_WIDTH)])
         bits.append(math.log2(len(codes) + 1))
-        offset += table.size
-    if tables:
-        model.steps = np.concatenate(tables)
-    model.starts, model.phrase_bits = np.array(starts, np.int64), np.array(bits)
+    model.base, model.owner, model.target = rows.laid()
+    model.starts, model.phrase_bits = np.array(starts, np.int32), np.array(bits)
+    if afresh:
+        model.afresh = np.array(afresh, np.int32)
     return model
 
 
 def labelled_sample(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
 ) -> dict[str, list[str]]:
-    """Up to ``SAMPLE_TEXTS`` text openings of each language, chosen by a hash of the id.
+    """Passages of up to ``SAMPLE_TEXTS`` texts of each language, chosen by a hash.
 
-    Every language with a text is there, and null and empty texts take no place.
-    Of a language's openings come as many as fill its share of the characters.
+    Every language with a text is there, and null and empty texts take no place. Texts
+    are sampled whole; of all their passages, wherever in a text, come as many as
+    fill the language's share of the characters.
     """
     rows = docs.select(
-        column(docs, lang_col).alias("lang"),
-        F.substring(column(docs, text_col), 1, SAMPLE_TEXT_CHARS).alias("text"),
-        column(docs, id_col).alias("id"),
+        column(docs, lang_col).alias("lang"), column(docs, text_col).alias("text"), column(docs, id_col).alias("id")
     ).filter("text <> ''")
-    some = drawn(rows, "lang", ["id", "text"], SAMPLE_TEXTS)
-    openings = frozen(
-        some.groupBy("lang", "text").agg(F.min(F.xxhash64("id", "text")).alias("place")), "language-openings"
-    )
-    share = chars_each(openings.select("lang").distinct().count())
+    texts = drawn(rows, "lang", ["id", "text"], SAMPLE_TEXTS)
+    places = F.sequence(F.lit(0), F.floor((F.length("text") - 1) / PASSAGE_CHARS))
+    cut = texts.select("lang", "text", F.explode(places).alias("place"))
+    begin = (F.col("place") * PASSAGE_CHARS + 1).cast("int")
+    cut = cut.select("lang", F.substring("text", begin, F.lit(PASSAGE_CHARS)).alias("text"))
+    passages = frozen(cut.distinct().withColumn("place", F.xxhash64("lang", "text")), "language-passages")
+    share = chars_each(passages.select("lang").distinct().count())
+    # No passage beyond these many can be needed, so the window is bounded.
+    some = drawn(passages, "lang", ["place"], max(SAMPLE_TEXTS, 2 * share // PASSAGE_CHARS))
     before = Window.partitionBy("lang").orderBy("place", "text").rowsBetween(Window.unboundedPreceding, -1)
     filled = F.coalesce(F.sum(F.length("text") + 1).over(before), F.lit(0))
     samples: dict[str, list[str]] = {}
-    wanted = openings.withColumn("filled", filled).filter(F.col("filled") < share)
+    wanted = some.withColumn("filled", filled).filter(F.col("filled") < share)
     for row in wanted.orderBy("lang", "filled").select("lang", F.substring("text", 1, share).alias("text")).collect():
         samples.setdefault(row.lang, []).append(row.text)
     return samples
@@ -280,11 +368,21 @@ def identify(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return language_of(marked, learned(docs, id_col), extra=(id_col, "held_out"))
 
 
-def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows whose text has a letter, with all columns, also if no language was learned; nulls go."""
+def keep_identified(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
+) -> DataFrame:
+    """The rows whose text has a letter, with all columns; where the language is null, the predicted one.
+
+    Null texts and texts without a letter go. If no language was learned, nothing
+    is filled in.
+    """
     names = ("__language", "__language_score")
-    model = learned(docs, id_col, text_col)
+    model = learned(docs, id_col, text_col, lang_col)
     # A model of one language tells every text with a letter.
     known = model if model.languages else train({"any": ["a"]})
     told = language_of(docs, known, text_col, tuple(docs.columns), names)
-    return told.filter(F.col(names[0]) != UNDETERMINED).drop(*names)
+    kept = told.filter(F.col(names[0]) != UNDETERMINED)
+    if model.languages:
+        filled = F.coalesce(column(kept, lang_col), F.col(names[0]).cast(docs.schema[lang_col].dataType))
+        kept = kept.withColumn(lang_col, filled)
+    return kept.drop(*names)

@@ -7,7 +7,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from chatpulse.llm.common import SLICE_ROWS, column, frozen
+from chatpulse.llm.common import SLICE_ROWS, column, frozen, measured
 from chatpulse.llm.components import components
 
 SHINGLE_WORDS = 4
@@ -76,7 +76,7 @@ def _segments(fp: Column) -> tuple[Column, Column]:
 
 
 def table_slots(distinct: DataFrame) -> DataFrame:
-    """``fp, slot, n``: the slots each fingerprint takes in the segment tables.
+    """``fp, slot, n``: the slots each fingerprint takes in the segment tables, if others do as well.
 
     Two fingerprints at most four bits apart are at most two bits apart in one
     of their two 32-bit segments, and then share a slot if either goes to the
@@ -88,9 +88,10 @@ def table_slots(distinct: DataFrame) -> DataFrame:
         F.transform(masks, lambda m: low.bitwiseXOR(m)),
         F.transform(masks, lambda m: high.bitwiseXOR(m).bitwiseOR(F.lit(1 << 32))),
     )
-    return distinct.select("fp", F.explode(slots).alias("slot")).withColumn(
-        "n", F.count(F.lit(1)).over(Window.partitionBy("slot"))
-    )
+    taken = distinct.select("fp", F.explode(slots).alias("slot"))
+    # Counted before rows move: a slot that very many share is one row a task.
+    shared = taken.groupBy("slot").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    return taken.join(measured(frozen(shared, "simhash-shared"), F.lit(16)), "slot").select("fp", "slot", "n")
 
 
 def _slot_links(slots: DataFrame, max_bits: int) -> DataFrame:
@@ -133,7 +134,7 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, dense_slot: int = DENSE
     """Links ``a, b`` with the same components as all pairs at most ``max_bits`` apart."""
     if max_bits not in (2, 4):
         raise ValueError("two segments and common centres serve 2 or 4 differing bits")
-    slots = frozen(table_slots(distinct).filter("n > 1"), "simhash-slots")
+    slots = frozen(table_slots(distinct), "simhash-slots")
     found = _slot_links(slots.filter(F.col("n") <= dense_slot).drop("n"), max_bits)
     dense = slots.filter(F.col("n") > dense_slot).select("fp").distinct()
     if dense.isEmpty():
@@ -174,7 +175,8 @@ def near_duplicates(
     node, so groups of copies cost one row each. A null or empty text has
     fingerprint zero and links like any other; repeated rows stay; a null id
     gets the smallest id of its component, or null if that has none; other
-    columns are ignored; an empty table gives no rows.
+    columns are ignored; an empty table gives no rows. A very long text is hashed
+    in blocks of its shingles, its words in memory.
     """
     return grouped(docs, id_col, text_col, width, max_bits, dense_slot).select("doc_id", "fp", "component_id")
 

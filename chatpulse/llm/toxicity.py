@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from chatpulse.llm.common import SLICE_ROWS, column, drawn, id_crc
+from chatpulse.llm.common import SLICE_ROWS, column, drawn, frozen, id_crc
 
 #: Bound of the labelled sample: rows of each label.
 SAMPLE_ROWS = 6_000
@@ -156,13 +156,17 @@ def train(
 ) -> ToxicityModel:
     """A model of the labelled documents, of which a bounded sample is read.
 
-    Spark counts the features of the sample by label; those that move the odds
-    enough are kept. Only they and the sample's rows in them reach the driver.
+    An id stands for one text, that with the least hash of those it has, so the
+    sample has ``sample_rows`` rows of each label at most. It is written once, with whole
+    texts. Spark counts its features by label; those that move the odds enough are
+    kept. Only they and the sample's rows in them reach the driver.
     """
     chosen = labelled_sample(labels, id_col, label_col, sample_rows).withColumnRenamed("doc_id", "__id")
     rows = docs.select(column(docs, id_col).alias("__id"), column(docs, text_col).alias("text"))
     # At most twice sample_rows ids.
-    sample = rows.join(F.broadcast(chosen), "__id").select("label", "text")
+    found = rows.join(F.broadcast(chosen), "__id")
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least")
+    sample = frozen(found.groupBy("__id", "label").agg(least).select("label", "least.text"), "toxic-sample")
 
     def count(batches):
         seen: tuple[Counter, Counter] = (Counter(), Counter())

@@ -179,7 +179,8 @@ def judge(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id", url_
     The URLs that a rule decides are the labelled ones: the trees learn from
     them and decide the others. A null or malformed URL has an empty host and
     path, fits no rule and is judged by the trees on its features; repeated rows
-    and null ids stay, other columns are ignored, an empty table gives no rows.
+    and null ids stay, other columns are ignored, an empty table gives no rows. A
+    very long URL is looked at whole.
     """
     ruled = with_rules(pages, rules, id_col, url_col)
     model = train(ruled.filter(F.col("verdict").isNotNull()).drop("rule"))

@@ -7,8 +7,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from chatpulse.llm.common import SLICE_ROWS, column
 
@@ -123,43 +122,98 @@ def fingerprints(docs: DataFrame, text_col: str = "text", gram: int = GRAM, wind
     return picked.mapInArrow(run, out)
 
 
-def in_descending_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``bucket, ahead, doc_id, text``, where each bucket is a run of documents in descending id.
+#: Rows of one id, or of one text of it, from which on they may have buckets of their own.
+_HEAVY_ROWS = 64
+
+
+def _array(values: list[int], kind: str) -> Column:
+    return F.array(*map(F.lit, values)).cast(f"array<{kind}>")
 
-    Buckets are cut at quantiles of the id. The last row of a bucket has
-    ``ahead`` set: it is a copy of the document that follows the bucket (of the
-    very first one, after the last), so every bucket can be read on its own.
-    Nulls come last; equal ids go by text.
+
+def _bucketed(rows: DataFrame, buckets: int):
+    """A function that adds ``bucket`` to rows with ``doc_id`` and ``hash``.
+
+    Buckets are runs of the documents in descending id, nulls last, equal ids by the
+    hash of their text. They are cut at quantiles of the id. An id (or the rows
+    without one) that would fill a bucket is cut by the hash; rows with one id and
+    one text that would are dealt out, as they may follow each other in any order.
     """
-    spark = docs.sparkSession
-    rows = docs.select(column(docs, id_col).cast("bigint").alias("doc_id"), column(docs, text_col).alias("text"))
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = [i / buckets for i in range(1, buckets)]
-    cuts = rows.agg(F.percentile_approx("doc_id", parts, 100 * buckets)).first()[0] or [0]
-    splits = [float("-inf"), *sorted(set(map(float, cuts))), float("inf")]
-    cutter = Bucketizer(splits=splits, inputCol="as_double", outputCol="cut", handleInvalid="keep")
+    total, quantiles = rows.agg(F.count(F.lit(1)), F.percentile_approx("doc_id", parts, 100 * buckets)).first()
+    most = max(_HEAVY_ROWS, -(-total // buckets))
+    # Fewer than there are buckets, as each fills one.
+    heavy = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most).collect()
+    ids = [r.doc_id for r in heavy if r.doc_id is not None]
+    cuts = sorted({*(quantiles or []), *ids, *(i + 1 for i in ids if i < 2**63 - 1)})
+    run = lambda doc_id: len(cuts) + 1 if doc_id is None else len(cuts) - sum(c <= doc_id for c in cuts)
+    copies: dict[int, list[tuple[int, int]]] = {}
+    if heavy:
+        wanted = rows.sparkSession.createDataFrame([(r.doc_id,) for r in heavy], "heavy bigint")
+        of_heavy = rows.join(F.broadcast(wanted), F.col("doc_id").eqNullSafe(F.col("heavy")))
+        many = of_heavy.groupBy("doc_id", "hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most)
+        for r in many.collect():
+            copies.setdefault(run(r.doc_id), []).append((r.hash, r.n))
+    breaks, begins, deals = {}, {}, {}
+    for r in heavy:
+        own, dealt = run(r.doc_id), dict(copies.get(run(r.doc_id), []))
+        pieces = max(1, -(-3 * (r.n - sum(dealt.values())) // (2 * most)))
+        edges = {-(2**63) + k * 2**64 // pieces for k in range(1, pieces)} | dealt.keys() | {h + 1 for h in dealt if h < 2**63 - 1}
+        breaks[own] = sorted(edges)
+        lows = [-(2**63), *breaks[own]]
+        deals[own] = [max(1, -(-3 * dealt[h] // (2 * most))) if h in dealt else 1 for h in lows]
+        begins[own] = [0, *np.cumsum(deals[own]).tolist()]
+    firsts, first = [], 0
+    for number in range(len(cuts) + 2):
+        firsts.append(first)
+        first += begins[number][-1] if number in begins else 1
 
     def bucketed(some: DataFrame) -> DataFrame:
-        cut = cutter.transform(some.withColumn("as_double", F.col("doc_id").cast("double")))
-        # Descending, as the documents are; what has no id comes after all.
-        number = F.when(F.col("doc_id").isNull(), len(splits)).otherwise(len(splits) - 1 - F.col("cut"))
-        return cut.withColumn("bucket", number.cast("int")).drop("as_double", "cut")
-
-    heads = bucketed(rows.select("doc_id")).groupBy("bucket").agg(F.max("doc_id").alias("doc_id")).orderBy("bucket").collect()
-    follows = [(before.bucket, after.doc_id) for before, after in zip(heads, heads[1:] + heads[:1])]
-    wanted = spark.createDataFrame(follows, "bucket int, head bigint")
-    # At most one row a bucket, and the buckets are as many as given above.
-    ahead = (
-        rows.join(F.broadcast(wanted), F.col("doc_id").eqNullSafe(F.col("head")))
-        .groupBy("bucket", "doc_id")
-        .agg(F.min(F.struct(F.col("text").isNotNull().alias("full"), "text")).alias("least"))
-        .select("bucket", F.lit(True).alias("ahead"), "doc_id", F.col("least.text").alias("text"))
+        known = F.lit(len(cuts)) - F.size(F.filter(_array(cuts, "bigint"), lambda c: c <= F.col("doc_id")))
+        number = F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(known)
+        bucket = F.element_at(_array(firsts, "int"), (F.col("number") + 1).cast("int"))
+        for own in begins:
+            place = F.size(F.filter(_array(breaks[own], "bigint"), lambda e: e <= F.col("hash"))) + 1
+            deal = F.pmod(F.xxhash64("row"), F.element_at(_array(deals[own], "int"), place))
+            inside = F.element_at(_array(begins[own], "int"), place) + deal
+            bucket = F.when(F.col("number") == own, F.lit(firsts[own]) + inside).otherwise(bucket)
+        placed = some.withColumn("row", F.monotonically_increasing_id()).withColumn("number", number)
+        return placed.withColumn("bucket", bucket.cast("int")).drop("row", "number")
+
+    return bucketed
+
+
+def in_descending_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``bucket, ahead, doc_id, text``, where each bucket is a run of documents in descending id.
+
+    The last row of a bucket has ``ahead`` set: it is a copy of the document that
+    follows the bucket (of the very first one, after the last), so every bucket can
+    be read on its own. Nulls come last; equal ids go by a hash of the text. No
+    bucket has many more rows than the others, be it that an id, the null ids or
+    one repeated row have most of the table.
+    """
+    spark = docs.sparkSession
+    rows = docs.select(column(docs, id_col).cast("bigint").alias("doc_id"), F.coalesce(column(docs, text_col), F.lit("")).alias("text"))
+    rows = rows.withColumn("hash", F.xxhash64("text"))
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bucketed = _bucketed(rows, 4 * width)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), (-F.col("doc_id").cast("decimal(20)")).alias("down"), "hash", "doc_id"))
+    heads = bucketed(rows.drop("text")).groupBy("bucket").agg(first.alias("f")).select("bucket", "f.doc_id", "f.hash").orderBy("bucket").collect()
+    follows = [(before.bucket, after.doc_id, after.hash) for before, after in zip(heads, heads[1:] + heads[:1])]
+    wanted = spark.createDataFrame(follows, "bucket int, head bigint, head_hash bigint")
+    # At most one row a bucket, and the buckets are about as many as given above.
+    single = F.broadcast(wanted.select("head", "head_hash").distinct())
+    is_head = F.col("doc_id").eqNullSafe(F.col("head")) & (F.col("hash") == F.col("head_hash"))
+    texts = rows.join(single, is_head).groupBy("head", "head_hash").agg(F.min("text").alias("text"))
+    same = F.col("w.head").eqNullSafe(F.col("t.head")) & (F.col("w.head_hash") == F.col("t.head_hash"))
+    ahead = texts.alias("t").join(F.broadcast(wanted).alias("w"), same).select(
+        "w.bucket", F.lit(True).alias("ahead"), F.col("w.head").alias("doc_id"), "t.text", F.col("w.head_hash").alias("hash")
     )
-    own = bucketed(rows).select("bucket", F.lit(False).alias("ahead"), "doc_id", "text")
+    own = bucketed(rows).select("bucket", F.lit(False).alias("ahead"), "doc_id", "text", "hash")
     return (
         own.union(ahead)
-        .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "bucket")
-        .sortWithinPartitions("bucket", "ahead", F.desc_nulls_last("doc_id"), "text")
+        .repartition(width, "bucket")
+        .sortWithinPartitions("bucket", "ahead", F.desc_nulls_last("doc_id"), "hash")
+        .drop("hash")
     )
 
 
@@ -176,8 +230,9 @@ def edit_survey(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     near_edited, near_next``; the next document is the one after it in
     descending id, that of the last is the first. Documents stream through their
     buckets in order, two held at a time. Null texts count as empty; null ids
-    come last; repeated rows follow each other; other columns are ignored; an
-    empty table gives no rows, a single document follows itself.
+    come last; repeated rows follow each other, in as many buckets as they fill; other
+    columns are ignored; an empty table gives no rows, a single document follows
+    itself. A very long text is held whole, with the next one.
     """
     schema = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     kinds = pa.schema(

@@ -1,5 +1,6 @@
 """Chat trees: round trip, each shared turn once, depth-first places, positions and attention."""
 
+import dataclasses
 import hashlib
 import random
 
@@ -58,8 +59,34 @@ def test_digests_are_those_of_the_input(spark, files):
     assert len(got) == len(chats)
 
 
-def test_forest(spark, monkeypatch):
-    monkeypatch.setattr(chat_tree, "BLOCK_LEAVES", 3)
+def test_a_wrong_interval_changes_the_digest(spark):
+    """The digests come from the intervals: without one, or with one too many, they are others."""
+    chats = {1: [("user", "q"), ("assistant", "a"), ("user", "r")], 2: [("user", "q"), ("user", "other")]}
+    forest = chat_tree.format_chats(table(spark, chats))
+
+    def digest(attends):
+        nodes = forest.nodes.withColumn("attends", F.expr(attends))
+        got = chat_tree.digests(dataclasses.replace(forest, nodes=nodes)).collect()
+        return {r.conv_id: tuple(r)[1:] for r in got}
+
+    right = {c: plain_digest(t) for c, t in chats.items()}
+    assert digest("attends") == right
+    nothing = digest("slice(attends, 1, 0)")
+    assert nothing == {1: plain_digest(chats[1][2:]), 2: plain_digest(chats[2][1:])}
+    # The whole sequence before the node: right where no sibling stands before it.
+    whole = digest("IF(start > 0, array(named_struct('start', 0L, 'end', start)), attends)")
+    assert whole != right and sum(whole[c] == right[c] for c in chats) == 1
+
+
+@pytest.mark.parametrize("stretch", [1, 7, 10_000])
+def test_intervals_find_their_nodes_whatever_the_stretch(spark, monkeypatch, stretch):
+    monkeypatch.setattr(chat_tree, "STRETCH", stretch)
+    chats = random_chats(5)
+    got = chat_tree.digests(chat_tree.format_chats(table(spark, chats))).collect()
+    assert {r.conv_id: tuple(r)[1:] for r in got} == {c: plain_digest(t) for c, t in chats.items()}
+
+
+def test_forest(spark):
     chats = random_chats(2)
     forest = chat_tree.format_chats(table(spark, chats))
     nodes = forest.nodes.collect()

@@ -1,6 +1,7 @@
 """The pipeline against brute force, stage by stage; the registered queries."""
 
 import inspect
+import random
 
 import public_tokenizers
 import pytest
@@ -40,9 +41,45 @@ def test_all_but_the_last_keep_the_columns(stages):
         assert columns == ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def test_language_stage_drops_what_has_no_letter(stages):
+def test_language_stage_drops_what_has_no_letter_and_fills_in_the_language(stages):
     before, after = stages[0][2], stages[1][2]
-    assert sorted(map(repr, after)) == sorted(repr(r) for r in before if r.text and any(c.isalpha() for c in r.text))
+    told = sorted(map(repr, (r for r in before if r.text and any(c.isalpha() for c in r.text) and r.lang)))
+    assert sorted(repr(r) for r in after if r.doc_id is not None) == told
+    unknown = [r for r in after if r.doc_id is None]
+    assert [(r.text, r.source) for r in unknown] == [("No id but a text of some words.", None)]
+    assert unknown[0].lang in {r.lang for r in before if r.lang}
+
+
+def test_large_groups_of_copies(spark, tmp_path):
+    """Thousands of exact copies, near copies and rows without a letter: one of each group stays, clean rows stay."""
+    rng = random.Random(9)
+    words = [f"{a}{b}{c}" for a in ("lo", "mi", "ne", "sta") for b in ("ra", "to", "ki", "vel") for c in ("n", "sh", "rd", "p")]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    base, near = text(300), text(400).split()
+    rows = [(i, base, None, "hot", 0) for i in range(3000)]
+    for i in range(3000, 3400):
+        changed = list(near)
+        changed[rng.randrange(400)] = "changed"
+        rows.append((i, " ".join(changed), "en", "hot", 0))
+    rows += [(i, "12 34", "en", "s", 5) for i in range(4000, 4500)] + [(i, text(80), "en", "s", 0) for i in range(5000, 5060)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{FOLDER}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        docs = corpus_pipeline.frozen(stage(spark, docs, str(tmp_path)), "test")
+        kept[name] = sorted(r.doc_id for r in docs.select("doc_id").collect())
+    assert kept["language ID"] == [i for i, *_ in rows if not 4000 <= i < 4500]
+    prints = {}
+    for i, t, *_ in rows:
+        if not 4000 <= i < 4500:
+            prints.setdefault(plain_fingerprint(t), i)
+    roots = plain_components({i: p for p, i in prints.items()})
+    assert kept["SimHash near-dedup"] == sorted(set(roots.values()))
+    assert 0 in kept["secret scans"] and sum(i >= 5000 for i in kept["secret scans"]) == 60
+    packed = corpus_pipeline.run(spark, str(tmp_path))
+    assert sorted({r.doc_id for r in packed.select("doc_id").collect()}) == kept["secret scans"]
 
 
 def test_near_copies_leave_one(stages):
@@ -105,7 +142,7 @@ def test_run_is_all_stages(spark, stages):
 
 def test_registered():
     queries = contract.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in queries) == 1
     assert "pipeline" in queries
     assert [len(inspect.signature(f).parameters) for _, f in corpus_pipeline.STAGES] == [3] * 5

@@ -1,6 +1,8 @@
 """The toxicity classifier: counterfactual penalty, held-out accuracy, whole tables."""
 
+import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -108,3 +110,53 @@ def test_held_out_accuracy(spark):
     held = got.filter("held_out").join(labels, "doc_id").toPandas()
     hit = ((held.predicted == 1) & (held.toxic == 1)).sum()
     assert hit / held.predicted.sum() > 0.9 and hit / held.toxic.sum() > 0.85
+
+
+def plain_scores(docs, labels, swap_penalty):
+    """Every score straight from the definitions, with dense matrices and no Spark."""
+    truth = {}
+    for doc_id, label in labels:
+        if zlib.crc32(str(doc_id).encode()) % 5:
+            truth[doc_id] = max(truth.get(doc_id, 0), label)
+    words = lambda text: set(re.findall(r"\w+", (text or "").lower()))
+    openings = lambda word: {word} | {word[:n] + "*" for n in (4, 5, 6) if len(word) >= n}
+    features = lambda own: set().union(*map(openings, own)) if own else set()
+    rows = [(words(text), truth[doc_id]) for doc_id, text in docs if doc_id in truth]
+    n = [sum(y == label for _, y in rows) for label in (0, 1)]
+    kept = []
+    for name in sorted(set().union(*(features(w) for w, _ in rows))):
+        seen = [sum(y == label and name in features(w) for w, y in rows) for label in (0, 1)]
+        odds = math.log((seen[1] + 0.5) / (n[1] + 1)) - math.log((seen[0] + 0.5) / (n[0] + 1))
+        if sum(seen) >= 3 and abs(odds) >= 2:
+            kept.append(name)
+    after = {term: group[(i + 1) % len(group)] for group in toxicity.IDENTITY_TERMS for i, term in enumerate(group)}
+    matrix = lambda sets: np.array([[name in features(w) for name in kept] + [True] for w in sets], float)
+    own = matrix([w for w, _ in rows])
+    other = matrix([{after.get(x, x) for x in w} for w, _ in rows])
+    y = np.array([label for _, label in rows], float)
+    each = np.where(y > 0, 0.5 / max(1, n[1]), 0.5 / max(1, n[0]))
+    prior = (y.sum() + 0.5) / (len(y) + 2)
+    weights, mean, spread = np.zeros(len(kept) + 1), 0.0, 0.0
+    weights[-1] = math.log(prior / (1 - prior))
+    ridge = np.append(np.full(len(kept), toxicity.RIDGE), 0.0)
+    for step in range(1, toxicity.FIT_STEPS + 1):
+        slope = own.T @ ((1 / (1 + np.exp(-own @ weights)) - y) * each)
+        gap = own - other
+        gradient = slope + ridge * weights + swap_penalty * 2 / len(y) * gap.T @ (gap @ weights)
+        mean, spread = 0.9 * mean + 0.1 * gradient, 0.999 * spread + 0.001 * gradient**2
+        weights = weights - 0.05 * (mean / (1 - 0.9**step)) / (np.sqrt(spread / (1 - 0.999**step)) + 1e-10)
+    scores = 1 / (1 + np.exp(-matrix([words(text) for _, text in docs]) @ weights))
+    return {doc_id: score for (doc_id, _), score in zip(docs, scores)}
+
+
+def test_scores_are_those_of_the_definitions(spark):
+    rows = biased_corpus()
+    docs = [(i, t) for i, t, _ in rows] + [(900, None), (901, ""), (902, "Muslim Women, vilename! " + "word3 " * 400_000)]
+    labels = [(i, y) for i, _, y in rows] + [(900, 0), (902, 1), (4, 1)]
+    got = toxicity.judge(
+        spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    )
+    wanted = plain_scores(docs, labels, toxicity.SWAP_PENALTY)
+    for r in got.collect():
+        assert r.score == pytest.approx(wanted[r.doc_id], abs=1e-9)
+    assert len({round(s, 6) for s in wanted.values()}) > 5

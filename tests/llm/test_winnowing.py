@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+import xxhash
 
 from chatpulse.llm import winnowing
 
@@ -54,7 +55,8 @@ def test_shared_passages_share_a_mark():
 
 
 def plain_survey(rows):
-    rows = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] is not None, r[1] or ""))
+    signed = lambda h: h - (h >> 63 << 64)
+    rows = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), signed(xxhash.xxh64_intdigest((r[1] or "").encode(), 42))))
     made = []
     for at, (doc_id, text) in enumerate(rows):
         text, following = text or "", rows[(at + 1) % len(rows)][1] or ""
@@ -62,13 +64,15 @@ def plain_survey(rows):
         changed = text[: len(text) - half] + following[:half]
         own, other, after = ({h for h, _ in plain_marks(t, 16, 40)} for t in (text, changed, following))
         like = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
-        made.append((doc_id, len(text), hashlib.sha256(changed.encode()).hexdigest(), like(own, other), like(own, after)))
+        prints = tuple(" ".join(f"{h:010x}@{p}" for h, p in plain_marks(t, 16, 40)) for t in (text, changed))
+        made.append((doc_id, len(text), hashlib.sha256(changed.encode()).hexdigest(), like(own, other), like(own, after), *prints))
     return sorted(made, key=repr)
 
 
 def survey(docs):
     got = winnowing.edit_survey(docs).collect()
-    return sorted(((r.doc_id, r.n_chars, r.edited_sha256, r.near_edited, r.near_next) for r in got), key=repr), got
+    names = ("doc_id", "n_chars", "edited_sha256", "near_edited", "near_next", "fingerprint", "edited_fingerprint")
+    return sorted((tuple(r[n] for n in names) for r in got), key=repr), got
 
 
 def test_survey(spark):
@@ -99,3 +103,27 @@ def test_empty_table_and_array_form(spark):
     docs = spark.createDataFrame([(1, "abc" * 60, "x"), (2, None, None)], "doc_id bigint, text string, marks string")
     got = {r.doc_id: [tuple(m) for m in r.marks] for r in winnowing.fingerprints(docs).collect()}
     assert got == {1: marks("abc" * 60), 2: []}
+
+
+def sizes(docs):
+    buckets = winnowing.in_descending_order(docs).filter("NOT ahead").groupBy("bucket").count().collect()
+    return sorted(r["count"] for r in buckets)
+
+
+@pytest.mark.parametrize("same_text", [False, True])
+def test_an_id_or_a_row_that_many_have_is_split(spark, same_text):
+    rng = random.Random(6)
+    text = lambda i: "one text" if same_text else f"text {rng.randrange(10**9)} {i}"
+    rows = [(i, f"own {i}") for i in range(3000)] + [(1500, text(i)) for i in range(1500)] + [(None, text(i)) for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7)
+    each = sizes(docs)
+    assert sum(each) == len(rows)
+    assert each[-1] <= 2 * sum(each) / len(each), each
+    made, _ = survey(docs)
+    assert made == plain_survey(rows)
+
+
+def test_ids_at_the_ends_of_their_range(spark):
+    rows = [(i, f"t{i}") for i in (2**63 - 1, 2**63 - 2, -(2**63), 2**53, 2**53 + 1, 0, -1)] + [(2**63 - 1, f"x{i}") for i in range(300)]
+    made, _ = survey(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert made == plain_survey(rows)
