@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -73,6 +74,19 @@ class Codec:
         return self.encoder.fast.decode_bytes(ids)
 
 
+@lru_cache(maxsize=1)
+def _codec(vocabulary: str | None, ranks: bytes | None) -> Codec:
+    """One codec a worker, whatever tasks it runs."""
+    return Codec(vocabulary, ranks)
+
+
+def _id_lists(ids: pa.ListArray) -> list[list[int]]:
+    """A column of ids as lists, converted in one go."""
+    values, ends = np.asarray(ids.flatten()).tolist(), np.asarray(ids.offsets)
+    ends = (ends - ends[0]).tolist()
+    return [values[i:j] for i, j in zip(ends, ends[1:])]
+
+
 @dataclass(frozen=True)
 class ChatForest:
     """What the conversations became.
@@ -215,7 +229,7 @@ def _segments(turns: DataFrame, codec: tuple[str | None, bytes | None]) -> DataF
     def run(batches):
         own, marks = None, {}
         for batch in batches:
-            own = own or Codec(*shared.value)
+            own = own or _codec(*shared.value)
             columns: tuple[list, ...] = ([], [], [], [])
             for role, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 parts = turn_parts(role, text)
@@ -424,8 +438,9 @@ def digests(forest: ChatForest) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
         for batch in batches:
-            codec, ended = codec or Codec(*shared.value), []
-            for own, _, ids, begin, end in zip(*(c.to_pylist() for c in batch.columns)):
+            codec, ended = codec or _codec(*shared.value), []
+            leaves, _, ids_of, *mask = batch.columns
+            for own, ids, begin, end in zip(leaves.to_pylist(), _id_lists(ids_of), *(c.to_pylist() for c in mask)):
                 if own != leaf:
                     if leaf is not None:
                         ended.append((leaf, count, turns.hexdigest(), seen, loss.hexdigest(), size))
