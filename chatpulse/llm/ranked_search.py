@@ -133,7 +133,7 @@ def _visit(top: int):
             bundle.column("item").to_pylist(), bundle.column("floor").to_pylist(), _lists(bundle, "docs"), _lists(bundle, "scores")
         ):
             keep = scores >= floor
-            sums[item], known[item] = [(docs[keep], scores[keep])], docs[keep]
+            sums[item], known[item] = [(docs[keep], scores[keep], 1)], docs[keep]
         open_items: dict[int, bool] = {}
         lists = (_lists(owned, name) for name in ("docs", "impacts", "items", "factors", "floors"))
         for docs, impacts, items, factors, floors in zip(*lists):
@@ -141,10 +141,12 @@ def _visit(top: int):
                 # Where too much is missing by now, a document without a sum cannot catch up.
                 open_items[item] = floor <= 0
                 if floor <= 0 or item in known:
-                    sums.setdefault(item, []).append((docs, impacts * factor))
+                    # Multiplied item by item: lists are shared by all items until then.
+                    sums.setdefault(item, []).append((docs, impacts, factor))
         made: dict[str, list] = {"item": [], "docs": [], "scores": [], "best": []}
         for item, parts in sums.items():
-            docs, scores = (np.concatenate(part) for part in zip(*parts))
+            docs = np.concatenate([docs for docs, _, _ in parts])
+            scores = np.concatenate([impacts * factor for _, impacts, factor in parts])
             if not len(docs):
                 continue
             docs, scores = _summed(docs, scores)
