@@ -20,7 +20,7 @@ END_ID = 0
 FIT_STEPS = 300
 #: Weight of the shortest pieces in it, and the parts of its counts that are tried.
 LEAST_WEIGHT = 0.09
-SCALES = (1.0, 0.9, 0.6, 0.3, 0.0)
+SCALES = (1.0, 0.9, 0.6, 0.3)
 
 #: The pattern that splits text before the merges of the rank file.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -168,8 +168,8 @@ def plan(histogram: np.ndarray, capacity: int = CAPACITY) -> list[Pattern]:
 
     Repeat counts from the fit are rounded and held to what is there; what
     remains is packed best-fit. Exact patterns of a few pieces can take short
-    ones that long ones need, so the counts are also tried scaled down, and the
-    plan with the fewest sequences is kept. The work depends on the capacity,
+    ones that long ones need, so the counts are also tried scaled down, never to
+    nothing, and the plan with the fewest sequences is kept. The work depends on the capacity,
     not on counts.
     """
     patterns = enumerated(np.flatnonzero(histogram[1:]) + 1, capacity)
