@@ -70,6 +70,15 @@ def current_words(spark: SparkSession, tables: str) -> DataFrame:
     return result_table(tables, schemas.TOP_WORDS).at(spark, GENERATION, last)
 
 
+def previews(spark: SparkSession, tables: str, n: int = 10) -> dict[str, DataFrame]:
+    """What a run shows of its results: the busiest users, the commonest words, the totals."""
+    return {
+        schemas.TOP_USERS.name: activity.top_users(current_users(spark, tables), n),
+        schemas.TOP_WORDS.name: words.top_words(current_words(spark, tables), n),
+        schemas.GLOBAL_STATS.name: result_table(tables, schemas.GLOBAL_STATS).newest_epoch(spark, GENERATION),
+    }
+
+
 def export_results(
     spark: SparkSession,
     tables: str,
@@ -111,9 +120,8 @@ def run_batch(
     write_results(messages, tables, next_run(spark, tables), word_rank)
     if preview:
         messages.filter(F.col("user").isNotNull()).show(5)
-        activity.top_users(current_users(spark, tables), 10).show()
-        words.top_words(current_words(spark, tables), 10).show()
-        result_table(tables, schemas.GLOBAL_STATS).latest(spark).show(truncate=False)
+        for rows in previews(spark, tables).values():
+            rows.show(truncate=False)
 
 
 def run_metric_log(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -19,7 +20,7 @@ from chatpulse.sinks.logs import read_metrics
 from chatpulse.sources import archive, raw, topics
 from chatpulse.sources.chat import chat_view, posts, texts
 from chatpulse.streaming import late, metrics
-from chatpulse.streaming.run import finish, start
+from chatpulse.streaming.run import finish, late_rows, start, supervise
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -374,6 +375,28 @@ def archive_incremental(spark, folder):
     return spark.createDataFrame(runs, "run int, n_read bigint, n_history bigint")
 
 
+@_query
+def archive_if_absent(spark, folder):
+    """The history after runs that convert only what is absent: none yet, a whole one, one without its marker."""
+    source, history = work_folder(spark, "archive"), work_folder(spark, "history")
+    unfinished = work_folder(spark, "history")
+    records = _with_iso_time(chat_view(spark, folder, message=F.length("message").cast("string")))
+    early = F.coalesce(F.col("user").rlike("[0-4]$"), F.lit(False))
+    runs = []
+    for run, (added, target) in enumerate(((early, history), (~early, history), (None, unfinished))):
+        if added is not None:
+            archive.write_archive(records.filter(added), source)
+        else:
+            # What a run leaves that died on its way.
+            some = records.filter(early).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+            some.parquet(unfinished)
+        archive.convert_archive(spark, source, target, only_if_absent=True)
+        # Read now: the archive grows.
+        seen = archive.read_history(spark, target).agg(F.count("*"), F.count("user"), F.count("timestamp")).first()
+        runs.append((run, *seen))
+    return spark.createDataFrame(runs, "run int, n_history bigint, n_users bigint, n_timed bigint")
+
+
 # --- tables -------------------------------------------------------------------
 
 
@@ -458,6 +481,18 @@ def batch_job(spark, folder):
     return reduce(DataFrame.unionByName, parts)
 
 
+@_query
+def batch_preview(spark, folder):
+    """What a batch run shows of its results."""
+    history, tables = work_folder(spark, "history"), work_folder(spark, "tables")
+    batch_layer.run_batch(spark, _archive(spark, folder), history, tables)
+    parts = [
+        rows.select(F.lit(name).alias("shown"), F.col(rows.columns[0]).alias("key"), F.col(rows.columns[1]).cast("double").alias("value"))
+        for name, rows in batch_layer.previews(spark, tables).items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @_query
 def metric_log(spark, folder):
     """Long-format metrics of two runs; the archive grows between them."""
@@ -621,6 +656,65 @@ def stream_complete_ranking(spark, folder):
     return speed_layer.read_ranking_table(spark, tables)
 
 
+@_query
+def stream_processing_time(spark, folder):
+    """Windows of the triggers' own time: all messages, none late, in no more windows than triggers."""
+    tables = work_folder(spark, "tables")
+    flagged = metrics.flagged_messages(_topic_in_parts(spark, folder), time_source="processing")
+    query = speed_layer.start_window_table(flagged, tables, f"{tables}-checkpoint", every="1 second")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    windows = speed_layer.read_windows(spark, tables, time_source="processing")
+    return windows.agg(
+        F.sum("total_messages").alias("total_messages"),
+        F.sum("total_toxic_messages").alias("total_toxic_messages"),
+        (F.count("*") <= TOPIC_PARTS).alias("is_one_time_a_trigger"),
+        F.bool_and(F.unix_timestamp("window_start") % 10 == 0).alias("is_aligned"),
+    ).withColumn("n_late", F.lit(late_rows(query)).cast("bigint"))
+
+
+@_query
+def stream_supervised(spark, folder):
+    """The tables of the queries that run side by side, as fast as they can, until one of them is stopped."""
+    tables = work_folder(spark, "tables")
+    queries = speed_layer.start_tables(_topic(spark, folder), tables, f"{tables}-checkpoint", time_source="event")
+
+    def stop_once_read() -> None:
+        try:
+            for query in queries:
+                query.processAllAvailable()
+        finally:
+            # The others are stopped by what supervises them, which raises if one failed.
+            queries[0].stop()
+
+    with ThreadPoolExecutor(1) as aside:
+        stopped = aside.submit(stop_once_read)
+        supervise(spark, queries)
+    stopped.result()
+    windows = _with_naive(speed_layer.read_windows(spark, tables, time_source="event"), "window_start")
+    users = speed_layer.read_user_counts(spark, tables)
+    untimed = spark.read.schema(schemas.CHAT).json(speed_layer.untimed_folder(tables))
+    return reduce(
+        DataFrame.unionByName,
+        (
+            windows.select(
+                F.lit("windows").alias("table_name"), F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("key"),
+                F.col("total_messages").alias("n"), F.col("total_toxic_messages").alias("n_toxic"),
+            ),
+            users.select(
+                F.lit("users").alias("table_name"), F.col("user").alias("key"),
+                F.col("nb_messages").alias("n"), F.col("nb_toxic_messages").alias("n_toxic"),
+            ),
+            untimed.agg(
+                F.lit("untimed").alias("table_name"), F.lit(None).cast("string").alias("key"),
+                F.count("*").alias("n"), F.lit(None).cast("bigint").alias("n_toxic"),
+            ),
+        ),
+    )
+
+
 @_query
 def stream_messages_per_minute(spark, folder):
     tables = work_folder(spark, "tables")

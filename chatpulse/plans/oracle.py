@@ -235,6 +235,27 @@ WHERE window_start + INTERVAL '10 seconds' > (SELECT max("timestamp") - INTERVAL
 UNION ALL SELECT 2, 0, n FROM n""",
         """n AS (SELECT count(*) AS n, count(*) FILTER (WHERE regexp_matches("user", '[0-4]$')) AS early FROM chat)""",
     ),
+    "archive_if_absent": _with(
+        """SELECT run, count(*) AS n_history, count("user") AS n_users, count("timestamp") AS n_timed
+FROM chat JOIN (VALUES (0), (1), (2)) AS runs(run) ON run = 2 OR regexp_matches("user", '[0-4]$') GROUP BY run"""
+    ),
+    "stream_processing_time": _with(
+        f"""SELECT count(*) AS total_messages, count(*) FILTER (WHERE {_TOXIC}) AS total_toxic_messages,
+  true AS is_one_time_a_trigger, true AS is_aligned, CAST(0 AS BIGINT) AS n_late FROM chat WHERE "timestamp" IS NOT NULL"""
+    ),
+    "stream_supervised": _with(
+        f"""SELECT 'windows' AS table_name, strftime({_WINDOW}, '%Y-%m-%d %H:%M:%S') AS key, count(*) AS n,
+  count(*) FILTER (WHERE {_TOXIC}) AS n_toxic FROM chat WHERE "timestamp" IS NOT NULL GROUP BY 2
+UNION ALL SELECT 'users', "user", count(*), count(*) FILTER (WHERE {_TOXIC}) FROM chat WHERE "user" IS NOT NULL GROUP BY 2
+UNION ALL SELECT 'untimed', NULL, count(*), NULL FROM chat WHERE "timestamp" IS NULL"""
+    ),
+    "batch_preview": _with(
+        f"""SELECT * FROM (SELECT 'top_users' AS shown, "user" AS key, CAST(nb_messages AS DOUBLE) AS value FROM u
+  ORDER BY nb_messages DESC, "user" LIMIT 10)
+UNION ALL SELECT * FROM (SELECT 'top_words', word, CAST(count AS DOUBLE) FROM w ORDER BY count DESC, word LIMIT 10)
+UNION ALL SELECT 'global_stats', metric_name, value FROM s""",
+        _USERS, _WORDS, f"s AS ({_STATS_ROWS})",
+    ),
     "declared_tables": _with(
         f"""SELECT 'user_activity' AS table_name, "user" AS key, nb_messages AS n FROM u
 UNION ALL SELECT 'window_activity', strftime({_WINDOW}, '%Y-%m-%d %H:%M:%S'), count(*) FROM chat WHERE "timestamp" IS NOT NULL
