@@ -23,11 +23,21 @@ LEAST_WEIGHT = 0.09
 SCALES = (1.0, 0.9, 0.6, 0.3)
 
 #: The pattern that splits text before the merges of the rank file.
-SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 _SPECIAL = "<|endoftext|>"
-#: Characters whose classes are the same in every version of Unicode that the
-#: two libraries may be built on, and runs of blanks short enough for both.
-_UNUSUAL = re.compile("[^\0-ɏ‐-‧€]|\\s{1000}|\\S{10000}")
+#: Characters other than those whose classes are the same in every version of Unicode
+#: that the two libraries may be built on.
+_UNUSUAL = re.compile("[^\0-ɏ‐-‧€]")
+#: Runs too long for both, with the length a text must have to hold one. Other characters
+#: are looked at from where they begin alone.
+_LONG_RUNS = ((1000, re.compile(r"\s{1000}")), (10000, re.compile(r"(?<!\S)\S{10000}")))
+
+
+def _usual(text: str) -> bool:
+    """Whether both libraries are known to give the same ids."""
+    if _SPECIAL in text or not text.isascii() and _UNUSUAL.search(text):
+        return False
+    return not any(len(text) >= size and run.search(text) for size, run in _LONG_RUNS)
 
 
 class Encoder:
@@ -51,9 +61,9 @@ class Encoder:
             self.fast = tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=merges, special_tokens={})
 
     def ids(self, text: str) -> np.ndarray:
-        if self.fast is None or _SPECIAL in text or _UNUSUAL.search(text):
+        if self.fast is None or not _usual(text):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
-        return self.fast.encode_to_numpy(text).astype("<u4", copy=False)
+        return np.array(self.fast.encode_ordinary(text), "<u4")
 
 
 def cut(length: int, capacity: int) -> list[tuple[int, int]]:

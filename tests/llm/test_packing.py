@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -45,6 +46,17 @@ def test_other_texts_go_to_the_library(library, encoder, text):
     assert encoder.ids(text).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_runs_of_every_length_have_the_library_s_ids(library, encoder):
+    rng = random.Random(3)
+    parts = ["a", "é", "  ", "\n", "\r\n", "\t", "'s", "'LL", "'re", "1", "²", "…", "-", "\x1c", "\x85", "<|endoftext|>"]
+    lengths = [("x", n) for n in (1, 9, 4999, 5000, 9999, 10_000)] + [(" ", n) for n in (1, 2, 500, 999, 1000)]
+    for _ in range(600):
+        text = "".join(rng.choice(parts) if rng.random() < 0.8 else (p := rng.choice(lengths))[0] * p[1] for _ in range(rng.randrange(40)))
+        runs = max((len(w) for w in text.split()), default=0), max((len(w) for w in re.findall(r"\s+", text)), default=0)
+        assert packing._usual(text) == (runs[0] < 10_000 and runs[1] < 1000 and "<|" not in text)
+        assert encoder.ids(text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_documents_have_the_library_s_ids(spark, library, encoder):
     texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").limit(300).collect()]
     for text, encoded in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
