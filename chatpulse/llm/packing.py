@@ -285,8 +285,9 @@ def pack(
     the task's own numbering and the counts of the tasks before, so a length
     that a third of all pieces have is no hot group. Only the histogram, one
     number a length, reaches the driver; the plan it makes is bounded by the
-    capacity. A null or empty text is the end id alone; null ids and repeated
-    rows stay, other columns are ignored, an empty table gives no rows.
+    capacity. A null or empty text is the end id alone, a very long one is encoded
+    whole and cut; null ids and repeated rows stay, other columns are ignored, an
+    empty table gives no rows.
     """
     table = frozen(pieces(docs, vocabulary, ranks, id_col, text_col, capacity), "pieces")
     counts = table.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n"))

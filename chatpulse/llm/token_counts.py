@@ -90,7 +90,8 @@ def token_counts(
     Counts are those of the library on the whole text, without begin and end
     tokens; the model goes to the executors as bytes. A null text counts as
     empty: 0 bytes, 0 tokens. Null ids and repeated rows stay, other columns are
-    ignored, an empty table gives no rows.
+    ignored, an empty table gives no rows. A very long text is encoded chunk by chunk;
+    where it has no proven border, chunks double, up to the whole text.
     """
     with open(model_path, "rb") as file:
         shared = docs.sparkSession.sparkContext.broadcast(file.read())

@@ -222,9 +222,9 @@ def train(
 def scored(docs: DataFrame, model: ToxicityModel, text_col: str = "text", extra: tuple[str, ...] = ()) -> DataFrame:
     """The columns ``extra`` with ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on).
 
-    Whole texts are scored. A null or empty text has no feature and gets the
-    score of the bias; repeated rows and other columns named pass through; an
-    empty table stays empty. Without labelled rows every score is 0.25.
+    Whole texts are scored, a very long one as the set of its words. A null or empty
+    text has no feature and gets the score of the bias; repeated rows and other columns
+    named pass through; an empty table stays empty. Without labelled rows every score is 0.25.
     """
     picked = docs.select(*(column(docs, c) for c in extra), column(docs, text_col).alias("__text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
