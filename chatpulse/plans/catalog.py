@@ -19,6 +19,7 @@ from chatpulse.sinks.keyed import KeyedTable
 from chatpulse.sinks.logs import read_metrics
 from chatpulse.sources import archive, raw, topics
 from chatpulse.sources.chat import chat_view, posts, texts
+from chatpulse.sources.folders import remove
 from chatpulse.streaming import late, metrics
 from chatpulse.streaming.run import finish, late_rows, start, supervise
 
@@ -530,11 +531,19 @@ def _topic_in_parts(spark: SparkSession, folder: str) -> DataFrame:
 
     def write(path: str) -> None:
         part = F.unix_timestamp("timestamp") % TOPIC_PARTS
-        messages = chat_view(spark, folder).filter("timestamp IS NOT NULL").withColumn("part", part)
+        messages = chat_view(spark, folder, sort_texts=False).filter("timestamp IS NOT NULL").withColumn("part", part)
+        # Texts meet their events once and not once a part.
+        joined = work_folder(spark, "joined")
+        messages.write.parquet(joined)
+        messages = spark.read.schema(messages.schema).parquet(joined)
+        # In turn, as repartition() without a key would, which sorts whole messages before.
+        number_of_file = (F.monotonically_increasing_id() + F.spark_partition_id()) % PART_FILES
         for number in range(TOPIC_PARTS):
-            timed = _with_iso_time(messages.filter(F.col("part") == number))
+            dealt = messages.filter(F.col("part") == number).withColumn("file", number_of_file)
+            timed = _with_iso_time(dealt.repartitionById(PART_FILES, F.col("file").cast("int")))
             payloads = ingest.encode_payload(timed, *schemas.CHAT.names)
-            topics.publish(payloads.repartition(PART_FILES), topics.file_target(path))
+            topics.publish(payloads, topics.file_target(path))
+        remove(spark, joined)
 
     path = _derived(spark, folder, "parts", write)
     return topics.read_files(spark, path, max_files_per_trigger=PART_FILES)

@@ -31,20 +31,24 @@ def texts(spark: SparkSession, folder: str) -> DataFrame:
     return _documents(spark, folder).select("doc_id", F.col("text").alias("message"))
 
 
-def chat_view(spark: SparkSession, folder: str, **from_text: Column) -> DataFrame:
+def chat_view(spark: SparkSession, folder: str, sort_texts: bool = True, **from_text: Column) -> DataFrame:
     """``user, timestamp, message`` of every event.
 
     Named expressions over ``message`` take the place of the message: they are
     computed beside the documents, so the join moves their results and not the
     texts. The join is a plain left join, so adaptive execution may split a hot
-    id, or broadcast a side whose measured size is small.
+    id, or broadcast a side whose measured size is small. Without ``sort_texts``
+    the texts pass by a partition's events, which are held in memory, so no text is
+    sorted and none spilled; a hot id is split there as well.
     """
     spoken = texts(spark, folder)
     if from_text:
         spoken = spoken.select(
             "doc_id", *(column.alias(name) for name, column in from_text.items())
         )
-    joined = _events(spark, folder).join(spoken, F.col("event_id") == F.col("doc_id"), "left")
+    events = _events(spark, folder).select("event_id", "user_id", "ts")
+    events = events if sort_texts else events.hint("shuffle_hash")
+    joined = events.join(spoken, F.col("event_id") == F.col("doc_id"), "left")
     return joined.select(
         F.col("user_id").cast("string").alias("user"),
         F.col("ts").alias("timestamp"),

@@ -11,10 +11,13 @@ from pyspark.sql.streaming import StreamingQueryException
 
 from chatpulse import schemas
 from chatpulse.operators import activity
-from chatpulse.plans import batch_layer, speed_layer
+from chatpulse.operators.ingest import decode_payload
+from chatpulse.plans import batch_layer, catalog, speed_layer
+from chatpulse.settings import configured
 from chatpulse.sinks import connectors
 from chatpulse.sinks.connectors import connector_writer
 from chatpulse.sources import archive, topics
+from chatpulse.sources.chat import chat_view
 from chatpulse.streaming import late, metrics
 from chatpulse.streaming.run import finish, late_rows, supervise
 from chatpulse.streaming.watch import StalledQuery, Watch
@@ -497,3 +500,41 @@ def test_supervise_ends_a_job_of_which_a_query_hangs(spark, topic):
     finally:
         wait.set()
     assert not held.isActive and not idle.isActive
+
+
+def test_parts_of_a_topic_are_published_from_messages_that_were_joined_once(spark, folder, monkeypatch):
+    """Six parts of four files; publishing one neither joins the texts again nor sorts them."""
+    own = configured(spark)
+    data = f"{folder}/data"
+    events = own.range(241).select(
+        F.when(F.col("id") != 7, F.col("id")).alias("event_id"), (F.col("id") % 5).alias("user_id"),
+        F.when(F.col("id") != 9, F.timestamp_seconds(1704067200 + F.col("id") * 7)).alias("ts"),
+    )
+    # Repeated ids on one side, as events may have; the last has no text.
+    events.union(events.filter("event_id IN (3, 4)")).write.parquet(f"{data}/events.parquet")
+    own.range(240).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text")
+    ).write.parquet(f"{data}/documents.parquet")
+    plans, publish = [], topics.publish
+
+    def seen(payloads, target):
+        plans.append(payloads._jdf.queryExecution().optimizedPlan().toString())
+        publish(payloads, target)
+
+    monkeypatch.setattr(topics, "publish", seen)
+    catalog._topic_in_parts(own, data)
+    assert len(plans) == catalog.TOPIC_PARTS
+    assert not any("Join" in plan or "Repartition " in plan for plan in plans)
+    path = catalog._DERIVED[(spark.sparkContext.applicationId, data, "parts")]
+    files = sorted(Path(path.removeprefix("file:")).glob("part-*"), key=lambda f: f.stat().st_mtime_ns)
+    assert len(files) == catalog.TOPIC_PARTS * catalog.PART_FILES
+    got = []
+    for number in range(catalog.TOPIC_PARTS):
+        some = files[number * catalog.PART_FILES : (number + 1) * catalog.PART_FILES]
+        payloads = own.read.schema(topics.VALUE).parquet(*map(str, some))
+        messages = decode_payload(payloads).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+        assert {r[0] for r in messages.select(F.unix_timestamp("timestamp") % catalog.TOPIC_PARTS).collect()} == {number}
+        got += rows(messages.select("user", "message", "timestamp"))
+    view = chat_view(own, data).filter("timestamp IS NOT NULL").select("user", "message", "timestamp")
+    assert sorted(got, key=repr) == rows(view)
+    assert len(got) == 242 and sum(r[1] is None for r in got) == 2
