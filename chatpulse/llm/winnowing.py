@@ -22,11 +22,13 @@ _BASE = 0x9E3779B97F4A7C15
 _MIX = 0xBF58476D1CE4E5B9
 
 
-@lru_cache(maxsize=1)
+@lru_cache(maxsize=32)
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64."""
     def rows(factor: int) -> np.ndarray:
-        return np.multiply.accumulate(np.r_[np.uint64(1), np.full(size, factor, np.uint64)])
+        factors = np.full(size + 1, factor, np.uint64)
+        factors[0] = 1
+        return np.multiply.accumulate(factors)
 
     return rows(_BASE), rows(pow(_BASE, -1, 1 << 64))
 
@@ -37,7 +39,8 @@ def gram_hashes(points: np.ndarray, gram: int) -> np.ndarray:
     A gram's polynomial is the difference of two running sums, shifted back by
     a power of the inverse; a multiplication spreads it over the upper bits.
     """
-    up, down = _powers(2 * SEGMENT)
+    # Sizes double, so what is kept takes twice what the longest text needs.
+    up, down = _powers(1 << len(points).bit_length())
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((points.astype(np.uint64) + np.uint64(1)) * up[: len(points)])])
     values = (sums[gram:] - sums[:-gram]) * down[: len(sums) - gram]
     values ^= values >> np.uint64(32)

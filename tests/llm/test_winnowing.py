@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -127,3 +128,16 @@ def test_ids_at_the_ends_of_their_range(spark):
     rows = [(i, f"t{i}") for i in (2**63 - 1, 2**63 - 2, -(2**63), 2**53, 2**53 + 1, 0, -1)] + [(2**63 - 1, f"x{i}") for i in range(300)]
     made, _ = survey(spark.createDataFrame(rows, "doc_id bigint, text string"))
     assert made == plain_survey(rows)
+
+
+def test_memory_grows_with_the_text():
+    def peak(text):
+        winnowing._powers.cache_clear()
+        tracemalloc.start()
+        winnowing.winnow(text)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most
+
+    assert peak("a few words " * 200) < 1_000_000
+    winnowing._powers.cache_clear()
