@@ -151,7 +151,7 @@ def _bucketed(rows: DataFrame, buckets: int):
     run = lambda doc_id: len(cuts) + 1 if doc_id is None else len(cuts) - sum(c <= doc_id for c in cuts)
     copies: dict[int, list[tuple[int, int]]] = {}
     if heavy:
-        wanted = rows.sparkSession.createDataFrame([(r.doc_id,) for r in heavy], "heavy bigint")
+        wanted = rows.sparkSession.createDataFrame(pa.table({"heavy": pa.array([r.doc_id for r in heavy], pa.int64())}))
         of_heavy = rows.join(F.broadcast(wanted), F.col("doc_id").eqNullSafe(F.col("heavy")))
         many = of_heavy.groupBy("doc_id", "hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most)
         for r in many.collect():
@@ -201,8 +201,17 @@ def in_descending_order(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     bucketed = _bucketed(rows, 4 * width)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), (-F.col("doc_id").cast("decimal(20)")).alias("down"), "hash", "doc_id"))
     heads = bucketed(rows.drop("text")).groupBy("bucket").agg(first.alias("f")).select("bucket", "f.doc_id", "f.hash").orderBy("bucket").collect()
-    follows = [(before.bucket, after.doc_id, after.hash) for before, after in zip(heads, heads[1:] + heads[:1])]
-    wanted = spark.createDataFrame(follows, "bucket int, head bigint, head_hash bigint")
+    afters = heads[1:] + heads[:1]
+    # An Arrow table: rows in a list would be read by Python workers, which executors keep beside those of the survey.
+    wanted = spark.createDataFrame(
+        pa.table(
+            {
+                "bucket": pa.array([r.bucket for r in heads], pa.int32()),
+                "head": pa.array([r.doc_id for r in afters], pa.int64()),
+                "head_hash": pa.array([r.hash for r in afters], pa.int64()),
+            }
+        )
+    )
     # At most one row a bucket, and the buckets are about as many as given above.
     single = F.broadcast(wanted.select("head", "head_hash").distinct())
     is_head = F.col("doc_id").eqNullSafe(F.col("head")) & (F.col("hash") == F.col("head_hash"))

@@ -141,3 +141,9 @@ def test_memory_grows_with_the_text():
 
     assert peak("a few words " * 200) < 1_000_000
     winnowing._powers.cache_clear()
+
+
+def test_tables_of_heads_need_no_python(spark):
+    docs = spark.range(300).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    plan = winnowing.in_descending_order(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "LocalTableScan" in plan and "ExistingRDD" not in plan, plan
